@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import fold, slices, text_bytes
+from brindle.llm.common import extended, fold, slices, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -186,7 +186,7 @@ def identify(df: DataFrame, model: ByteConvNet | None, text: str = "text", pred:
     """
     keep = [c for c in df.columns if c not in (pred, score)]
     base = df.select(*keep)
-    schema = base.schema.add(pred, "string").add(score, "double")
+    schema = extended(base, **{pred: "string", score: "double"})
     at = keep.index(text)
 
     def run(batches):

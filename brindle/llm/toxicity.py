@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import slices, text_bytes
+from brindle.llm.common import extended, slices, text_bytes
 
 BUCKETS = 1 << 15
 DIM = 8
@@ -286,7 +286,7 @@ def score_toxicity(df: DataFrame, model: WordConvNet | None, text: str = "text",
     """
     keep = [c for c in df.columns if c not in (score, predicted)]
     base = df.select(*keep)
-    schema = base.schema.add(score, "double").add(predicted, "int")
+    schema = extended(base, **{score: "double", predicted: "int"})
     at = keep.index(text)
 
     def run(batches):
