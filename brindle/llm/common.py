@@ -108,7 +108,7 @@ def _search(key: Column, bounds: list, low: int, high: int) -> Column:
     return F.when(key < F.lit(bounds[mid]), _search(key, bounds, low, mid)).otherwise(_search(key, bounds, mid + 1, high))
 
 
-def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None = None, before: bool = True) -> DataFrame:
+def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None = None, before: bool = True, wrap: bool = False) -> DataFrame:
     """Rows dealt to contiguous ranges of ``key`` and sorted there, each range with its neighbours' edge rows.
 
     ``key`` must not be null. The rows of equal keys share a range. Adds ``_cell``
@@ -125,22 +125,16 @@ def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None
     edges = keys.select(key, cell.alias(CELL)).groupBy(CELL).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
     edges = sorted((r[CELL], r["lo"], r["hi"]) for r in edges)
     own = df.withColumn(CELL, cell).withColumn(GUARD, F.lit(0))
+    after = [(hi_lo[1], cell_[0]) for cell_, hi_lo in zip(edges, edges[1:])] + ([(edges[0][1], edges[-1][0])] if wrap and edges else [])
+    ahead = [(hi_lo[2], cell_[0]) for hi_lo, cell_ in zip(edges, edges[1:])] if before else []
     out = own
-    if len(edges) > 1:
-        heads, tails = {}, {}
-        for (a, _, hi), (b, lo, _) in zip(edges, edges[1:]):
-            heads[b], tails[a] = (lo, a), (hi, b)
-        extra = own.where(F.col(key).isin([lo for lo, _ in heads.values()] + ([hi for hi, _ in tails.values()] if before else [])))
-        prev_cell = F.create_map(*[F.lit(x) for b, (_, a) in heads.items() for x in (b, a)])
-        next_cell = F.create_map(*[F.lit(x) for a, (_, b) in tails.items() for x in (a, b)])
-        is_head = F.col(key).isin([lo for lo, _ in heads.values()])
-        out = own.unionByName(extra.where(is_head).withColumn(GUARD, F.lit(1)).withColumn(CELL, prev_cell[F.col(CELL)]))
-        if before:
-            is_tail = F.col(key).isin([hi for hi, _ in tails.values()])
-            out = out.unionByName(extra.where(is_tail).withColumn(GUARD, F.lit(-1)).withColumn(CELL, next_cell[F.col(CELL)]))
+    for flag, pairs in ((1, after), (-1, ahead)):
+        if pairs:
+            to = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+            out = out.unionByName(own.where(F.col(key).isin([k for k, _ in pairs])).withColumn(CELL, to[F.col(key)]).withColumn(GUARD, F.lit(flag)))
     place = placement_keys(spark, n)
     spot = F.element_at(F.array(*[F.lit(k).cast("long") for k in place]), F.pmod(F.col(CELL), F.lit(n)) + 1)
-    return out.withColumn("_spot", spot).repartition(n, "_spot").drop("_spot").sortWithinPartitions(CELL, key, GUARD, *ties)
+    return out.withColumn("_spot", spot).repartition(n, "_spot").drop("_spot").sortWithinPartitions(CELL, GUARD, key, *ties)
 
 
 def partition_of(key, bounds: list) -> int:

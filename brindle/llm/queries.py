@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import language, toxicity
+from brindle.llm import bpe, fingerprint, language, packing, toxicity
 from brindle.llm.common import fold, table
 
 
@@ -28,8 +29,26 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    make = fingerprint.EditedNext()
+    return fingerprint.with_next_text(table(spark, sf_dir, "documents").select("doc_id", "text"), make, make.fields)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
+    "op3_fingerprint": op3_fingerprint,
+    "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
 }
 ORACLES: dict[str, str] = {}
