@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, fingerprint, language, packing, toxicity
+from brindle.llm import bpe, fingerprint, html, language, packing, sharding, topk, toxicity
 from brindle.llm.common import fold, table
 
 
@@ -44,11 +44,27 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
+    return topk.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_fingerprint": op3_fingerprint,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_sharding": op7_sharding,
+    "op8_html": op8_html,
+    "op9_topk": op9_topk,
 }
 ORACLES: dict[str, str] = {}
