@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, fingerprint, html, language, packing, sharding, topk, toxicity
+from brindle.llm import bpe, fingerprint, html, jaccard, language, packing, sharding, topk, toxicity
 from brindle.llm.common import fold, table
 
 
@@ -57,6 +57,10 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -66,5 +70,6 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_html": op8_html,
     "op9_topk": op9_topk,
+    "op10_jaccard": op10_jaccard,
 }
 ORACLES: dict[str, str] = {}

@@ -28,7 +28,9 @@ class _Node:
     high: float = 0.0
     before: float = 0.0
     total: float = 0.0
-    cut: float | None = None
+    tie: float | None = None
+    last: float | None = None
+    cut: tuple[float, float] | None = None
 
 
 def _bucket(x: Column, low: float, high: float) -> Column:
@@ -36,10 +38,9 @@ def _bucket(x: Column, low: float, high: float) -> Column:
 
 
 def split(units: DataFrame, axes: list[str], shards: int, weight: str = "_bytes") -> DataFrame:
-    """Adds ``shard`` to units with a weight and numeric axes; the last axis must tell units apart (a hash)."""
+    """Adds ``shard`` to units with a weight and numeric axes; the last axis, in [0, 1], must tell units apart (a hash) and breaks ties."""
     nodes = {1: _Node(shards, 0)}
     leaves: dict[int, int] = {} if shards > 1 else {1: 0}
-    cuts: list[tuple[int, str, float]] = []
     node = F.lit(1)
     spread = None
     units = units.withColumn("_node", node)
@@ -58,12 +59,11 @@ def split(units: DataFrame, axes: list[str], shards: int, weight: str = "_bytes"
             wide = {a: (r[f"hi_{a}"] - r[f"lo_{a}"]) / spread[a] for a in axes}
             x.axis = max(axes, key=lambda a: wide[a])
             x.low, x.high, x.total = float(r[f"lo_{x.axis}"]), float(r[f"hi_{x.axis}"]), float(r["w"])
-            x.before, x.cut = 0.0, None
-        _medians(units, nodes, weight)
+        _medians(units, nodes, weight, axes[-1])
         step = F.col("_node")
         follow = {}
         for n, x in nodes.items():
-            step = F.when(F.col("_node") == n, F.when(F.col(x.axis) <= F.lit(x.cut), 2 * n).otherwise(2 * n + 1)).otherwise(step)
+            step = F.when(F.col("_node") == n, F.when((F.col(x.axis) < F.lit(x.cut[0])) | (F.col(x.axis) == F.lit(x.cut[0])) & (F.col(axes[-1]) <= F.lit(x.cut[1])), 2 * n).otherwise(2 * n + 1)).otherwise(step)
             left = (x.shards + 1) // 2
             for child, count, first in ((2 * n, left, x.first), (2 * n + 1, x.shards - left, x.first + left)):
                 if count > 1:
@@ -71,45 +71,45 @@ def split(units: DataFrame, axes: list[str], shards: int, weight: str = "_bytes"
                 else:
                     leaves[child] = first
         units = units.withColumn("_node", step)
-        cuts += [(n, x.axis, x.cut) for n, x in nodes.items()]
         nodes = follow
     number = F.create_map(*[F.lit(v) for pair in leaves.items() for v in pair])
     return units.withColumn("shard", number[F.col("_node")].cast("int")).drop("_node")
 
 
-def _medians(units: DataFrame, nodes: dict[int, _Node], weight: str) -> None:
-    """Sets the cut of each node: a value of its axis such that the weight at or under it is nearest to the left child's share."""
+def _medians(units: DataFrame, nodes: dict[int, _Node], weight: str, tie_axis: str) -> None:
+    """Sets the cut of each node: a value of its axis and, among the units at that value, of the tie axis, such that
+    the weight up to there is nearest to the left child's share."""
     while open_ := {n: x for n, x in nodes.items() if x.cut is None}:
-        for n, x in list(open_.items()):
-            if x.high <= x.low:
-                x.cut = x.low
-                del open_[n]
-        if not open_:
-            return
         value, bucket = F.lit(None).cast("double"), F.lit(None).cast("int")
         for n, x in open_.items():
-            inside = (F.col("_node") == n) & (F.col(x.axis) >= F.lit(x.low)) & (F.col(x.axis) <= F.lit(x.high))
-            value = F.when(inside, F.col(x.axis).cast("double")).otherwise(value)
-            bucket = F.when(inside, _bucket(F.col(x.axis).cast("double"), x.low, x.high)).otherwise(bucket)
+            at = F.col(x.axis if x.tie is None else tie_axis).cast("double")
+            inside = (F.col("_node") == n) & (at >= F.lit(x.low)) & (at <= F.lit(x.high))
+            if x.tie is not None:
+                inside &= F.col(x.axis) == F.lit(x.tie)
+            value = F.when(inside, at).otherwise(value)
+            bucket = F.when(inside, _bucket(at, x.low, x.high) if x.high > x.low else F.lit(0)).otherwise(bucket)
         rows = units.select("_node", F.col(weight).alias("w"), value.alias("v"), bucket.alias("b")).where("b is not null")
         counts: dict[int, list] = {n: [] for n in open_}
         for r in rows.groupBy("_node", "b").agg(F.sum("w").alias("w"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
             counts[r["_node"]].append((r["b"], float(r["w"]), r["lo"], r["hi"]))
         for n, x in open_.items():
             goal = x.total * ((x.shards + 1) // 2) / x.shards
-            so_far, last = x.before, None
+            so_far, last = x.before, x.last
             for _, w, low, high in sorted(counts[n]):
                 if so_far + w >= goal:
-                    if low == high:
-                        over = so_far + w - goal
-                        under = goal - so_far
-                        x.cut = low if over <= under or last is None and so_far == 0 else (last if last is not None else low - abs(low) * 1e-12 - 1e-12)
+                    x.before, x.last = so_far, last
+                    if low < high:
+                        x.low, x.high = low, high
+                    elif x.tie is None and x.axis != tie_axis:
+                        x.tie, x.low, x.high, x.last = low, 0.0, 1.0, None
                     else:
-                        x.low, x.high, x.before = low, high, so_far
+                        over, under = so_far + w - goal, goal - so_far
+                        edge = low if over <= under else (last if last is not None else -1.0)
+                        x.cut = (edge, 1.0) if x.tie is None else (x.tie, edge)
                     break
                 so_far, last = so_far + w, high
             else:
-                x.cut = last
+                x.cut = (x.high, 1.0) if x.tie is None else (x.tie, 1.0)
 
 
 def shard(df: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text", dimensions: tuple[str, ...] = ("source", "lang")) -> DataFrame:
