@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, fingerprint, html, jaccard, language, packing, sharding, topk, toxicity
+from brindle.llm import bpe, fingerprint, html, jaccard, language, packing, secrets, sharding, topk, toxicity
 from brindle.llm.common import fold, table
 
 
@@ -39,6 +39,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next_text(table(spark, sf_dir, "documents").select("doc_id", "text"), make, make.fields)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents").select("doc_id", "text"), secrets.train(spark))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -65,6 +69,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_fingerprint": op3_fingerprint,
+    "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
