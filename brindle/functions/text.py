@@ -26,6 +26,21 @@ def unicode_form(text: Column, form: str = "NFKC") -> Column:
     return run(text)
 
 
+def _folding() -> tuple[str, str]:
+    """Characters whose compatibility decomposition, without marks, is one ASCII character, and those characters."""
+    found = {}
+    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2070, 0x20A0), *range(0x2460, 0x24FF), *range(0xFF01, 0xFF5F)):
+        base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        if len(base) == 1 and base.isascii():
+            found[chr(code)] = base
+    return "".join(found), "".join(found.values())
+
+
+def ascii_fold(text: Column) -> Column:
+    """Accents off and wide forms narrow, on the JVM; characters that decompose into several stay."""
+    return F.translate(F.regexp_replace(text, "[\u0300-\u036f]", ""), *_folding())
+
+
 def squeeze(text: Column) -> Column:
     """Runs of white space become one space; ends are trimmed."""
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
@@ -68,8 +83,7 @@ def explicit_strengths(text: Column) -> Column:
 
 def identity_text(text: Column) -> Column:
     """Entities decoded, accents and strengths off, ASCII words only."""
-    t = unicode_form(decode_html(text, strip_tags=False), "NFKD")
-    t = F.lower(F.regexp_replace(t, "[̀-ͯ]", ""))
+    t = F.lower(ascii_fold(decode_html(text, strip_tags=False)))
     t = F.regexp_replace(t, r"\b\d+(?:[.,]\d+)?\s*mg(?:\s*/\s*(?:g|pouch))?\b", " ")
     return squeeze(F.regexp_replace(t, "[^a-z0-9]+", " "))
 

@@ -45,7 +45,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, rounds: int = 10) -> DataFrame:
     """Page URLs reachable from seed sitemaps through indexes; breadth first over a table of pages (url, body), each round a join."""
     seen, front, found = seeds.select("url").distinct(), seeds.select("url").distinct(), None
     for _ in range(rounds):
-        rows = sitemap(front.join(pages, "url"), "url", "body").select(F.col("url").alias("loc"), "is_index")
+        rows = sitemap(front.join(pages, "url").withColumnRenamed("url", "page"), "page", "body").select(F.col("url").alias("loc"), "is_index")
         leaf = rows.where("not is_index").select(F.col("loc").alias("url"))
         found = leaf if found is None else found.unionAll(leaf)
         front = rows.where("is_index").select(F.col("loc").alias("url")).distinct().join(seen, "url", "left_anti").checkpoint()
@@ -55,9 +55,6 @@ def crawl(pages: DataFrame, seeds: DataFrame, rounds: int = 10) -> DataFrame:
     return found.distinct()
 
 
-ROBOTS = "groups array<struct<agents:array<string>,disallow:array<string>,allow:array<string>,crawl_delay:double>>"
-
-
 def robots(text: Column) -> Column:
     """Rule groups of a robots file that name every agent (*)."""
 
