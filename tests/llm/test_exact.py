@@ -1,0 +1,293 @@
+"""Operators with exact results, against brute force and round trips."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+pytest.importorskip("brindle.llm")
+import public_tokenizers as P
+import tiktoken
+from pyspark.sql import functions as F
+
+from brindle.llm import bpe, fingerprint, html, jaccard, packing, secrets, sharding, topk
+
+RANKS = P.path("byte_bpe_50k.tiktoken")
+JSON = P.path("byte_bpe_50k.json")
+ODD = [(1, None), (1, None), (2, ""), (3, "a"), (3, "a"), (4, "Grüße 😀 \n\n  x"), (5, "word " * 30000), (None, "null key"), (6, "a")]
+
+
+def odd(spark):
+    return spark.createDataFrame(ODD, "doc_id long, text string").withColumn("start", F.lit("clash"))
+
+
+# --- 5: byte-level BPE
+
+
+def test_bpe_fuzz():
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    encoder, decoder = bpe.codec(RANKS, P.PATTERN)
+    r = random.Random(4)
+    parts = ["the", "in", " ", "  ", "\n", "tion", "'s", "n't", "!!!", "123", "é", "日本", "😀", "\x85", "\x1c", "　", "Q", "zx"]
+    for k in range(4000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 25)))
+        packed = encoder.encode(t)
+        assert np.frombuffer(packed, "<u4").tolist() == enc.encode_ordinary(t)
+        assert b"".join(decoder.stream(packed, r.randint(1, 5))) == t.encode()
+    for t in ("a" * 3000, " " * 2001, "ab" * 999, "<|endoftext|>"):
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == enc.encode_ordinary(t)
+
+
+def test_utf8_machine():
+    raw = "aé日😀".encode() * 3
+    for step in range(1, 6):
+        m, out = bpe.Utf8Machine(), []
+        for i in range(0, len(raw), step):
+            part = m.feed(raw[i : i + step])
+            part.decode()
+            out.append(part)
+        assert b"".join(out) + m.finish() == raw
+
+
+def test_bpe_frames(spark):
+    df = odd(spark)
+    got = bpe.decode_ids(bpe.encode_texts(df, RANKS, P.PATTERN), RANKS, P.PATTERN)
+    assert all(bytes(r.decoded) == (r.text or "").encode() for r in got.collect())
+    rows = bpe.round_trip(df, RANKS, P.PATTERN).collect()
+    assert len(rows) == len(ODD) and {r.decoded_sha256 for r in rows} == {hashlib.sha256((t or "").encode()).hexdigest() for _, t in ODD}
+    assert bpe.round_trip(df.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+# --- 2: packing
+
+
+def test_best_fit():
+    r = np.random.default_rng(2)
+    lengths = r.integers(1, 1025, 3000)
+    cap = packing.Capacity(1024, 6, 700_000)
+    lengths = lengths[lengths**2 <= cap.cost]
+    for rule in ("norm", "dot"):
+        bins, at = packing.best_fit(lengths, cap, rule=rule)
+        for b in np.unique(bins):
+            own = np.flatnonzero(bins == b)
+            own = own[np.argsort(at[own])]
+            assert lengths[own].sum() <= 1024 and len(own) <= 6 and (lengths[own] ** 2).sum() <= cap.cost
+            assert at[own].tolist() == [0, *np.cumsum(lengths[own])[:-1].tolist()]
+    loose, _ = packing.best_fit(lengths)
+    assert len(np.unique(loose)) <= 1.02 * lengths.sum() / 1024 + 1
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(JSON)
+    tok.encode_special_tokens = True
+    rows = packing.pack_documents(odd(spark), JSON, P.PATTERN).collect()
+    docs = collections.defaultdict(list)
+    for r in rows:
+        docs[r.doc_id].append(r)
+    ids = [*tok.encode("word " * 30000, add_special_tokens=False).ids, 2]
+    five = sorted(docs[5], key=lambda r: r.piece)
+    assert [r.start for r in five] == [0, *np.cumsum([r.length for r in five])[:-1].tolist()] and sum(r.length for r in five) == len(ids)
+    assert all(r.length == 1024 for r in five[1:])
+    assert all(r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) for r in five)
+    assert [r.length for r in docs[1]] == [1, 1] and len(docs[3]) == 2 and None in docs
+    assert packing.pack_documents(odd(spark).limit(0), JSON, P.PATTERN).count() == 0
+
+
+# --- 3: Order MinHash
+
+
+def plain_signature(raw):
+    k = raw.ljust(8, b"\0")
+    mers = np.array([int.from_bytes(k[i : i + 8], "little") for i in range(len(k) - 7)], np.uint64)
+    seen, times = collections.Counter(), []
+    for m in mers.tolist():
+        times.append(seen[m])
+        seen[m] += 1
+    x = fingerprint._mixed(mers)
+    if max(times):
+        x = fingerprint._mixed(x + np.array(times, np.uint64) * fingerprint._K3)
+    out = []
+    for a in fingerprint._A:
+        two = np.sort(np.argsort(x * a, kind="stable")[:2])
+        one, other = mers[two[0]], mers[two[-1]]
+        out.append(int(fingerprint._mixed(fingerprint._mixed(np.array([one])) + np.array([other]) * fingerprint._K3)[0] >> np.uint64(48)))
+    return out
+
+
+def test_signature():
+    for t in (b"a", b"abcdefgh", b"hello there, hello there", b"ab" * 40, bytes(range(256)) * 30):
+        assert fingerprint.signature(t).tolist() == plain_signature(t)
+    a, b, c = (fingerprint.signature(t) for t in (b"one two three four five six seven" * 9, b"one two three four five six seven" * 8 + b"changed", b"something else entirely" * 9))
+    assert fingerprint.likeness(a, b) > fingerprint.likeness(a, c)
+
+
+def test_next_text(spark):
+    rows = [(i, t) for i, t in enumerate(["alpha beta gamma delta", None, "", "é" * 9, "x", "tail text here"])]
+    make = fingerprint.EditedNext()
+    got = {r.doc_id: r for r in fingerprint.with_next_text(spark.createDataFrame(rows, "doc_id long, text string"), make, make.fields).collect()}
+    order = sorted(rows, reverse=True)
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+        t, n = t or "", n or ""
+        edited = t[: len(t) - len(t) // 3] + n[: len(t) // 3]
+        assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and got[i].n_chars == len(t)
+    assert got[1].fingerprint == got[2].fingerprint
+    one = fingerprint.with_next_text(spark.createDataFrame([(7, "abc")], "doc_id long, text string"), make, make.fields).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+    assert fingerprint.with_next_text(odd(spark), make, make.fields).count() == len(ODD)
+    assert fingerprint.with_next_text(odd(spark).limit(0), make, make.fields).count() == 0
+
+
+# --- 4: secrets
+
+
+def test_secrets(spark):
+    forest = secrets.train(spark)
+    held = secrets.labelled_findings(seed=77, each=20)
+    table = spark.createDataFrame(held, "b string, c string, a string, y int")
+    x = table.select("y", F.expr(secrets._features()).alias("f")).select("y", "f.*").collect()
+    p = forest.predict(np.array([[float(v) for v in r[1:]] for r in x]))
+    assert np.mean((p >= 0.5) == np.array([r[0] for r in x])) > 0.95
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    text = f'Ünder token = "{key}" and commit {key} then password: "hunter2!x9" end'
+    rows = [(1, text), (1, text), (2, None), (3, ""), (4, "plain words only"), (5, ("word " * 5000) + f'api_key = "{key}"')]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_findings", F.lit(1))
+    got = secrets.findings(df, forest).collect()
+    full = dict(rows)
+    assert all(full[r.doc_id][r.start : r.start + r.length] == r.secret for r in got)
+    assert sum(r.doc_id == 1 and r.secret == key for r in got) == 2 and any(r.doc_id == 5 for r in got) and not {r.doc_id for r in got} & {2, 3, 4}
+    clean = secrets.redact(df, forest)
+    assert clean.columns == df.columns
+    out = {r.doc_id: r.text for r in clean.collect()}
+    assert out[1].startswith('Ünder token = "[SECRET]" and commit ' + key) and out[2] is None and out[3] == "" and out[4] == "plain words only"
+    assert "Python" not in clean._jdf.queryExecution().executedPlan().toString()
+    assert secrets.findings(df.limit(0), forest).count() == 0
+
+
+# --- 7: sharding
+
+
+def test_sharding(spark):
+    r = random.Random(5)
+    rows = [(i, "w" * r.randint(0, 400) + str(i), f"s{i % 3 if i % 2 else 0}", "en") for i in range(900)] + [(1000 + i, "same", "s0", None) for i in range(80)] + [(None, None, None, None), (5, None, "s0", "en"), (5, "x", "s1", "en"), (5, "x", "s1", "en")]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("shard", F.lit("clash"))).collect()
+    assert len(got) == len(rows)
+    size, slots, groups = collections.Counter(), collections.defaultdict(list), collections.defaultdict(set)
+    for x in got:
+        size[x.shard] += x.size
+        slots[x.shard].append(x.slot)
+        groups[x.text_crc32, x.size].add(x.shard)
+    assert set(size) == set(range(8)) and max(size.values()) <= 1.1 * min(size.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(g) == 1 for k, g in groups.items() if k[1] > 1)
+    empty = spark.createDataFrame([], "doc_id long, text string, source string, lang string")
+    assert sharding.shard(empty).count() == 0
+
+
+# --- 8: page differencing
+
+
+def plain_lcs(a, b):
+    d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            d[i + 1][j + 1] = d[i][j] + 1 if x == y else max(d[i][j + 1], d[i + 1][j])
+    return d[-1][-1]
+
+
+def test_common_lines():
+    r = random.Random(3)
+    for _ in range(300):
+        a, b = ([r.choice("abcd") for _ in range(r.randint(0, 12))] for _ in range(2))
+        shared = [x for x, s in zip(a, html.common_lines(a, b)) if s]
+        it = iter(b)
+        assert all(x in it for x in shared) and len(shared) == plain_lcs(a, b)
+
+
+def test_pages(spark):
+    page = lambda body: f"<html><head><title>T</title></head><body><nav><a>Menu</a></nav><div>Site tagline</div>{body}<div class='comments'><p>Nice!</p></div><script>var t='</p>';</script><div>Imprint</div></body></html>"
+    rows = [
+        (1, "https://a.com/x/1", page("<p>First  story &amp;\n more</p><p>Second</p>")),
+        (2, "https://a.com/x/2?q=1", page("<p>Other story</p>")),
+        (3, "https://b.com/x/1", page("<p>Alone</p>")),
+        (4, "https://a.com/x/1", page("<article><h1>Head</h1><p>Site tagline</p><aside>side</aside></article>")),
+        (5, None, None),
+        (6, "nonsense", ""),
+    ]
+    got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(0))).collect()}
+    assert got[1].text == "First story & more\nSecond" and got[2].text == "Other story" and got[4].text == "Head\nSite tagline"
+    assert got[3].text == "Site tagline\nAlone\nImprint" and got[5].text == "" and got[6].n_chars == 0 and got[1].n_chars == len(got[1].text)
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+# --- 9: top-k
+
+
+def test_topk(spark):
+    r = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in r.integers(-3, 4, 5) / 4]) for i in range(160)] + [(200, None), (201, [1.0, float("nan")]), (202, [None, 1.0]), (203, []), (50, [9.0, 0.0, 0.0, 0.0, 0.0]), (None, [1.0])]
+    df = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = collections.defaultdict(list)
+    for x in topk.search(df, F.col("vec_id") % 50 == 0, query_block=2, candidate_block=37).orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.vec_id, x.score))
+    good = [(i, np.floor(np.array(v) * 256).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and x == x for x in v)]
+    for q in (0, 100, 150):
+        qv = next(v for i, v in good if i == q)
+        s = sorted((-int((qv[: len(v)] * v[: len(qv)]).sum()), i) for i, v in good if i != q)[:5]
+        assert got[q] == [(i, -k) for k, i in s]
+    assert topk.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+# --- 10: Jaccard join
+
+
+def plain_components(docs, percent=75):
+    sets = {}
+    for i, t in docs:
+        w = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets[i] = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    root = {i: i for i in sets}
+    ids = sorted(sets)
+    changed = True
+    pairs = [(a, b) for a in ids for b in ids if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    while changed:
+        changed = False
+        for a, b in pairs:
+            m = min(root[a], root[b])
+            changed |= root[a] != m or root[b] != m
+            root[a] = root[b] = m
+    return {i: (len(sets[i]), root[i]) for i in ids}
+
+
+@pytest.mark.parametrize("seed, budget", [(1, 1 << 18), (2, 40)])
+def test_jaccard(spark, seed, budget):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    passage = [r.choice(words) for _ in range(60)]
+    base = [r.choice(words) for _ in range(120)]
+    docs = [(0, None), (1, ""), (2, "Hi there"), (3, "hi THERE"), (4, "hi there you")]
+    for i in range(10, 80):
+        t = list(base)
+        for _ in range(r.randint(0, 5)):
+            t[r.randrange(len(t))] = r.choice(words)
+        docs.append((i, " ".join(t)))
+    for i in range(100, 140):
+        docs.append((i, " ".join([r.choice(words) for _ in range(r.randint(5, 40))] + passage + [r.choice(words) for _ in range(r.randint(0, 20))])))
+    docs += [(200 + i, docs[20][1]) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("_set", F.lit("x"))
+    from unittest import mock
+
+    with mock.patch.object(jaccard.links, "__defaults__", (budget,)):
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.near_duplicates(df).collect()}
+    assert got == plain_components(docs)
+
+
+def test_jaccard_odd(spark):
+    got = jaccard.near_duplicates(odd(spark)).collect()
+    assert len(got) == len(ODD) and {x.component_id for x in got if x.doc_id in (3, 6)} == {3}
+    assert jaccard.near_duplicates(odd(spark).limit(0)).count() == 0
