@@ -117,7 +117,7 @@ class WordConvNet:
             z = x @ self.w
             for e in ends:
                 for r, width in ((e, 2), (e, 3), (e - 1, 3)):
-                    if 0 <= r < j - i:
+                    if 0 <= r < j - i and own[r] == own[e]:
                         self._alone(a, z, r, width, min(e - r + 1, width))
             cuts = np.flatnonzero(np.diff(np.append(-1, doc[i:j])))
             got = np.maximum.reduceat(a, cuts, 0)
