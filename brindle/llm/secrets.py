@@ -200,7 +200,8 @@ def findings(df: DataFrame, forest: Forest, key: str = "doc_id", text: str = "te
     Repeated rows give their findings again. Only candidates, a small table, are shuffled for the positions.
     """
     base = scan(df.select(key, text), forest, text, "_findings").where(F.size("_findings") > 0)
-    rows = base.select(F.monotonically_increasing_id().alias("_row"), F.col(key), F.posexplode("_findings").alias("_pos", "_f"))
+    # numbered before the arrays are taken apart, in a step of its own: an id beside posexplode would number candidates
+    rows = base.withColumn("_row", F.monotonically_increasing_id()).select("_row", F.col(key), F.posexplode("_findings").alias("_pos", "_f"))
     upto = Window.partitionBy("_row").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.length("_f.secret")
     rows = rows.select(key, (F.sum(F.col("_f.gap") + size).over(upto) - size).cast("long").alias("start"), size.cast("long").alias("length"), F.col("_f.secret").alias("secret"), F.col("_f.score").alias("score"))

@@ -157,8 +157,12 @@ def test_secrets(spark):
     text = f'Ünder token = "{key}" and commit {key} then password: "hunter2!x9" end'
     rows = [(1, text), (1, text), (2, None), (3, ""), (4, "plain words only"), (5, ("word " * 5000) + f'api_key = "{key}"')]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_findings", F.lit(1))
-    got = secrets.findings(df, forest).collect()
+    from brindle.llm.common import written
+
     full = dict(rows)
+    read = [(r.doc_id, r.start) for r in secrets.findings(written(df, "texts"), forest).collect()]
+    got = secrets.findings(df, forest).collect()
+    assert sorted(read) == sorted((r.doc_id, r.start) for r in got)
     assert all(full[r.doc_id][r.start : r.start + r.length] == r.secret for r in got)
     assert sum(r.doc_id == 1 and r.secret == key for r in got) == 2 and any(r.doc_id == 5 for r in got) and not {r.doc_id for r in got} & {2, 3, 4}
     clean = secrets.redact(df, forest)
