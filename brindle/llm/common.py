@@ -8,10 +8,8 @@ the number of rows.
 
 from __future__ import annotations
 
-import bisect
 import tempfile
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +52,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete tables that ``written`` made, once nothing reads them any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the column's text, modulo ``modulus``; a null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
@@ -135,11 +124,3 @@ def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None
     place = placement_keys(spark, n)
     spot = F.element_at(F.array(*[F.lit(k).cast("long") for k in place]), F.pmod(F.col(CELL), F.lit(n)) + 1)
     return out.withColumn("_spot", spot).repartition(n, "_spot").drop("_spot").sortWithinPartitions(CELL, GUARD, key, *ties)
-
-
-def partition_of(key, bounds: list) -> int:
-    return bisect.bisect_right(bounds, key)
-
-
-def crc_text(value) -> int:
-    return zlib.crc32(str(value).encode())

@@ -9,7 +9,6 @@ texts. Training (Adam, in numpy, on the driver) uses a bounded sample of windows
 
 from __future__ import annotations
 
-import math
 import re
 
 import numpy as np
@@ -195,14 +194,13 @@ def identify(df: DataFrame, model: ByteConvNet | None, text: str = "text", pred:
             n = b.num_rows
             names, probs = [UNDETERMINED] * n, np.zeros(n)
             if model is not None:
-                letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[raw], dtype=np.int64)])
-                has = letters[offsets[1:]] > letters[offsets[:-1]]
-                for i in np.flatnonzero(~has & (offsets[1:] > offsets[:-1])):
-                    has[i] = bool(_LETTER.search(raw[offsets[i] : offsets[i + 1]].tobytes().decode()))
-                for i, j in slices(offsets, 2 << 20):
-                    best, p = model.predict(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                    for k in np.flatnonzero(has[i:j]):
-                        names[i + k], probs[i + k] = model.languages[best[k]], float(p[k])
+                for i, j in slices(offsets, 1 << 20):
+                    part, ends = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                    best, p = model.predict(part, ends)
+                    ascii_ = np.append(0, np.cumsum(_ASCII_LETTER[part], dtype=np.int32))
+                    for k in range(j - i):
+                        if ascii_[ends[k]] < ascii_[ends[k + 1]] or _LETTER.search(part[ends[k] : ends[k + 1]].tobytes().decode()):
+                            names[i + k], probs[i + k] = model.languages[best[k]], float(p[k])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(np.clip(probs, 0, 1), pa.float64())], [*keep, pred, score])
 
     return base.mapInArrow(run, schema)
@@ -212,7 +210,3 @@ def fit_and_identify(docs: DataFrame, text: str = "text", lang: str = "lang", ke
     """Learn from rows outside fold ``fold_out`` and predict every row; adds lang_pred and score."""
     model = train(training_windows(docs.where(fold(key, fold_mod) != fold_out), text, lang, key, per_language))
     return identify(docs, model, text)
-
-
-def expected_windows(n_bytes: int) -> int:
-    return max(1, math.ceil(n_bytes / WINDOW))

@@ -294,7 +294,7 @@ def score_toxicity(df: DataFrame, model: WordConvNet | None, text: str = "text",
             raw, offsets = text_bytes(b.column(at))
             s = np.zeros(b.num_rows)
             if model is not None:
-                for i, j in slices(offsets, 4 << 20):
+                for i, j in slices(offsets, 1 << 20):
                     s[i:j] = model.score(*word_ids(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array((s >= CUT).astype(np.int32))], [*keep, score, predicted])
 
