@@ -11,7 +11,7 @@ r = 1 - threshold. The join works on distinct sets and narrows regions around pi
 2. Document pivots. In each region the document nearest to the common stock is pivot, distances to it are exact, and what is
    within r of it is linked to it; its ball is one component. Only documents outside go on, and of the ball those within the
    triangle window |d(x,p) - d(y,p)| <= r of one outside.
-3. Regions are joined again with new pivots until they are small; there the pairs inside the windows are verified.
+3. What is left of a region is joined again with more pivots, until none of its documents is outside.
 
 Shingles travel as packed arrays by hash range, so counting costs a sort in numpy, not a row a shingle.
 Equal sets are one set throughout: a group of copies of any size costs one document.
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from brindle.llm.common import extended, placement_keys, shuffle_partitions, slices, text_bytes, written
 
-SMALL = 48
 _P, _Q = np.uint64(0x100000001B3 * 0x9E3779B1 & (1 << 64) - 1 | 1), np.uint64(0xD6E8FEB86659FD93)
 _K1, _K2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTE = np.random.default_rng(23).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -91,7 +90,7 @@ def set_id(h: np.ndarray) -> int:
     return int(_mix(_mix(h).sum(keepdims=True) + np.full(1, len(h), np.uint64) * _Q).astype(np.int64)[0])
 
 
-def _sets_of(batches, words: int, most: int = 8 << 20):
+def _sets_of(batches, words: int, most: int = 2 << 20):
     """(batch, first row, sets) for runs of rows of batches whose last column is the text."""
     for b in batches:
         raw, offsets = text_bytes(b.column(b.num_columns - 1))
@@ -262,46 +261,42 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, inter long, union long")
 
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between linked sets that connect every component: each linked pair is an edge or joined by edges."""
-    # ball: known to be in the component of the region's first pivot; who is outside goes on until compared with all who could link
+def links(sets: DataFrame, percent: int, pairs_a_round: int = 1 << 18, least_pivots: int = 4) -> DataFrame:
+    """Edges (a, b) between linked sets that connect every component: each linked pair is an edge or joined by edges.
+
+    The first round has one pivot a region; later ones have as many, drawn by hash, as make about ``pairs_a_round`` pairs
+    of a region, but about ``least_pivots`` and at least one, so every region ends. ``ball``: known to be in the component of the first pivot.
+    Pairs whose sizes alone put them beyond r (the triangle with the empty set) keep that bound for a distance and are not compared.
+    """
     reach = 1 - percent / 100
     regions = sets.select("_set", "own", "n", F.explode("window").alias("region"))
-    regions = regions.select("region", "_set", F.struct((F.col("own") / F.col("n")).alias("u"), F.col("_set").alias("p")).alias("rank"), F.lit(False).alias("ball"))
-    regions = written(regions, "regions")
-    edges, first = None, True
+    regions = regions.select("region", "_set", "n", F.struct((F.col("own") / F.col("n")).alias("u"), F.col("_set").alias("p")).alias("rank"), F.lit(False).alias("ball"))
+    edges, turn = None, 0
     while True:
+        regions = written(regions, "regions")
         heads = regions.groupBy("region").agg(F.min(F.when(~F.col("ball"), F.col("rank"))).alias("head"), F.count(F.lit(1)).alias("size"), F.sum((~F.col("ball")).cast("long")).alias("out"))
-        heads = heads.where("size > 1 and out > 0").select("region", F.col("head.p").alias("p"), "size")
-        with_head = written(regions.join(heads, "region"), "headed")
-        small = with_head.where(F.col("size") <= SMALL)
-        large = with_head.where(F.col("size") > SMALL)
-        if not first:
-            pairs = _small_pairs(small)
-            edges = edges.unionByName(_linked(written(_distances(pairs, sets), "pairs"), percent))
-            if large.isEmpty():
-                return edges
-            with_head = large
-        star = with_head.where(F.col("_set") != F.col("p")).select(F.col("_set").alias("a"), F.col("p").alias("b")).distinct()
-        star = written(_distances(star, sets), "star")
-        got = _linked(star, percent)
+        heads = heads.where("size > 1 and out > 0").select("region", F.col("head.p").alias("head"), (F.greatest(F.lit(pairs_a_round) / F.col("size"), F.lit(float(least_pivots))) / F.col("out")).alias("share"))
+        headed = written(regions.join(heads, "region"), "headed")
+        if edges is not None and headed.isEmpty():
+            return edges
+        drawn = F.pmod(F.xxhash64("_set", F.lit(turn)), F.lit(1 << 20)) < F.col("share") * (1 << 20) if turn else F.lit(False)
+        pivots = headed.where(~F.col("ball") & ((F.col("_set") == F.col("head")) | drawn)).select("region", F.col("_set").alias("p"), F.col("n").alias("_np"))
+        star = headed.select("region", "_set", "n", "rank", "ball").join(pivots, "region").where("_set <> p")
+        star = star.withColumn("_bound", F.least("n", "_np") / F.greatest("n", "_np"))
+        compared = star.where(100 * F.least("n", "_np") >= percent * F.greatest("n", "_np"))
+        near = written(_distances(compared.select(F.col("_set").alias("a"), F.col("p").alias("b")).distinct(), sets), "star")
+        got = _linked(near, percent)
         edges = got if edges is None else edges.unionByName(got)
-        near = star.select(F.col("a").alias("_set"), F.col("b").alias("p"), (1 - F.col("inter") / F.col("union")).alias("d"), (100 * F.col("inter") >= percent * F.col("union")).alias("in"))
-        left = with_head.where(F.col("_set") != F.col("p")).join(near, ["_set", "p"])
-        if not first:
-            joined = left.groupBy("region").agg(F.max(F.col("ball") & F.col("in")).alias("joined"))
-            left = left.join(joined, "region")
-        left = written(left.withColumn("ball", F.col("in") if first else F.col("ball") | (F.col("in") & F.col("joined"))), "left")
-        shell = left.where(~F.col("ball")).groupBy("region").agg(F.min("d").alias("least"))
-        stay = left.join(shell, "region").where(~F.col("ball") | (F.col("d") >= F.col("least") - reach - 1e-9))
-        regions, first = written(stay.select("region", "_set", "rank", "ball"), "regions"), False
-
-
-def _small_pairs(small: DataFrame) -> DataFrame:
-    """Pairs of a small region, but not two that are in one component already."""
-    x = small.select("region", F.col("_set").alias("a"), F.col("ball").alias("xb"))
-    y = small.select("region", F.col("_set").alias("b"), F.col("ball").alias("yb"))
-    return x.join(y, "region").where("a < b and not (xb and yb)").select("a", "b").distinct()
+        near = near.select(F.col("a").alias("_set"), F.col("b").alias("p"), (1 - F.col("inter") / F.col("union")).alias("d"), (100 * F.col("inter") >= percent * F.col("union")).alias("in"))
+        seen = star.join(near, ["_set", "p"], "left").withColumn("in", F.coalesce("in", F.lit(False)))
+        seen = written(seen.withColumn("low", F.coalesce("d", 1 - F.col("_bound"))).withColumn("d", F.coalesce("d", F.lit(1.0))).drop("_bound", "_np"), "seen")
+        joined = seen.groupBy("region", "p").agg(F.max(F.col("ball") & F.col("in")).alias("joined") if turn else F.max(F.lit(True)).alias("joined"))
+        left = seen.join(joined, ["region", "p"]).join(pivots.select("region", F.col("p").alias("_set")), ["region", "_set"], "left_anti")
+        tagged = left.groupBy("region", "_set").agg(F.max(F.col("ball") | (F.col("in") & F.col("joined"))).alias("tag"))
+        left = written(left.join(tagged, ["region", "_set"]).select("region", "_set", "n", "rank", "p", "d", "low", "tag"), "left")
+        shell = left.where("not tag").groupBy("region", "p").agg(F.min("low").alias("least"))
+        stay = left.join(shell, ["region", "p"]).groupBy("region", "_set").agg(F.min(~F.col("tag") | (F.col("d") >= F.col("least") - reach - 1e-9)).alias("stay"), F.min("n").alias("n"), F.min("rank").alias("rank"), F.max("tag").alias("ball"))
+        regions, turn = stay.where("stay").select("region", "_set", "n", "rank", "ball"), turn + 1
 
 
 def _linked(pairs: DataFrame, percent: int) -> DataFrame:

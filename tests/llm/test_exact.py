@@ -286,7 +286,7 @@ def test_jaccard(spark, seed, budget):
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("_set", F.lit("x"))
     from unittest import mock
 
-    with mock.patch.object(jaccard.links, "__defaults__", (budget,)):
+    with mock.patch.object(jaccard.links, "__defaults__", (budget, 1)):
         got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.near_duplicates(df).collect()}
     assert got == plain_components(docs)
 
