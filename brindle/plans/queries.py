@@ -174,6 +174,15 @@ def structured_match(spark, sf):
     return a.join(b, "k").where("b1 = b2 or p_type = 'ECONOMY'").select("left_key", "right_key")
 
 
+@query("""SELECT a.p_partkey AS left_key, b.p_partkey AS right_key FROM part a JOIN part b ON trim(lower(a.p_name)) = trim(lower(b.p_name)) AND (a.p_brand = b.p_brand OR b.p_type = 'ECONOMY') WHERE a.p_partkey <> b.p_partkey""")
+def structured_match_all(spark, sf):
+    """Every part against every other; structured_match holds two sizes only."""
+    p = _t(spark, sf, "part").withColumn("k", text.normalize_candidate(F.col("p_name")))
+    a = p.select(F.col("p_partkey").alias("left_key"), "k", F.col("p_brand").alias("b1"))
+    b = p.select(F.col("p_partkey").alias("right_key"), "k", F.col("p_brand").alias("b2"), "p_type")
+    return a.join(b, "k").where("(b1 = b2 or p_type = 'ECONOMY') and left_key <> right_key").select("left_key", "right_key")
+
+
 WORDS = "SELECT {key}, {owner} unnest(list_distinct(regexp_split_to_array(lower({text}), '[^a-z]+'))) AS w FROM {table}"
 
 
@@ -191,6 +200,15 @@ def similar_candidates_top3(spark, sf):
     return evidence.top_candidates(rows, recs, "id", "rec", "words", "owner", 0.6).withColumn("score", F.round("score", 6))
 
 
+@query(None)
+def similar_documents_top3(spark, sf):
+    """Every benchmark item against every document, owner = source; too much for SQL, tests hold it against brute force."""
+    words = F.array_distinct(text.tokens(text.normalize_candidate(F.col("text")))).alias("words")
+    rows = _t(spark, sf, "benchmark").select(F.col("item_id").alias("id"), words)
+    recs = _t(spark, sf, "documents").select(F.col("doc_id").alias("rec"), F.col("source").alias("owner"), words)
+    return evidence.top_candidates(rows, recs, "id", "rec", "words", "owner", 0.6).withColumn("score", F.round("score", 6))
+
+
 @query("""SELECT item_id, trim(array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> ''))), ' ')) AS material_key FROM benchmark""")
 def material_key(spark, sf):
     return _t(spark, sf, "benchmark").select("item_id", text.material_key(F.col("text")).alias("material_key"))
