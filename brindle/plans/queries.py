@@ -228,6 +228,14 @@ def observed_rollup(spark, sf):
     return got.select("l_partkey", F.col("first_l_returnflag").alias("first_flag"), F.array_join(F.col("values").cast("array<string>"), ",").alias("vals"), "owners")
 
 
+@query("""SELECT l_partkey, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber) AS first_flag, array_to_string(list_sort(list_distinct(list(CAST(l_quantity AS INTEGER)))), ',') AS vals, count(DISTINCT l_suppkey) AS owners FROM lineitem GROUP BY 1""")
+def observed_rollup_all(spark, sf):
+    """Lines of all parts; observed_rollup holds small sizes only."""
+    rows = _t(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("o"), F.col("l_quantity").cast("int").alias("q"))
+    got = evidence.rollup(rows, "l_partkey", "o", ["l_returnflag"], "q", "l_suppkey")
+    return got.select("l_partkey", F.col("first_l_returnflag").alias("first_flag"), F.array_join(F.col("values").cast("array<string>"), ",").alias("vals"), "owners")
+
+
 @query("""WITH g AS (SELECT l_partkey, count(DISTINCT l_discount) AS values, count(DISTINCT l_suppkey) AS groups, bool_or(l_returnflag = 'R') AS trusted FROM lineitem GROUP BY 1)
 SELECT l_partkey, values, groups, trusted, values > 1 AND groups > 1 AS conflict, NOT (values > 1 AND groups > 1) AND (trusted OR groups >= 2) AS verified FROM g""")
 def owner_conflicts(spark, sf):
@@ -301,6 +309,14 @@ def union_dedupe_last(spark, sf):
     return history.last_by_key(both, "user_id", ["event_id"])
 
 
+@query("""SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1""")
+def union_dedupe_last_all(spark, sf):
+    """Two overlapping slices that cover all events; those of union_dedupe_last leave a fifth out."""
+    e = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
+    both = e.where("event_id % 5 < 3").unionByName(e.where("event_id % 5 >= 2"))
+    return history.last_by_key(both, "user_id", ["event_id"])
+
+
 ITEMS = "SELECT user_id, event_id, event_type || '-' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 AS VARCHAR) AS item FROM events"
 
 
@@ -437,3 +453,13 @@ def sequence_alignment(spark, sf):
     cur = p.where("p_size % 2 = 0").select("p_partkey", "p_brand", F.col("p_partkey").alias("o"))
     snap = p.select(F.col("p_partkey").alias("aligned"), "p_brand", F.col("p_partkey").alias("o"))
     return catalog.align(cur, snap, ["p_brand"], "o", "aligned").select("p_partkey", "aligned")
+
+
+@query("""SELECT a.p_partkey, b.p_partkey AS aligned FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS k FROM part) a
+LEFT JOIN (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part) b USING (p_brand, k)""")
+def sequence_alignment_all(spark, sf):
+    """All parts in order of size against all in order of key; sequence_alignment holds even sizes only."""
+    p = _t(spark, sf, "part")
+    cur = p.select("p_partkey", "p_brand", F.struct("p_size", "p_partkey").alias("o"))
+    snap = p.select(F.col("p_partkey").alias("aligned"), "p_brand", F.struct("p_partkey").alias("o"))
+    return catalog.align(cur, snap, ["p_brand"], "o", "aligned").select("p_partkey", "aligned")

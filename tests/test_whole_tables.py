@@ -37,3 +37,30 @@ def test_similar_documents_top3(spark):
         want |= {(item.item_id, doc, source, round(-s, 6), k) for k, (s, doc, source) in enumerate(top, 1)}
     got = [(r.id, r.rec, r.owner, r.score, r["rank"]) for r in queries.QUERIES["similar_documents_top3"](spark, SF).collect()]
     assert want and len(got) == len(want) and set(got) == want
+
+
+def test_observed_rollup_all(spark):
+    lines = collections.defaultdict(list)
+    for r in rows(spark, "lineitem", "l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_suppkey"):
+        lines[r[0]].append((r[1] * 10 + r[2], r[3], int(r[4]), r[5]))
+    want = {(k, min(v)[1], ",".join(map(str, sorted({x[2] for x in v}))), len({x[3] for x in v})) for k, v in lines.items()}
+    got = [tuple(r) for r in queries.QUERIES["observed_rollup_all"](spark, SF).select("l_partkey", "first_flag", "vals", "owners").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_union_dedupe_last_all(spark):
+    last = {}
+    for r in rows(spark, "events", "user_id", "event_id", "event_type"):
+        last[r[0]] = max(last.get(r[0], (-1, "")), (r[1], r[2]))
+    got = [(r.user_id, (r.event_id, r.event_type)) for r in queries.QUERIES["union_dedupe_last_all"](spark, SF).collect()]
+    assert len(got) == len(last) and dict(got) == last and any(e % 5 == 4 for e, _ in last.values())
+
+
+def test_sequence_alignment_all(spark):
+    parts = rows(spark, "part", "p_brand", "p_size", "p_partkey")
+    want = {}
+    for brand in {r[0] for r in parts}:
+        own = [(r[1], r[2]) for r in parts if r[0] == brand]
+        want |= dict(zip((k for _, k in sorted(own)), sorted(k for _, k in own)))
+    got = [tuple(r) for r in queries.QUERIES["sequence_alignment_all"](spark, SF).collect()]
+    assert len(got) == len(want) == len(parts) and dict(got) == want
