@@ -6,7 +6,7 @@ lines that both have, being template, are deleted.
 
 Differencing alone cannot give right results on pages where the template is filled with text of its own (adverts, footers) or
 where two neighbours carry the same article, so markup decides what it can first: elements that are never main text
-(menus, footers, forms, scripts, adverts, comments and the like) are passed over, and lines inside an
+(menus, footers, forms, scripts, and boxes whose whole class, id or role is known boilerplate) are passed over, and lines inside an
 article or main element are kept even if a neighbour has them. Differencing decides the rest.
 """
 
@@ -22,13 +22,20 @@ from pyspark.sql import functions as F
 from brindle.llm.common import CELL, GUARD, extended, in_order
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_MARK = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|sidebar|aside|menus?|nav|navbar|navigation|breadcrumbs?|footer|comments?|disqus|replies|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|popup|modal|overlay|widget|complementary|contentinfo|search|pagination|pager|toolbar|tags)(?:[\s_-]|$)",
-    re.I,
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+#: Whole class names ('_' read as '-') and roles of boilerplate; ids leave out words that may name a section of a text.
+_CLASSES = frozenset(
+    "ad ads ad-box ad-slot ad-unit ad-container ad-wrapper ad-banner advert adverts advertisement advertisements advertising adsense adsbygoogle banner banner-ad sponsor sponsors sponsored sponsored-content sponsored-links promo promos "
+    "cookie cookies cookie-bar cookie-banner cookie-notice cookie-consent cookie-popup consent consent-banner gdpr sidebar side-bar sidebar-left sidebar-right left-sidebar right-sidebar menu main-menu nav navbar nav-bar nav-menu main-nav site-nav navigation breadcrumb breadcrumbs "
+    "footer site-footer page-footer comment comments comment-list comment-section comment-form comments-area comments-list comments-section disqus disqus-thread replies respond share share-bar share-buttons share-links sharing social social-buttons social-icons social-links social-media social-share "
+    "related related-articles related-content related-links related-posts related-stories recommended recommendations newsletter newsletter-signup subscribe signup popup modal overlay widget pagination pager toolbar tag-cloud search-box search-form searchbox".split()
 )
-_TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:[\s_-]|$)", re.I)
+_IDS = _CLASSES - frozenset("ad ads advertising advertisement advert adverts banner sponsor sponsors promo cookie cookies consent gdpr menu navigation comment share sharing social related recommended recommendations newsletter subscribe signup popup modal overlay widget pagination pager toolbar replies respond".split())
+_ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar dialog alertdialog".split())
+_COMMENTS = frozenset("comment comments comment-list comment-section comments-area comments-list comments-section disqus disqus-thread replies".split())
+_TOP = frozenset("header site-header masthead topbar top-bar".split())
+_BOX = frozenset("div section ul ol dl table".split())
 _SPACE = re.compile(r"\s+")
 
 _SKIP = frozenset("script style noscript template head nav footer aside form button select textarea iframe svg canvas dialog menu object audio video map datalist".split())
@@ -40,11 +47,30 @@ _BLOCK = frozenset(
 _MAIN = frozenset(("article", "main"))
 
 
+_NONE = (False, frozenset(), frozenset(), "")
+
+
+def _marks(attributes: str) -> tuple[bool, frozenset, frozenset, str]:
+    """Whether an element is hidden, its class names, ids and role; values count only for their own attribute."""
+    hidden, classes, ids, role = _NONE
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            hidden = True
+        elif name == "class":
+            classes = frozenset(value.lower().replace("_", "-").split())
+        elif name == "id":
+            ids = frozenset(value.lower().replace("_", "-").split())
+        elif name == "role":
+            role = value.strip().lower()
+    return hidden, classes, ids, role
+
+
 def lines_of(page: str) -> list[tuple[str, bool]]:
     """Text blocks in page order and whether each lies in an article or main element."""
     out: list[tuple[str, bool]] = []
     text: list[str] = []
-    depth_main, skip, skip_depth = 0, "", 0
+    depth_main, skip, skip_depth, comments = 0, "", 0, False
 
     def flush() -> None:
         if text:
@@ -68,7 +94,7 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             continue
         name, closing, attributes = name.lower(), m[1] == "/", m[3]
         if skip:
-            if closing and name == "body" or not closing and name in _MAIN and skip not in _MAIN and not depth_main:
+            if closing and name == "body" or not closing and (name == "main" or name == "article" and not comments) and skip not in _MAIN and not depth_main:
                 skip, skip_depth = "", 0
             else:
                 if name == skip:
@@ -88,10 +114,11 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             continue
         if name in _VOID:
             continue
-        marks = " ".join(a or b or c for a, b, c in _MARK.findall(attributes)) if attributes else ""
-        if name in _SKIP or name == "header" and not depth_main or attributes and (_HIDDEN.search(attributes) or name not in _MAIN and name != "body" and (_WORD.search(marks) or not depth_main and _TOP.search(marks))):
+        hidden, classes, ids, role = _marks(attributes) if attributes else _NONE
+        boilerplate = name in _BOX and (classes & _CLASSES or ids & _IDS or role in _ROLES or not depth_main and (classes | ids) & _TOP)
+        if name in _SKIP or name == "header" and not depth_main or hidden or boilerplate:
             flush()
-            skip, skip_depth = name, 1
+            skip, skip_depth, comments = name, 1, bool(boilerplate and (classes | ids) & _COMMENTS)
             continue
         if name in _MAIN:
             depth_main += 1

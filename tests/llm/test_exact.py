@@ -229,6 +229,14 @@ def test_pages(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_markup_drops_whole_names_only():
+    text = lambda body: [line for line, _ in html.lines_of(f"<body>{body}</body>")]
+    assert text('<article><h2 id="search">Search</h2><section id="related-work"><p>Work</p></section><p class="share-memory">One</p><a class="social">two</a></article>') == ["Search", "Work", "One", "two"]
+    assert text('<div class="content no-sidebar"><p>Body</p></div><div class="post comments-open">Post</div>') == ["Body", "Post"]
+    assert text('<p title="the hidden cost">Cost</p><p data-style="display:none">Shown</p><p hidden>No</p><p aria-hidden="true">No</p><div style="color:red; display: none">No</div>') == ["Cost", "Shown"]
+    assert text('<section class="comments"><article class="comment">Nice</article></section><div class="ad"><p>Buy</p></div><div id="disqus_thread">Say</div><p>Text</p>') == ["Text"]
+
+
 # --- 9: top-k
 
 
