@@ -16,10 +16,20 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Forms of candidates. Runs of 16 or more key characters with a digit, quoted values that are assigned, and private key blocks.
+#: Words whose assigned value is a candidate even unquoted.
+NAMES = "token|secret|passw|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|authorization|auth(?!or)|bearer|credential|signing|encryption"
+#: Forms of candidates. Private key blocks, values after a hot name (after a blank alone only with a digit or mixed case), known forms,
+#: runs of 16 or more key characters with a digit ('=' only as padding, so that a name and its value are two), and quoted values that are assigned.
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*[0-9])[A-Za-z0-9+/_=.-]{16,}"
+    r"|(?<=[=:> ])(?=[^\s\"'<>,;]{8})"
+    rf"(?:(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:]{{1,2}}>? ?)|(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}} )(?=\S{{0,200}}[0-9]|\S{{0,200}}[a-z][A-Z]))"
+    rf"(?!(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:])"
+    r"[^\s\"'<>,;]{7,}[^\s\"'<>,;.)\]}]"
+    rf"|(?<=[\"'])(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:]{{1,2}}>? ?[\"'])[^\s\"']{{8,}}(?=[\"'])"
+    r"|(?<![A-Za-z0-9+/_.-])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{20,}|sk[-_](?:live|test)[-_][A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{10,}[.][A-Za-z0-9_.-]+)"
+    rf"|(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]*[0-9])(?![A-Za-z0-9_-]{{0,64}}(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:])"
+    r"[A-Za-z0-9+/_.-]{16,}(?:={1,2}(?![A-Za-z0-9+/_.=-]))?"
     r"|(?<=[=:] ?[\"'])[^\s\"']{8,}(?=[\"'])"
 )
 #: Words of ordinary identifiers and prose.
@@ -77,6 +87,9 @@ def labelled_findings(seed: int = 31, each: int = 120) -> list[tuple[str, str, s
         out.append((prose() + r.choice(["color = \"", "name: \"", "title = '", "class=\""]), " ".join(word() for _ in range(r.randint(1, 3))).replace(" ", r.choice(["-", "_"])) + word(), "\" " + prose(), 0))
         out.append((prose(), "-".join([pick("0123456789", 4), pick("0123456789", 2), pick("0123456789", 2)]) + "T" + ":".join(pick("0123456789", 2) for _ in range(1)) + pick("0123456789", 4) + "-" + pick("0123456789", 4), " " + prose(), 0))
         out.append((prose() + r.choice(["", "mail ", "see "]), ".".join(word() for _ in range(3)) + pick("0123456789", 2) + "." + word(), r.choice(["@", " "]) + prose(), 0))
+        name = lambda: r.choice(["AWS_ACCESS_KEY_ID", "api_key", "DB_PASSWORD", "app-token", "CLIENT_SECRET"]) + r.choice(["=", ": ", ":", " = "])
+        out.append((prose() + name(), r.choice(["AKIA" + pick(string.ascii_uppercase + string.digits, 16), pick(hexa, 32), pick(alnum, r.randint(9, 15)), pick(string.ascii_letters, 32)]), r.choice([" ", "\n"]) + prose(), 1))
+        out.append((prose() + r.choice([name(), hot() + " "]), r.choice([word() + word(), word() + "_" + word(), word() + "." + word() + "()", "https://" + word() + ".com/" + word(), "${" + word() + "_" + word()]), r.choice([" ", "\n"]) + prose(), 0))
     return out
 
 
@@ -174,7 +187,11 @@ def _scored(df: DataFrame, forest: Forest, text: str) -> tuple[Column, Column]:
     pattern = F.lit(CANDIDATE)
     found = F.regexp_extract_all(t, pattern, F.lit(0))
     parts = F.split(t, CANDIDATE, -1)
-    pairs = F.zip_with(F.zip_with(found, F.slice(parts, F.lit(1), F.size(found)), lambda c, b: F.struct(F.right(b, F.lit(48)).alias("b"), c.alias("c"), F.length(b).alias("gap"))), F.slice(parts, F.lit(2), F.size(found)), lambda l, a: F.struct(l["b"].alias("b"), l["c"].alias("c"), F.left(a, F.lit(24)).alias("a"), l["gap"].alias("gap")))
+    size = F.size(found)
+    # the text before a candidate begins with the candidate before it, so a name that is one itself is seen
+    last = F.slice(F.concat(F.array(F.lit("")), found), F.lit(1), size)
+    before = F.zip_with(last, F.slice(parts, F.lit(1), size), lambda c, b: F.struct(F.right(F.concat(F.right(c, F.lit(48)), b), F.lit(48)).alias("b"), F.length(b).alias("gap")))
+    pairs = F.zip_with(F.zip_with(found, before, lambda c, b: F.struct(b["b"].alias("b"), c.alias("c"), b["gap"].alias("gap"))), F.slice(parts, F.lit(2), size), lambda l, a: F.struct(l["b"].alias("b"), l["c"].alias("c"), F.left(a, F.lit(24)).alias("a"), l["gap"].alias("gap")))
     return parts, pairs
 
 
