@@ -37,17 +37,17 @@ def _byte_characters() -> dict[str, int]:
 
 
 class TokenIds:
-    """Ids of a tokenizers file without special tokens.
+    """Ids of a tokenizers file, none added around a text (add_special_tokens=False, nothing else set).
 
     Byte-level BPE files with the usual pattern whose ids follow the order of the merges give equal ids by rank, which
-    is faster; that is used where it holds, and each batch's first text is held against the tokenizers library.
+    is faster; that is used where it holds, texts with the content of an added token go to the library, and each batch's first text is held against the tokenizers library.
     """
 
     def __init__(self, path: str, pattern: str):
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model, self.added = file["model"], [t["content"] for t in file.get("added_tokens") or []]
         self.fast = None
         vocab, byte = model["vocab"], _byte_characters()
         merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
@@ -61,7 +61,7 @@ class TokenIds:
     def __call__(self, texts: list[str]) -> list:
         if self.fast is None:
             return [e.ids for e in self.slow.encode_batch(texts, add_special_tokens=False)]
-        ids = [self.fast.encode_ordinary(t) for t in texts]
+        ids = [self.slow.encode(t, add_special_tokens=False).ids if any(a in t for a in self.added) else self.fast.encode_ordinary(t) for t in texts]
         if texts and ids[0] != self.slow.encode(texts[0], add_special_tokens=False).ids:
             raise ValueError("ids by rank differ from the tokenizers library's")
         return ids

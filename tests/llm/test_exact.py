@@ -99,6 +99,17 @@ def test_packing(spark):
     assert packing.pack_documents(odd(spark).limit(0), JSON, P.PATTERN).count() == 0
 
 
+def test_ids_of_added_tokens():
+    from tokenizers import Tokenizer
+
+    texts = ["plain first", "foo <|endoftext|> bar", "<|endoftext|>", "<|endoftext|", ""]
+    plain = Tokenizer.from_file(JSON)
+    encode = packing.TokenIds(JSON, P.PATTERN)
+    assert encode.fast is not None and "<|endoftext|>" in encode.added
+    assert encode(texts) == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encode(texts[1:2]) == [[21943, 220, 50256, 2318]]
+
+
 # --- 3: Order MinHash
 
 
