@@ -8,8 +8,10 @@ the number of rows.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -36,20 +38,43 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables; a temporary one only if the session names none."""
+    """The folder for intermediate tables. Where the session names none, a temporary one on a single machine; an error on a cluster, whose executors do not share one."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="brindle-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 
 
+_PATHS: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here and a lost executor costs nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave, once all that reads them has been written itself."""
+    for df in tables:
+        path = _PATHS.pop(df, None)
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver notice that finished shuffles are no longer referenced, so that executors delete their files before the next large one."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def fold(column: str, modulus: int) -> Column:

@@ -310,11 +310,11 @@ def plain_components(docs, percent=75):
     return {i: (len(sets[i]), root[i]) for i in ids}
 
 
-@pytest.mark.parametrize("seed, budget", [(1, 1 << 18), (2, 40)])
-def test_jaccard(spark, seed, budget):
+@pytest.mark.parametrize("seed, bounds", [(1, {}), (2, {"max_sets": 6, "sample": 30, "least_hot": 3}), (3, {"max_sets": 300, "max_bytes": 2000, "least_hot": 2})])
+def test_jaccard(spark, seed, bounds, monkeypatch):
     r = random.Random(seed)
     words = [f"w{i}" for i in range(60)]
-    passage = [r.choice(words) for _ in range(60)]
+    passages = [[r.choice(words) for _ in range(30)] for _ in range(9)]
     base = [r.choice(words) for _ in range(120)]
     docs = [(0, None), (1, ""), (2, "Hi there"), (3, "hi THERE"), (4, "hi there you")]
     for i in range(10, 80):
@@ -322,15 +322,45 @@ def test_jaccard(spark, seed, budget):
         for _ in range(r.randint(0, 5)):
             t[r.randrange(len(t))] = r.choice(words)
         docs.append((i, " ".join(t)))
-    for i in range(100, 140):
-        docs.append((i, " ".join([r.choice(words) for _ in range(r.randint(5, 40))] + passage + [r.choice(words) for _ in range(r.randint(0, 20))])))
+    for i in range(100, 160):  # nothing of their own, all about as far from each other
+        docs.append((i, " ".join(w for p in r.sample(passages, 4) for w in p)))
     docs += [(200 + i, docs[20][1]) for i in range(30)]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("_set", F.lit("x"))
-    from unittest import mock
+    cells, blocks, cut = [], [], jaccard._cut
 
-    with mock.patch.object(jaccard.links, "__defaults__", (budget, 1)):
-        got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.near_duplicates(df).collect()}
+    def seen(*a):
+        rows, edges = cut(*a)
+        cells.append(rows.where("not whole").count())
+        blocks.append(rows.where("whole").count())
+        return rows, edges
+
+    monkeypatch.setattr(jaccard, "_cut", seen)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.near_duplicates(df, **bounds).collect()}
     assert got == plain_components(docs)
+    assert bool(bounds) == bool(cells)
+    if seed == 2:
+        assert any(cells) and any(blocks)
+
+
+def test_ball_join():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        base = r.integers(0, 1 << 60, 40, dtype=np.uint64)
+        each = [np.unique(np.concatenate([r.permutation(base)[: r.integers(20, 41)], r.integers(0, 1 << 60, r.integers(0, 8), dtype=np.uint64)])) for _ in range(int(r.integers(2, 25)))]
+        ids, sizes = r.permutation(len(each)), np.array([len(h) + int(r.integers(0, 3)) for h in each])
+        labels = np.where(r.random(len(each)) < 0.3, -1, ids)
+        edges = jaccard.ball_join(ids, sizes, labels, each, 75)
+        at = {int(i): k for k, i in enumerate(ids)}
+        root = labels.copy()
+
+        def join(a, b):
+            root[root == root[a]] = root[b]
+
+        near = lambda a, b: 100 * (i := len(np.intersect1d(each[a], each[b]))) >= 75 * (sizes[a] + sizes[b] - i)
+        for a, b in edges:
+            assert near(at[a], at[b])
+            join(at[a], at[b])
+        assert all(root[a] == root[b] for a in range(len(ids)) for b in range(a) if near(a, b))
 
 
 def test_jaccard_odd(spark):
