@@ -4,10 +4,12 @@ The ranks of a vocabulary compile into a finite-state transducer. A BPE encoding
 if each of its tokens and each pair of neighbours is its own encoding, so the machine reads bytes
 and keeps every hypothesis "tokens so far, place in the token trie" that can still be extended;
 that set, with the output common to all hypotheses taken off and emitted, is a state of the
-determinised machine. States and transitions are made when first needed. A token leaves once the
-hypotheses agree, at most a longest token after its end.
+determinised machine. States and transitions are made when first needed, for pieces of any length, and forgotten when there are too many.
+Lookahead is bounded: every live hypothesis is the one encoding of a prefix that ends within a longest token of the byte read, and a token leaves once
+all of these agree on it; tests hold that to two longest tokens.
 
-Decoding streams: an incremental UTF-8 machine holds back the bytes of an unfinished code point.
+Decoding streams: a UTF-8 automaton takes token after token and holds back the bytes of an unfinished code point. Its transition from the start state is
+known for each token, so only tokens that cut a code point are run byte by byte.
 """
 
 from __future__ import annotations
@@ -39,13 +41,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Lazily determinised encoder of one piece (a pre-token) into ids."""
 
-    def __init__(self, ranks: dict[bytes, int], most_transitions: int = 200_000, deep: int = 6):
-        """``deep``: transitions are made for so many first bytes of a piece; what lies deeper follows those there are, else runs on hypotheses."""
-        self.ranks, self.most, self.deep = ranks, most_transitions, deep
+    def __init__(self, ranks: dict[bytes, int], most_transitions: int = 600_000):
+        """``most_transitions``: a bound of the machine's memory; beyond it states are made anew from the current hypotheses."""
+        self.ranks, self.most = ranks, most_transitions
         self.bytes_of = {r: t for t, r in ranks.items()}
-        self.longest = max(map(len, ranks))
         self.trie: dict[int, int] = {}
-        self.token_at = array("l", [_NONE])
+        self.token_at, self.inner = array("l", [_NONE]), bytearray(1)
         for token, rank in ranks.items():
             node = 0
             for b in token:
@@ -54,6 +55,8 @@ class Transducer:
                 if nxt is None:
                     nxt = self.trie[key] = len(self.token_at)
                     self.token_at.append(_NONE)
+                    self.inner.append(0)
+                    self.inner[node] = 1
                 node = nxt
             self.token_at[node] = rank
         self._spines: dict[int, tuple] = {}
@@ -134,47 +137,55 @@ class Transducer:
         return got
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        out = []
+        """The state after one more byte and the tokens that all its hypotheses share; at most one hypothesis ends a token there."""
+        get, token_at, inner, pairs = self.trie.get, self.token_at, self.inner, self._pairs
+        out, ended = [], False
         for last, pending, node in self._states[state]:
-            nxt = self.trie.get(node << 8 | byte)
+            nxt = get(node << 8 | byte)
             if nxt is None:
                 continue
-            out.append((last, pending, nxt))
-            token = self.token_at[nxt]
-            if token >= 0 and (self._compatible(last, token) if last >= 0 else self._spine(token) is not None):
-                out.append((token, (*pending, token), 0))
+            if inner[nxt]:
+                out.append((last, pending, nxt))
+            if not ended and (token := token_at[nxt]) >= 0:
+                if last < 0:
+                    ended = self._spine(token) is not None
+                else:
+                    known = pairs.get(last << 32 | token)
+                    ended = self._compatible(last, token) if known is None else known
+                if ended:
+                    out.append((token, (*pending, token), 0))
+        if not out:
+            raise ValueError("the vocabulary does not cover these bytes")
         common = out[0][1]
-        for _, pending, _ in out[1:]:
-            k = 0
-            for p, q in zip(common, pending):
-                if p != q:
-                    break
-                k += 1
-            common = common[:k]
+        for _, pending, _ in out:
             if not common:
                 break
-        k = len(common)
-        if k:
+            if pending is not common:
+                k = 0
+                for p, q in zip(common, pending):
+                    if p != q:
+                        break
+                    k += 1
+                common = common[:k]
+        if k := len(common):
             out = [(last, pending[k:], node) for last, pending, node in out]
-        return self._state(tuple(sorted(out))), common
+        return self._state(tuple(out)), common
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token is that token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self._next) > self.most:
-            self._next = {}
-            self._clear()
         ids: list[int] = []
         state, follow = self._start, self._next
-        for i, byte in enumerate(piece):
-            key = state << 8 | byte
-            got = follow.get(key)
+        for byte in piece:
+            got = follow.get(state << 8 | byte)
             if got is None:
-                if i >= self.deep:
-                    return ids + self._undetermined(self._states[state], piece, i)
-                got = follow[key] = self._step(state, byte)
+                if len(follow) >= self.most:
+                    hypotheses = self._states[state]
+                    self._clear()
+                    state, follow = self._state(hypotheses), self._next
+                got = follow[state << 8 | byte] = self._step(state, byte)
             state, emitted = got
             if emitted:
                 ids += emitted
@@ -184,42 +195,6 @@ class Transducer:
         ids += end
         return ids
 
-    def _undetermined(self, hypotheses: tuple, piece: bytes, at: int) -> list[int]:
-        """The rest of a piece from ``at`` on with the machine's hypotheses but without making states: each place has one last token."""
-        n, trie, token_at, pairs = len(piece), self.trie, self.token_at, self._pairs
-        token, source = [_NONE] * (n + 1), [0] * (n + 1)
-
-        get, known = trie.get, pairs.get
-        starts = [(last, node, at, ~k) for k, (last, _, node) in enumerate(hypotheses)]
-        p = at
-        while True:
-            for last, node, q, mark in starts:
-                while q < n:
-                    node = get(node << 8 | piece[q], 0)
-                    if not node:
-                        break
-                    q += 1
-                    t = token_at[node]
-                    if t >= 0 and token[q] < 0:
-                        ok = known(last << 32 | t) if last >= 0 else self._spine(t) is not None
-                        if ok is None:
-                            ok = self._compatible(last, t)
-                        if ok:
-                            token[q], source[q] = t, mark
-            p += 1
-            while p < n and token[p] < 0:
-                p += 1
-            if p >= n:
-                break
-            starts = ((token[p], 0, p, p),)
-        if token[n] < 0:
-            raise ValueError("the vocabulary does not cover these bytes")
-        tail, p = [], n
-        while p >= 0:
-            tail.append(token[p])
-            p = source[p]
-        return [*hypotheses[~p][1], *reversed(tail)]
-
 
 class _Pieces(dict):
     """Packed ids of pieces met before; emptied when full."""
@@ -248,47 +223,77 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
 
+def _utf8_transitions() -> list[list[int]]:
+    """Next state by state and byte, -1 for a byte that cannot follow.
+
+    State 0 is between code points; 1 to 3 wait for so many more bytes; 4 to 7 follow E0, ED, F0 and F4, whose next byte has a narrower range.
+    """
+    tail = range(0x80, 0xC0)
+    out = [[-1] * 256 for _ in range(8)]
+    first = [(range(0x80), 0), (range(0xC2, 0xE0), 1), (range(0xE1, 0xF0), 2), (range(0xF1, 0xF4), 3), ((0xE0,), 4), ((0xED,), 5), ((0xF0,), 6), ((0xF4,), 7)]
+    rest = [(1, tail, 0), (2, tail, 1), (3, tail, 2), (4, range(0xA0, 0xC0), 1), (5, range(0x80, 0xA0), 1), (6, range(0x90, 0xC0), 2), (7, range(0x80, 0x90), 2)]
+    for state, span, to in [*((0, span, to) for span, to in first), *rest]:
+        for b in span:
+            out[state][b] = to
+    return out
+
+
+_UTF8 = _utf8_transitions()
+
+
 class Utf8Machine:
-    """Incremental UTF-8: takes bytes, gives the bytes of finished code points."""
+    """Incremental UTF-8: takes bytes, gives the bytes of finished code points; bytes that belong to none pass as they are."""
 
     def __init__(self) -> None:
-        self.tail = b""
-
-    @staticmethod
-    def _unfinished(data: bytes) -> int:
-        """How many bytes at the end belong to a code point that needs more."""
-        for back in range(1, min(3, len(data)) + 1):
-            b = data[-back]
-            if b & 0xC0 == 0x80:
-                continue
-            need = 4 if b >= 0xF0 else 3 if b >= 0xE0 else 2 if b >= 0xC2 else 1
-            return back if need > back and b < 0xF5 else 0
-        return 0
+        self.state, self.tail = 0, b""
 
     def feed(self, data: bytes) -> bytes:
-        data = self.tail + data
-        k = self._unfinished(data)
-        self.tail = data[len(data) - k :]
-        return data[: len(data) - k]
+        state, held = self.state, len(self.tail)
+        data, done = self.tail + data, 0
+        for i in range(held, len(data)):
+            nxt = _UTF8[state][data[i]]
+            if nxt < 0 and state:
+                done, nxt = i, _UTF8[0][data[i]]
+            state = max(nxt, 0)
+            if not state:
+                done = i + 1
+        self.state, self.tail = state, data[done:]
+        return data[:done]
 
     def finish(self) -> bytes:
         """What is left, finished or not."""
-        tail, self.tail = self.tail, b""
+        tail, self.state, self.tail = self.tail, 0, b""
         return tail
 
 
 class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.table: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        self.whole = np.ones(len(self.table), bool)
         for token, rank in ranks.items():
             self.table[rank] = token
+            machine = Utf8Machine()
+            self.whole[rank] = token.isascii() or machine.feed(token) == token
 
-    def stream(self, packed: bytes, block: int = 1 << 16):
-        """The bytes of the ids in parts that end with whole code points."""
-        machine, get = Utf8Machine(), self.table.__getitem__
-        ids = np.frombuffer(packed, "<u4")
+    def stream(self, packed: bytes, block: int = 1 << 12):
+        """The bytes of the ids in parts that end with whole code points, one for each ``block`` ids."""
+        machine, table, ids = Utf8Machine(), self.table, np.frombuffer(packed, "<u4")
         for i in range(0, len(ids), block):
-            yield machine.feed(b"".join(map(get, ids[i : i + block].tolist())))
+            own, cuts = ids[i : i + block].tolist(), [*np.flatnonzero(~self.whole[ids[i : i + block]]).tolist(), -1]
+            parts, at, k = [], 0, 0
+            while at < len(own):
+                if machine.state:
+                    parts.append(machine.feed(table[own[at]]))
+                    at += 1
+                    continue
+                while 0 <= cuts[k] < at:
+                    k += 1
+                to = cuts[k] if cuts[k] >= 0 else len(own)
+                parts += map(table.__getitem__, own[at:to])
+                if to < len(own):
+                    parts.append(machine.feed(table[own[to]]))
+                at = to + 1
+            yield b"".join(parts)
         yield machine.finish()
 
 
