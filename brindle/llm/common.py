@@ -9,6 +9,7 @@ the number of rows.
 from __future__ import annotations
 
 import gc
+import json
 import tempfile
 import uuid
 import weakref
@@ -115,37 +116,63 @@ def placement_keys(spark: SparkSession, n: int) -> list[int]:
     return [found[p] for p in range(n)]
 
 
-def _search(key: Column, bounds: list, low: int, high: int) -> Column:
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(key < F.lit(bounds[mid]), _search(key, bounds, low, mid)).otherwise(_search(key, bounds, mid + 1, high))
+def _found(key: Column, bounds: Column, n: int) -> Column:
+    """How many of the ``n`` sorted ``bounds`` are at most ``key``: a binary search over one literal array, so the expression does not grow with ``n``."""
+    steps = F.sequence(F.lit(1), F.lit(max(1, n.bit_length())))
+    start = F.struct(F.lit(0).alias("low"), F.lit(n).alias("high"))
 
+    def step(span: Column, _: Column) -> Column:
+        mid = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        above = F.get(bounds, mid) > key
+        done = span["low"] >= span["high"]
+        return F.struct(F.when(done | above, span["low"]).otherwise(mid + 1).alias("low"), F.when(~done & above, mid).otherwise(span["high"]).alias("high"))
 
-def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None = None, before: bool = True, wrap: bool = False) -> DataFrame:
-    """Rows dealt to contiguous ranges of ``key`` and sorted there, each range with its neighbours' edge rows.
+    return F.aggregate(steps, start, step, lambda span: span["low"])
 
-    ``key`` must not be null. The rows of equal keys share a range. Adds ``_cell``
-    (rank of the range) and ``_guard``: 0 for a range's own rows, 1 for rows of the key that
-    follows the range and, if ``before``, -1 for rows of the key that precedes it. One shuffle
-    of the rows; the bounds come from a hash sample of 64 keys a partition.
+
+def _literals(rows: list, schema: T.DataType) -> Column:
+    """An array of (k, h) pairs as one folded literal."""
+    kind = schema.simpleString()
+    return F.from_json(F.lit(json.dumps([{"k": k, "h": h} for k, h in rows])), f"array<struct<k:{kind},h:bigint>>")
+
+
+def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None = None, before: bool = True, wrap: bool = False, weight: Column | None = None) -> DataFrame:
+    """Rows dealt to contiguous ranges of (``key``, hash of ``ties``) and sorted there, each range with its neighbours' edge rows.
+
+    ``key`` must not be null; it is a long or a string. Rows of one key may be in several ranges; only rows that agree in key and ties share one. Adds ``_cell``
+    (rank of the range) and ``_guard``: 0 for a range's own rows, 1 for a row like the first that
+    follows the range and, if ``before``, -1 for one like the last that precedes it. One shuffle
+    of the rows. The bounds come from about 16 keys a partition drawn by rows, not by tasks, and share out ``weight`` (rows if none) evenly.
     """
     spark = df.sparkSession
     n = partitions or shuffle_partitions(spark)
-    keys = df.select(key)
-    sample = sorted(r[0] for r in keys.orderBy(F.xxhash64(key)).limit(64 * n).collect())
-    bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
-    cell = _search(F.col(key), bounds, 0, len(bounds)) if bounds else F.lit(0)
-    edges = keys.select(key, cell.alias(CELL)).groupBy(CELL).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
-    edges = sorted((r[CELL], r["lo"], r["hi"]) for r in edges)
-    own = df.withColumn(CELL, cell).withColumn(GUARD, F.lit(0))
-    after = [(hi_lo[1], cell_[0]) for cell_, hi_lo in zip(edges, edges[1:])] + ([(edges[0][1], edges[-1][0])] if wrap and edges else [])
-    ahead = [(hi_lo[2], cell_[0]) for hi_lo, cell_ in zip(edges, edges[1:])] if before else []
-    out = own
-    for flag, pairs in ((1, after), (-1, ahead)):
-        if pairs:
-            to = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-            out = out.unionByName(own.where(F.col(key).isin([k for k, _ in pairs])).withColumn(CELL, to[F.col(key)]).withColumn(GUARD, F.lit(flag)))
+    kind = df.schema[key].dataType
+    at = F.struct(F.col(key).alias("k"), F.xxhash64(*ties).alias("h"))
+    keys = df.select(at.alias("at"), (weight if weight is not None else F.lit(1)).cast("double").alias("w"))
+    total = df.count()
+    drawn = keys if total <= 16 * n else keys.where(F.rand(17) < 16 * n / total)
+    sample = sorted((r["at"]["k"], r["at"]["h"], r["w"]) for r in drawn.collect())
+    share = np.cumsum([w for *_, w in sample])
+    cuts = {int(np.searchsorted(share, share[-1] * i / n)) for i in range(1, n)} if sample else set()
+    bounds = sorted({sample[c][:2] for c in cuts})
+    rank = lambda one: _found(one, _literals(bounds, kind), len(bounds)) if bounds else F.lit(0)
+    edges = keys.select("at", rank(F.col("at")).alias(CELL)).groupBy(CELL).agg(F.min("at").alias("lo"), F.max("at").alias("hi")).collect()
+    edges = sorted((r[CELL], tuple(r["lo"]), tuple(r["hi"])) for r in edges)
+    own = df.withColumn("_at", at).withColumn(CELL, rank(at)).withColumn(GUARD, F.lit(0))
+    out = own.drop("_at")
+    neighbours = [(1, 1, edges[1:], edges)] + ([(-1, 2, edges, edges[1:])] if before else [])
+    for flag, side, sources, targets in neighbours:
+        to = dict(zip((e[0] for e in sources), (e[0] for e in targets)))
+        if flag == 1 and wrap and edges:
+            to[edges[0][0]] = edges[-1][0]
+        if to:
+            ends = {e[0]: e[side] for e in edges}
+            cells = len(bounds) + 1
+            edge = F.element_at(_literals([ends.get(c, edges[0][1]) for c in range(cells)], kind), F.col(CELL) + 1)
+            target = F.element_at(F.from_json(F.lit(json.dumps([to.get(c, -1) for c in range(cells)])), "array<int>"), F.col(CELL) + 1)
+            like = own.where(F.col("_at") == edge).groupBy(F.col(CELL)).agg(F.any_value(F.struct(*df.columns)).alias("row"))
+            like = like.withColumn(CELL, target).where(F.col(CELL) >= 0).select("row.*", CELL, F.lit(flag).alias(GUARD))
+            out = out.unionByName(like)
     place = placement_keys(spark, n)
-    spot = F.element_at(F.array(*[F.lit(k).cast("long") for k in place]), F.pmod(F.col(CELL), F.lit(n)) + 1)
-    return out.withColumn("_spot", spot).repartition(n, "_spot").drop("_spot").sortWithinPartitions(CELL, GUARD, key, *ties)
+    spot = F.element_at(F.from_json(F.lit(json.dumps(place)), "array<bigint>"), F.pmod(F.col(CELL), F.lit(n)) + 1)
+    return out.withColumn("_spot", spot).repartition(n, "_spot").drop("_spot").sortWithinPartitions(CELL, GUARD, key, F.xxhash64(*ties))

@@ -111,11 +111,11 @@ def with_next_text(df: DataFrame, make, fields: dict[str, str], key: str = "doc_
     """Rows in falling order of the key, each with the row after it (the last with the first).
 
     ``make(text, state, next_text, next_state)`` gives the values of ``fields``; ``make.state(text)`` is worked out
-    once a row. Rows with null keys come last; equal keys follow in order of their text. One shuffle of the
+    once a row. Rows with null keys come last; equal keys follow in order of a hash of their text. One shuffle of the
     texts: ranges of the key in a task, the row after a range as a guard.
     """
     base = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text), F.coalesce(-F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("_key"))
-    dealt = in_order(base, "_key", [F.col(text)], before=False, wrap=True).select(key, text, CELL, GUARD)
+    dealt = in_order(base, "_key", [F.col(text)], before=False, wrap=True, weight=F.octet_length(F.col(text)) + 64).select(key, text, CELL, GUARD)
     schema = extended(df.select(key), **fields)
 
     def run(batches):

@@ -12,6 +12,7 @@ article or main element are kept even if a neighbour has them. Differencing deci
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 
@@ -66,11 +67,58 @@ def _marks(attributes: str) -> tuple[bool, frozenset, frozenset, str]:
     return hidden, classes, ids, role
 
 
+_END = {name: re.compile(f"</{name}\\s*>", re.I) for name in _RAW}
+
+
+def _tags(page: str) -> tuple[list[tuple], dict[int, int]]:
+    """All tags as (start, end, name, closing, attributes), comments with an empty name and raw elements as one tag, and the place of the tag that closes each opened one."""
+    tags: list[tuple] = []
+    opened: dict[str, list[int]] = {}
+    closed: dict[int, int] = {}
+    at = 0
+    while (m := _TAG.search(page, at)) is not None:
+        start, at = m.span()
+        if m[2] is None:
+            tags.append((start, at, "", False, ""))
+            continue
+        name, closing, attributes = m[2].lower(), m[1] == "/", m[3]
+        alone = attributes.endswith("/")
+        if closing:
+            if own := opened.get(name):
+                closed[own.pop()] = len(tags)
+        elif name in _RAW and not alone:
+            end = _END[name].search(page, at)
+            at, name = (end.end() if end else len(page)), ""
+        elif name not in _VOID and not alone:
+            opened.setdefault(name, []).append(len(tags))
+        tags.append((start, at, name, closing, attributes))
+    return tags, closed
+
+
+def _skipped(name: str, attributes: str, depth_main: int) -> tuple[bool, bool]:
+    """Whether an element is never main text, and whether it is surely so even if it holds the page's only article."""
+    hidden, classes, ids, role = _marks(attributes) if attributes else _NONE
+    names = classes | ids
+    if name in _BOX or name == "article":
+        if names & _COMMENTS:
+            return True, True
+        if classes & _CLASSES or ids & _IDS or role in _ROLES or not depth_main and names & _TOP:
+            return True, False
+    return name in _SKIP or name == "header" and not depth_main or hidden, False
+
+
 def lines_of(page: str) -> list[tuple[str, bool]]:
-    """Text blocks in page order and whether each lies in an article or main element."""
+    """Text blocks in page order and whether each lies in an article or main element.
+
+    Boilerplate elements go up to the tag that closes them, whatever they hold; one that is never closed, or that holds every article and main element of the
+    page, ends where the first of these begins, else at the end of the body or of the article around it. An inline element that goes does not end a block.
+    """
     out: list[tuple[str, bool]] = []
     text: list[str] = []
-    depth_main, skip, skip_depth, comments = 0, "", 0, False
+    depth_main, around = 0, []
+    tags, closed = _tags(page)
+    mains = [k for k, t in enumerate(tags) if t[2] in _MAIN and not t[3]]
+    bodies = [k for k, t in enumerate(tags) if t[2] == "body" and t[3]]
 
     def flush() -> None:
         if text:
@@ -79,49 +127,42 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             if line:
                 out.append((line, depth_main > 0))
 
-    at, n = 0, len(page)
-    while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
-            if not skip:
-                text.append(page[at:])
-            break
-        if not skip and m.start() > at:
-            text.append(page[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if name is None:
+    at, k = 0, 0
+    while k < len(tags):
+        start, end, name, closing, attributes = tags[k]
+        if start > at:
+            text.append(page[at:start])
+        at, k = end, k + 1
+        if not name:
             continue
-        name, closing, attributes = name.lower(), m[1] == "/", m[3]
-        if skip:
-            if closing and name == "body" or not closing and (name == "main" or name == "article" and not comments) and skip not in _MAIN and not depth_main:
-                skip, skip_depth = "", 0
-            else:
-                if name == skip:
-                    skip_depth += -1 if closing else 0 if attributes.rstrip().endswith("/") else 1
-                    if skip_depth == 0:
-                        skip = ""
-                continue
         if name in _BLOCK:
             flush()
         if closing:
             if name in _MAIN and depth_main:
                 depth_main -= 1
+                around.pop()
             continue
-        if name in _RAW and not attributes.rstrip().endswith("/"):
-            end = re.compile(f"</{name}\\s*>", re.I).search(page, at)
-            at = end.end() if end else n
-            continue
-        if name in _VOID:
+        if name in _VOID or attributes.endswith("/") and name not in _MAIN:
             continue
-        hidden, classes, ids, role = _marks(attributes) if attributes else _NONE
-        boilerplate = name in _BOX and (classes & _CLASSES or ids & _IDS or role in _ROLES or not depth_main and (classes | ids) & _TOP)
-        if name in _SKIP or name == "header" and not depth_main or hidden or boilerplate:
-            flush()
-            skip, skip_depth, comments = name, 1, bool(boilerplate and (classes | ids) & _COMMENTS)
+        skip, surely = _skipped(name, attributes, depth_main)
+        if skip:
+            own, to = k - 1, closed.get(k - 1)
+            later = bisect.bisect_right(mains, own)
+            holds = to is not None and name != "article" and not surely and later < len(mains) and mains[later] < to
+            if to is None or holds and not depth_main and not any(m < own or m > to for m in mains):
+                # never closed, or the page has no other article
+                last = around[-1] if around else None
+                to = last if last is not None else mains[later] if later < len(mains) and name != "article" and not surely else next((j for j in bodies if j > own), len(tags))
+                k = to
+                at = tags[k][0] if k < len(tags) else len(page)
+            else:
+                k, at = to + 1, tags[to][1]
             continue
         if name in _MAIN:
             depth_main += 1
+            around.append(closed.get(k - 1))
+    if at < len(page):
+        text.append(page[at:])
     flush()
     return out
 
@@ -152,13 +193,17 @@ def common_lines(a: list[str], b: list[str]) -> list[bool]:
     return shared
 
 
-def main_text(lines: list[tuple[str, bool]], neighbour: list[tuple[str, bool]] | None) -> str:
-    """Blocks joined by a newline, without the lines outside articles that the neighbour shares."""
-    if neighbour is None or all(kept for _, kept in lines):
-        return "\n".join(line for line, _ in lines)
-    free = [line for line, kept in lines if not kept]
-    shared = iter(common_lines(free, [line for line, kept in neighbour if not kept]))
-    return "\n".join(line for line, kept in lines if kept or not next(shared))
+def main_text(lines: list[tuple[str, bool]], neighbour: list[tuple[str, bool]] | None) -> tuple[str, int, int]:
+    """Blocks joined by a newline, without the lines outside articles that the neighbour shares; how many lines differencing judged, and how many it deleted.
+
+    Without a neighbour nothing is judged and every line stays.
+    """
+    free = [line for line, kept in lines if not kept] if neighbour is not None else []
+    if not free:
+        return "\n".join(line for line, _ in lines), 0, 0
+    common = common_lines(free, [line for line, kept in neighbour or () if not kept])
+    shared = iter(common)
+    return "\n".join(line for line, kept in lines if kept or not next(shared)), len(free), sum(common)
 
 
 def host(url: str) -> Column:
@@ -179,7 +224,9 @@ def _shared_path(a: str, b: str) -> int:
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """key, url, text (main text) and n_chars for each page; null pages are empty, a page without host has no neighbour.
+    """key, url, text (main text), n_chars, n_judged (lines that differencing judged) and n_deleted for each page.
+
+    Null pages are empty; a page without host has no neighbour; of two neighbours with as long a common path the one after counts; an empty table gives no rows.
 
     One shuffle: pages in ranges of (host, path, key), so a host of any size spreads over many tasks; each task
     also gets the rows before and after its range.
@@ -194,8 +241,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
             options = [(_shared_path(p, o[4]), o[2]) for o in (after, before) if h and o is not None and o[3] == h]
             if options:
                 near = max(options, key=lambda o: o[0])[1]
-            text = main_text(lines, near)
-            yield k, u, text, len(text)
+            text, judged, deleted = main_text(lines, near)
+            yield k, u, text, len(text), judged, deleted
 
     def batched(batches):
         kind, rows_ = [None, None], []
@@ -206,8 +253,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
                 yield b
 
         def made(rows_):
-            k, u, t, n = zip(*rows_)
-            return pa.RecordBatch.from_arrays([pa.array(k, kind[0]), pa.array(u, kind[1]), pa.array(t, pa.string()), pa.array(n, pa.int64())], [key, url, "text", "n_chars"])
+            k, u, t, *n = zip(*rows_)
+            return pa.RecordBatch.from_arrays([pa.array(k, kind[0]), pa.array(u, kind[1]), pa.array(t, pa.string()), *(pa.array(x, pa.int64()) for x in n)], [key, url, "text", "n_chars", "n_judged", "n_deleted"])
 
         for row in run(seen()):
             rows_.append(row)
@@ -217,7 +264,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
         if rows_:
             yield made(rows_)
 
-    return dealt.mapInArrow(batched, extended(pages.select(key, url), text="string", n_chars="long"))
+    return dealt.mapInArrow(batched, extended(pages.select(key, url), text="string", n_chars="long", n_judged="long", n_deleted="long"))
 
 
 def _neighbours(batches):
