@@ -2,7 +2,8 @@
 
 A block of candidates is held as postings, term by term: for each dimension the weights of its rows. A block of
 sparse query rows takes its terms one after the other and scatters weight times posting into dense score arrays; a
-partition selection keeps each query's best of the block, and a last grouping merges the blocks.
+partition selection keeps each query's best of the block. A task carries one running top-k a query over all its blocks; the tasks' are
+merged in two steps, of ``FAN_IN`` tasks at a time and then of these.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from brindle.llm.common import written
 
 QUERY_BLOCK = 4096
-_SCORES = 1 << 21
+FAN_IN = 256
 
 
 def integer_vectors(df: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
@@ -59,6 +60,13 @@ class Postings:
         return self.ids[keep[order]], acc[keep[order]]
 
 
+def _merged(one: tuple, other: tuple, k: int) -> tuple:
+    """The k best of two (ids, scores), ties to the smaller id."""
+    ids, scores = np.concatenate([one[0], other[0]]), np.concatenate([one[1], other[1]])
+    order = np.lexsort((ids, -scores))[:k]
+    return ids[order], scores[order]
+
+
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best other rows by integer inner product.
 
@@ -77,19 +85,19 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", k: int = 5
         block = spark.sparkContext.broadcast([(r[0], np.array(r[1], np.int64)) for r in queries.where(inside).collect()])
 
         def run(batches, block=block):
+            best: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(block.value)
             for ids, rows in _candidates(batches, candidate_block):
                 postings = Postings(ids, rows)
-                q, s, v = [], [], []
-                for own, query in block.value:
-                    best, score = postings.best(query, own, k)
-                    q += [own] * len(best)
-                    v += best.tolist()
-                    s += score.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], ["query_id", key, "score"])
+                best = [_merged(held, postings.best(query, own, k), k) for held, (own, query) in zip(best, block.value)]
+            q = np.repeat([own for own, _ in block.value], [len(v) for v, _ in best])
+            if len(q):
+                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), *(pa.array(np.concatenate(x), pa.int64()) for x in zip(*best))], ["query_id", key, "score"])
 
         found = vectors.mapInArrow(run, f"query_id long, {key} long, score long")
-        best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col(key).alias("v")))), 1, k)
-        found = found.groupBy("query_id").agg(best.alias("top")).select(F.col("query_id").cast(kind).alias("query_id"), F.posexplode("top"))
+        found = found.select("query_id", F.struct((-F.col("score")).alias("s"), F.col(key).alias("v")).alias("one"), F.spark_partition_id().alias("p"))
+        first = lambda rows: F.slice(F.array_sort(rows), 1, k)
+        found = found.groupBy("query_id", F.floor(F.col("p") / FAN_IN).alias("g")).agg(first(F.collect_list("one")).alias("top"))
+        found = found.groupBy("query_id").agg(first(F.flatten(F.collect_list("top"))).alias("top")).select(F.col("query_id").cast(kind).alias("query_id"), F.posexplode("top"))
         found = found.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("col.v").cast(kind).alias(key), (-F.col("col.s")).alias("score"))
         found = written(found, "top") if high is not None else found
         out = found if out is None else out.unionByName(found)
