@@ -9,10 +9,9 @@ texts. Training (Adam, in numpy, on the driver) uses a bounded sample of windows
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,6 +163,7 @@ def training_windows(df: DataFrame, text: str, lang: str, key: str, per_language
 
 
 def train(windows: list[tuple[str, bytes]], steps: int = 500) -> ByteConvNet | None:
+    """The network learned from (language, window) pairs, the same for the same pairs; None where there are none."""
     languages = sorted({lang for lang, _ in windows})
     if not languages:
         return None
@@ -174,13 +174,13 @@ def train(windows: list[tuple[str, bytes]], steps: int = 500) -> ByteConvNet | N
     return ByteConvNet(languages).fit(x, y, steps if len(languages) > 1 else 1)
 
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def identify(df: DataFrame, model: ByteConvNet | None, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Adds the predicted language and its probability; earlier columns of these names are replaced.
 
-    A text that is null or has no letter gets ``und`` and 0.0, and so does every text when there is no
+    A text that is null or has no letter (Unicode category L) gets ``und`` and 0.0, and so does every text when there is no
     model (no labelled text to learn from). Texts of any length are scored whole. One pass, no shuffle.
     """
     keep = [c for c in df.columns if c not in (pred, score)]
@@ -204,9 +204,3 @@ def identify(df: DataFrame, model: ByteConvNet | None, text: str = "text", pred:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(np.clip(probs, 0, 1), pa.float64())], [*keep, pred, score])
 
     return base.mapInArrow(run, schema)
-
-
-def fit_and_identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", fold_mod: int = 4, fold_out: int = 2, per_language: int = 600) -> DataFrame:
-    """Learn from rows outside fold ``fold_out`` and predict every row; adds lang_pred and score."""
-    model = train(training_windows(docs.where(fold(key, fold_mod) != fold_out), text, lang, key, per_language))
-    return identify(docs, model, text)
