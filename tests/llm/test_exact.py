@@ -42,6 +42,38 @@ def test_bpe_fuzz():
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == enc.encode_ordinary(t)
 
 
+def test_bpe_lookahead():
+    """No token waits for more than two longest tokens, and states made anew give the same ids."""
+    ranks = bpe.read_ranks(RANKS)
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    machine, small, longest = bpe.Transducer(ranks), bpe.Transducer(ranks, most_transitions=50), max(map(len, ranks))
+    r = random.Random(8)
+    for k in range(400):
+        piece = "".join(r.choice(["th", "er", "ing", "a", "x", "tion", "q", "é"]) for _ in range(r.randint(1, 60))) if k % 8 else r.choice("a=x") * r.randint(1, 900)
+        assert machine.encode(piece.encode()) == small.encode(piece.encode()) == enc._encode_single_piece(piece.encode())
+    assert max(sum(len(machine.bytes_of[t]) for t in pending) for state in machine._states for _, pending, _ in state) <= 2 * longest
+
+
+def test_utf8_automaton():
+    """Every code point's encoding is accepted, and what is held back elsewhere is what Python holds back."""
+    machine = bpe.Utf8Machine()
+    for point in [*range(0, 0xD800, 97), *range(0xE000, 0x110000, 1013), 0x7FF, 0x800, 0xFFFF, 0x10000, 0x10FFFF]:
+        raw = chr(point).encode()
+        parts = [machine.feed(raw[i : i + 1]) for i in range(len(raw))]
+        assert parts[:-1] == [b""] * (len(raw) - 1) and parts[-1] == raw
+    r = random.Random(2)
+    for _ in range(3000):
+        raw = bytes(r.choice([0x41, 0x80, 0xBF, 0xC0, 0xC3, 0xE0, 0xE1, 0xA0, 0xF0, 0xF4, 0x90, 0xFF]) for _ in range(r.randint(0, 7)))
+        machine = bpe.Utf8Machine()
+        out = b"".join(machine.feed(raw[i : i + 1]) for i in range(len(raw)))
+        assert out + machine.tail == raw and len(machine.tail) < 4
+        import codecs
+
+        inc = codecs.getincrementaldecoder("utf-8")("replace")
+        inc.decode(raw)
+        assert machine.tail == inc.getstate()[0]
+
+
 def test_utf8_machine():
     raw = "aé日😀".encode() * 3
     for step in range(1, 6):
@@ -85,7 +117,6 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
     rows = packing.pack_documents(odd(spark), JSON, P.PATTERN).collect()
     docs = collections.defaultdict(list)
     for r in rows:
@@ -259,6 +290,7 @@ def test_pages(spark):
     ]
     got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(0))).collect()}
     assert got[1].text == "First story & more\nSecond" and got[2].text == "Other story" and got[4].text == "Head\nSite tagline"
+    assert [(got[k].n_judged, got[k].n_deleted) for k in (1, 2, 3, 4, 5)] == [(4, 2), (3, 2), (0, 0), (2, 2), (0, 0)]
     assert got[3].text == "Site tagline\nAlone\nImprint" and got[5].text == "" and got[6].n_chars == 0 and got[1].n_chars == len(got[1].text)
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -271,6 +303,57 @@ def test_markup_drops_whole_names_only():
     assert text('<section class="comments"><article class="comment">Nice</article></section><div class="ad"><p>Buy</p></div><div id="disqus_thread">Say</div><p>Text</p>') == ["Text"]
 
 
+def test_markup_leaks():
+    text = lambda body: [line for line, _ in html.lines_of(f"<body>{body}</body>")]
+    main = "<main><p>Body</p></main>"
+    assert text(main + "<aside><article>Related teaser</article></aside>") == text("<aside><article>Teaser</article></aside>" + main) == ["Body"]
+    assert text(main + '<section class="comments"><article class="comment">Nice</article></section>') == ["Body"]
+    assert text("<article>Story</article>" + '<article class="comment">Nice</article>') == text('<article class="comment">Nice</article><p>Story</p>') == ["Story"]
+    assert text("<nav><script>var x='</nav>';</script><a>Menu</a></nav><p>One</p>") == ["One"]
+    assert text("<p>One <span hidden>no</span><button>Go</button> two</p>") == ["One two"]
+    assert text("<nav><ul><li>Menu<article><p>Story</p></article><footer>Foot") == ["Story"]
+    assert text('<div class="banner"><article>Story</article></div>') == ["Story"]
+    assert text("<article><p>Story</p><form><p>Never closed</article><p>After</p>") == ["Story", "After"]
+
+
+def test_pages_without_main(spark):
+    """Differencing alone finds the template of pages that have no article element and no telling names."""
+    page = lambda k: f"<body><div>Welcome to our site</div><div>Since 1999</div><div><p>Story {k} begins</p><p>and ends {k}</p></div><div>All rights reserved</div></body>"
+    rows = spark.createDataFrame([(k, f"http://h.com/a/{k}", page(k)) for k in range(40)], "page_id long, url string, html string")
+    got = html.extract(rows).collect()
+    assert sorted((r.page_id, r.text, r.n_judged, r.n_deleted) for r in got) == [(k, f"Story {k} begins\nand ends {k}", 5, 3) for k in range(40)]
+
+
+# --- ranges in order
+
+
+def test_in_order(spark):
+    from brindle.llm.common import in_order
+
+    r = random.Random(1)
+    rows = [(r.choice([7, 7, r.randint(0, 400)]), r.choice("ab") + str(r.randint(0, 60))) for _ in range(900)]
+    for kind, keyed in (("long", rows), ("string", [(f"k\u0001{a:04d}\"é", b) for a, b in rows])):
+        df = spark.createDataFrame(keyed, f"k {kind}, t string")
+        got = in_order(df, "k", [F.col("t")], partitions=9, wrap=True).collect()
+        own = [x for x in got if x._guard == 0]
+        assert sorted((x.k, x.t) for x in own) == sorted(keyed)
+        hashes = dict(df.select("t", F.xxhash64("t").alias("h")).distinct().collect())
+        cells = collections.defaultdict(list)
+        for x in got:
+            cells[x._cell].append(x)
+        order = [c for c in sorted(cells) if any(x._guard == 0 for x in cells[c])]
+        line = [(x.k, hashes[x.t]) for c in order for x in cells[c] if x._guard == 0]
+        assert line == sorted(line) and len(order) > 5
+        assert max(sum(x._guard == 0 and x.k == keyed[0][0] for x in cells[c]) for c in order) < len(rows) // 2
+        for c, after in zip(order, [*order[1:], order[0]]):
+            assert [x._guard for x in cells[c]] == sorted(x._guard for x in cells[c])
+            first = next((x.k, x.t) for x in cells[after] if x._guard == 0)
+            assert [(x.k, x.t) for x in cells[c] if x._guard == 1] == [first]
+        for before, c in zip(order, order[1:]):
+            last = [(x.k, x.t) for x in cells[before] if x._guard == 0][-1]
+            assert [(x.k, x.t) for x in cells[c] if x._guard == -1] == [last]
+
+
 # --- 9: top-k
 
 
