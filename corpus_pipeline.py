@@ -22,11 +22,12 @@ def _fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: null texts and texts without a letter."""
+    """Rejects documents without a language: null texts and texts without a letter, also where no row has a language to learn from."""
     pred, score = _fresh(docs, "lang_pred", "lang_score")
     model = language.train(language.training_windows(docs.where(fold("doc_id", 4) != 2), "text", "lang", "doc_id"))
-    out = language.identify(docs, model, "text", pred, score)
-    return out.where(F.col(pred) != language.UNDETERMINED).select(*docs.columns) if model is not None else docs
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return language.identify(docs, model, "text", pred, score).where(F.col(pred) != language.UNDETERMINED).select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,15 +38,19 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each component the document with the smallest doc_id; rows that repeat it once. Rows without doc_id stay."""
-    groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where(F.col("component_id") == F.col("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    first = written(first, "firsts")
-    kept = docs.where("doc_id is not null").join(first.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not first.where("n > 1").isEmpty():
-        again = first.where("n > 1").select("doc_id")
-        kept = kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
-    return kept.unionByName(docs.where("doc_id is null"))
+    """Keeps of each component the document with the smallest doc_id (of texts that share it, the one with the smaller hash); rows that repeat it once.
+
+    Texts that share a doc_id but no component stay. Rows without doc_id stay.
+    """
+    row, times = _fresh(docs, "_row", "_times")
+    named = docs.where("doc_id is not null").withColumn(row, F.struct(F.col("doc_id").alias("k"), F.xxhash64("text").alias("h")))
+    groups = jaccard.near_duplicates(named.select(row, "text"), row)
+    first = written(groups.where(F.col("component_id") == F.col(row)).groupBy(row).agg(F.count(F.lit(1)).alias(times)), "firsts")
+    kept = named.join(first.select(row), row, "left_semi")
+    if not first.where(F.col(times) > 1).isEmpty():
+        again = first.where(F.col(times) > 1).select(row)
+        kept = kept.join(again, row, "left_anti").select(*docs.columns, row).unionByName(kept.join(again, row, "left_semi").select(*docs.columns, row).dropDuplicates([row]))
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
