@@ -22,8 +22,8 @@ def plain_number(x: Column) -> Column:
 
 
 def fingerprint(*parts: Column) -> Column:
-    """SHA-256 over the parts with NUL between them."""
-    return F.sha2(F.concat_ws("\u0000", *parts), 256)
+    """SHA-256 over the parts with NUL between them; a null part is an empty one and keeps its place."""
+    return F.sha2(F.concat_ws("\u0000", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
 
 
 def row_id(index: Column, *parts: Column, prefix: str = "input", width: int = 4) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from brindle.functions.measure import EPSILON, finite
-from brindle.functions.text import DESCRIPTOR_WORDS, canonical_brand, explicit_strengths, identity_tokens, product_core
+from brindle.functions.text import DESCRIPTOR_WORDS, canonical_brand, explicit_strengths, identity_tokens, let, product_core
 
 
 def _count(words: Column, word: Column) -> Column:
@@ -16,9 +16,8 @@ def _count(words: Column, word: Column) -> Column:
 def exact_variant(name: Column, mg: Column, title: Column, observed: Column) -> Column:
     """Equal token multisets but for descriptor words in the title, and strengths that agree."""
     mine, theirs = explicit_strengths(name), explicit_strengths(title)
-    need = identity_tokens(name)
-    have = identity_tokens(title, F.size(mine) > 0)
-    same = F.forall(need, lambda w: _count(have, w) >= _count(need, w)) & F.forall(have, lambda w: (_count(have, w) <= _count(need, w)) | w.isin(DESCRIPTOR_WORDS))
+    covers = lambda v: F.forall(v["need"], lambda w: _count(v["have"], w) >= _count(v["need"], w)) & F.forall(v["have"], lambda w: (_count(v["have"], w) <= _count(v["need"], w)) | w.isin(DESCRIPTOR_WORDS))
+    same = let(covers, need=identity_tokens(name), have=identity_tokens(title, F.size(mine) > 0))
     near = lambda a, b: F.abs(a - b) < EPSILON
     share = F.exists(mine, lambda a: F.exists(theirs, lambda b: near(a, b)))
     bad_title = (F.size(mine) > 0) & (F.size(theirs) > 0) & ~share

@@ -17,13 +17,13 @@ DESCRIPTOR_WORDS = ["medium", "low", "normal", "regular"]
 
 
 def unicode_form(text: Column, form: str = "NFKC") -> Column:
-    """Unicode normal form. Arrow-batched, and only texts beyond ASCII reach Python's tables."""
+    """Unicode normal form. ASCII texts never leave the JVM: only the others are sent, Arrow-batched, to Python's tables."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize(form, x))
+        return s.map(lambda x: x if x is None else unicodedata.normalize(form, x))
 
-    return run(text)
+    return F.coalesce(run(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 
 def _folding() -> tuple[str, str]:
@@ -46,8 +46,8 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-def normalize_candidate(text: Column, compose: bool = False) -> Column:
-    """Lower case, ``3mg`` as ``3 mg``, punctuation and symbols as spaces. ``compose`` adds NFKC, a no-op on ASCII."""
+def normalize_candidate(text: Column, compose: bool = True) -> Column:
+    """NFKC, lower case, ``3mg`` as ``3 mg``, punctuation and symbols as spaces. Without ``compose`` texts that are known to be in that form are spared the check."""
     t = F.coalesce(text.cast("string"), F.lit(""))
     t = F.lower(unicode_form(t) if compose else t)
     t = F.regexp_replace(t, r"(\d)\s*(mg|g)\b", "$1 $2")
@@ -62,8 +62,8 @@ def tokens(text: Column) -> Column:
 def identity_tokens(text: Column, drop_bare_strength: Column | bool = False) -> Column:
     """Tokens that identify a variant: strengths in mg go, and bare numbers but the first token if asked."""
     drop = F.lit(drop_bare_strength) if isinstance(drop_bare_strength, bool) else drop_bare_strength
-    t = F.lower(F.coalesce(text, F.lit("")))
-    for pattern, to in (
+    t = F.lower(unicode_form(F.coalesce(text, F.lit(""))))
+    for pattern, to in (  # fixed values: patterns whose results must match
         (r"#\s*(\d+(?:[.,]\d+)?)", "hash$1"),
         (r"\bblackcurrant\b", "black currant"),
         (r"(\d+(?:[.,]\d+)?)\s*mg\b", "$1mg"),
@@ -110,14 +110,20 @@ def product_core(name: Column, brand: Column, aliases: dict[str, list[str]] | No
 
 def material_key(text: Column) -> Column:
     """Distinct sorted words of a query without paging words: equal keys ask for the same."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, r"\b(?:continuation|page)\s*\d+\b", " ")
+    t = F.lower(unicode_form(F.coalesce(text, F.lit(""))))
+    t = F.regexp_replace(t, r"\b(?:(?:exact\s+)?continuation|page)\s*\d+\b", " ")
     return F.array_join(F.array_sort(F.array_distinct(tokens(squeeze(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))))), " ")
 
 
+def let(body, **values: Column) -> Column:
+    """``body`` of a struct of values: each value is computed once, outside the body, whose lambdas may use it whatever it is made of."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), 0)
+
+
 def overlap_ratio(needed: Column, have: Column) -> Column:
     """Share of ``needed`` (repeats count) that ``have`` has; 0 when nothing is needed."""
-    return F.when(F.size(needed) > 0, F.size(F.filter(needed, lambda t: F.array_contains(have, t))) / F.size(needed)).otherwise(F.lit(0.0))
+    share = lambda v: F.when(F.size(v["need"]) > 0, F.size(F.filter(v["need"], lambda t: F.array_contains(v["have"], t))) / F.size(v["need"])).otherwise(F.lit(0.0))
+    return let(share, need=needed, have=have)
 
 
 def neutral_formula(text: Column) -> Column:

@@ -27,10 +27,13 @@ def is_http(url: Column) -> Column:
 
 
 def url_key(url: Column) -> Column:
-    """A canonical spelling: lower scheme and host, a path of at least /, no fragment."""
+    """A canonical spelling: lower scheme and host, a path of at least /; user, port (but the scheme's own), query and fragment stay."""
     scheme = F.lower(F.regexp_extract(url, "^([A-Za-z]+)://", 1))
-    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(is_http(url), F.concat(scheme, F.lit("://"), host(url), path(url), query))
+    part = lambda pattern: F.regexp_extract(url, pattern, 1)
+    user, port = part(r"^[A-Za-z]+://([^/?#@]*@)"), part(r"^[A-Za-z]+://(?:[^/?#@]*@)?[^/?#:]+:0*(\d+)(?:[/?#]|$)")
+    usual = F.when(scheme == "https", "443").otherwise("80")
+    shown = F.when((port == "") | (port == usual), "").otherwise(F.concat(F.lit(":"), port))
+    return F.when(is_http(url), F.concat(scheme, F.lit("://"), user, host(url), shown, path(url), part(r"^[^?#]*(\?[^#]*)"), part("(#.*)$")))
 
 
 def path_tokens(url: Column) -> Column:

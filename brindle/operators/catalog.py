@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.sources.readers import exists, stored
+
 
 def exact_duplicates(df: DataFrame, parts: list[Column], row: str, order: str) -> DataFrame:
     """row, duplicate_of: rows that repeat an earlier row's parts. Grouped on a digest, so rows of any width shuffle 32 bytes.
@@ -43,16 +48,13 @@ def freeze(snapshot: DataFrame, verdicts: DataFrame, key: str, condition: Column
 
 
 def write_once(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Write a frozen table; if it is there already it must hold the same keys, else this fails."""
+    """Write a frozen table; if it is there already it must hold the same rows, else this fails. ``key`` names the rows in the error."""
     spark = df.sparkSession
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        df.write.mode("errorifexists").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    extra = old.select(key).exceptAll(df.select(key)).unionAll(df.select(key).exceptAll(old.select(key)))
+    if not exists(spark, path):
+        return stored(df, path)
+    old = spark.read.parquet(path)
+    digest = F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256).alias("_row")
+    extra = set_difference(old.select(digest, key), df.select(digest, key), "_row") if set(old.columns) == set(df.columns) else df.select(key)
     if not extra.isEmpty():
         raise ValueError("the frozen rows differ")
     return old
@@ -97,10 +99,39 @@ def same_sequence(a: DataFrame, b: DataFrame, index: str, column: str) -> Column
     return x.join(y, index, "full_outer").where(~F.col("x").eqNullSafe(F.col("y"))).isEmpty()
 
 
-def align(current: DataFrame, snapshot: DataFrame, key: list[str], order: str, row: str) -> DataFrame:
-    """Ids for current rows: the k-th row of a key takes the k-th snapshot row of that key."""
-    nth = lambda df: df.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
-    return nth(current).join(nth(snapshot).select(*key, "_nth", row), [*key, "_nth"], "left").drop("_nth")
+def align(current: DataFrame, snapshot: DataFrame, catalog: list[str], same: list[str], order: str, row: str) -> DataFrame:
+    """Ids for current rows as an ordered subsequence of the snapshot, catalog by catalog (columns ``catalog``).
+
+    In order, each row takes the first snapshot row behind the one taken before whose ``same`` columns are equal (nulls too). From the first row that finds
+    none, the catalog is no subsequence: it and all later rows get null, and the caller may refuse the catalog. A fold by nature,
+    so a catalog is one group, of which only a digest and a rank travel to the task, not the rows.
+    """
+    digest = F.xxhash64(F.to_json(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")).alias(c) for c in same])))
+    left = current.withColumn("_k", digest).select(*catalog, "_k", F.col(order).alias("_o"))
+    right = snapshot.withColumn("_k", digest).select(*catalog, "_k", F.col(order).alias("_o"), F.col(row).alias("_id"))
+    both = left.withColumn("_side", F.lit(0)).withColumn("_id", F.lit(None).cast(snapshot.schema[row].dataType)).unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    both = both.withColumn("_rank", F.row_number().over(Window.partitionBy(*catalog, "_side").orderBy("_o")).cast("long"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        mine, theirs = (pdf[pdf["_side"] == side].sort_values("_rank") for side in (0, 1))
+        places: dict[int, list[int]] = {}
+        for at, k in enumerate(theirs["_k"].tolist()):
+            places.setdefault(k, []).append(at)
+        taken, at = [], 0
+        for k in mine["_k"].tolist():
+            own = places.get(k, [])
+            i = bisect.bisect_left(own, at)
+            if i == len(own):
+                break
+            taken.append(own[i])
+            at = own[i] + 1
+        return pd.DataFrame({**{c: mine[c].iloc[: len(taken)].to_numpy() for c in catalog}, "_rank": mine["_rank"].iloc[: len(taken)].to_numpy(), "_at": [t + 1 for t in taken]})
+
+    fields = ", ".join(f"`{c}` {current.schema[c].dataType.simpleString()}" for c in catalog)
+    pairs = both.select(*catalog, "_side", "_k", "_rank").groupBy(*catalog).applyInPandas(run, f"{fields}, _rank bigint, _at bigint")
+    ids = both.where("_side = 1").select(*catalog, F.col("_rank").alias("_at"), F.col("_id").alias(row))
+    ranked = current.withColumn("_rank", F.row_number().over(Window.partitionBy(*catalog).orderBy(order)).cast("long"))
+    return ranked.join(pairs, [*catalog, "_rank"], "left").join(ids, [*catalog, "_at"], "left").select(*current.columns, row)
 
 
 def require(df: DataFrame, condition: Column, message: str) -> DataFrame:

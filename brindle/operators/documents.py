@@ -41,10 +41,10 @@ def sitemap(df: DataFrame, key: str, body: str) -> DataFrame:
     return df.select(key, F.col(body).rlike("(?i)<sitemapindex").alias("is_index"), F.posexplode(F.regexp_extract_all(body, F.lit(r"(?is)<loc[^>]*>\s*(.*?)\s*</loc>"), F.lit(1))).alias("pos", "url")).withColumn("url", decode_html(F.col("url"), False))
 
 
-def crawl(pages: DataFrame, seeds: DataFrame, rounds: int = 10) -> DataFrame:
-    """Page URLs reachable from seed sitemaps through indexes; breadth first over a table of pages (url, body), each round a join."""
+def crawl(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Page URLs reachable from seed sitemaps through indexes of any depth; breadth first over a table of pages (url, body), each round a join. Needs a checkpoint folder."""
     seen, front, found = seeds.select("url").distinct(), seeds.select("url").distinct(), None
-    for _ in range(rounds):
+    while True:
         rows = sitemap(front.join(pages, "url").withColumnRenamed("url", "page"), "page", "body").select(F.col("url").alias("loc"), "is_index")
         leaf = rows.where("not is_index").select(F.col("loc").alias("url"))
         found = leaf if found is None else found.unionAll(leaf)
@@ -56,7 +56,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, rounds: int = 10) -> DataFrame:
 
 
 def robots(text: Column) -> Column:
-    """Rule groups of a robots file that name every agent (*)."""
+    """Rule groups of a robots file that name every agent (*). Agent lines that follow one another share a group, as the robots standard has it."""
 
     @F.pandas_udf("array<struct<disallow:array<string>,allow:array<string>,crawl_delay:double>>")
     def run(s: pd.Series) -> pd.Series:
@@ -208,9 +208,7 @@ def json_ld_products(body: Column) -> Column:
 
 def product_facts(df: DataFrame, key: str, body: str) -> DataFrame:
     """One wide row a page: structured data first, visible text as the fallback."""
-    p = F.element_at(json_ld_products(F.col(body)), 1)
-    text = decode_html(F.col(body))
-    step = df.select(key, F.col(body), F.when(F.size(json_ld_products(F.col(body))) > 0, p).alias("p"), text.alias("t"))
+    step = df.select(key, F.col(body), F.get(json_ld_products(F.col(body)), 0).alias("p"), decode_html(F.col(body)).alias("t"))
     return step.select(
         key,
         F.coalesce("p.name", meta_content(F.col(body), "og:title"), title(F.col(body))).alias("title"),
@@ -234,5 +232,11 @@ def reference_counts(df: DataFrame, key: str, body: str) -> DataFrame:
 
 
 def restrictions(status: Column, body: Column) -> Column:
+    """struct(captcha, geoblocked, age_gate) of a response; a null status or body shows nothing."""
     b = F.lower(F.coalesce(body, F.lit("")))
-    return F.struct((b.rlike("captcha|verify you are human") | (status == 429)).alias("captcha"), ((status == 451) | b.rlike("not available in your (country|region)")).alias("geoblocked"), b.rlike("age (verification|gate)|are you (over )?(18|21)").alias("age_gate"))
+    #: Statuses and phrases that show a restriction.
+    return F.struct(
+        (b.rlike("captcha|verify you are human|unusual traffic") | F.coalesce(status.isin(403, 429), F.lit(False))).alias("captcha"),
+        (b.rlike("not available in your country|geoblock|region restricted")).alias("geoblocked"),
+        b.rlike("age verification|verify your age|over 18").alias("age_gate"),
+    )

@@ -34,20 +34,31 @@ def append(df: DataFrame, log: str, order: str, payload: str, sequence: int = 0,
     return df.groupBy(log).applyInPandas(run, schema)
 
 
-def verify_chain(df: DataFrame, log: str | None, event: str, payload: str, sequence: str = "sequence", previous: str = "previous_sha256", own: str = "event_sha256") -> DataFrame:
-    """Adds fault (null: good): each event needs its predecessor only, so logs check by window, not by fold."""
-    keys = [log] if log else []
-    w = Window.partitionBy(*keys).orderBy(sequence)
-    n = F.row_number().over(w)
-    before = F.lag(own).over(w)
-    times = F.count(F.lit(1)).over(Window.partitionBy(*keys, event))
+def verify_chain(df: DataFrame, log: str | None, event: str, payload: str, sequence: str = "sequence", previous: str = "previous_sha256", own: str = "event_sha256", tie: str | None = None) -> DataFrame:
+    """Adds fault (null: good): each event needs its predecessor only, so logs check by window, not by fold.
+
+    Without ``log`` the table is one log of any length: the predecessor is joined by its number, so no task holds the log; a number that is missing before an event, or that an earlier event has too,
+    is a ``sequence`` fault there. ``tie`` orders events of one number.
+    """
+    order = [sequence, *([tie] if tie else [])]
+    if log:
+        w = Window.partitionBy(log).orderBy(*order)
+        placed = df.withColumn("_gap", F.col(sequence) != F.row_number().over(w)).withColumn("_before", F.lag(own).over(w))
+    else:
+        order_key = F.struct(*[F.col(c) for c in order])
+        last = df.groupBy(F.col(sequence).alias("_s")).agg(F.min(order_key).alias("_first"), F.max_by(own, order_key).alias("_before"))
+        first = last.select(F.col("_s").alias("_own"), "_first")
+        placed = df.join(last.select((F.col("_s") + 1).alias("_next"), "_before"), F.col(sequence) == F.col("_next"), "left").join(first, F.col(sequence) == F.col("_own"))
+        placed = placed.withColumn("_gap", (order_key != F.col("_first")) | (F.col("_next").isNull() & (F.col(sequence) != 1))).drop("_next", "_own", "_first")
+    times = df.groupBy(*([log] if log else []), event).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    twice = placed.join(times, [*([log] if log else []), event], "left")
     fault = (
-        F.when(times > 1, "duplicate_event_id")
-        .when(F.col(sequence) != n, "sequence")
-        .when(~F.col(previous).eqNullSafe(before), "previous_hash")
-        .when(F.col(own) != link_hash(F.col(previous), F.col(payload)), "event_hash")
+        F.when(F.col("_times") > 1, "duplicate_event_id")
+        .when(F.col("_gap"), "sequence")
+        .when(~F.col(previous).eqNullSafe(F.col("_before")), "previous_hash")
+        .when(~F.col(own).eqNullSafe(link_hash(F.col(previous), F.col(payload))), "event_hash")
     )
-    return df.withColumn("fault", fault)
+    return twice.select(*df.columns, fault.alias("fault"))
 
 
 def valid_prefix(df: DataFrame, log: str, order: str, good: Column) -> DataFrame:

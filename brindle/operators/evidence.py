@@ -81,15 +81,22 @@ def rolled_status(ok: Column) -> Column:
     return F.when(F.bool_and(ok), "ok").when(F.bool_or(ok), "partial").otherwise("unavailable")
 
 
-def top_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, words: str, owner: str, least: float, k: int = 3) -> DataFrame:
-    """row, record, owner, score: the best record of each of the k best owners, ties to the smaller record.
+def top_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, words: str, owner: str, least: float, k: int = 3, other: bool = False) -> DataFrame:
+    """row, record, owner, score: the best record of each of the k best owners, ties to the smaller record. ``other``: a record of the row's own number does not count.
 
-    Both sides carry distinct word arrays. Candidates share a word (an equality join on it, counted before the score), so nothing is crossed.
+    Both sides carry distinct word arrays. A record that has ``least`` of a row's words lacks at most need - ceil(least * need) of them, so it has one of the
+    row's rarest need - ceil(least * need) + 1 words: only these are joined, and a word that all rows share only where a row has no rarer ones.
+    The score is counted on the arrays of a pair that met, once a pair.
     """
-    a = rows.select(row, F.size(words).alias("_need"), F.explode(words).alias("_w"))
-    b = records.select(record, owner, F.explode(words).alias("_w"))
-    hits = a.join(b, "_w").groupBy(row, "_need", record, owner).agg(F.count(F.lit(1)).alias("_hits"))
-    scored = hits.select(row, record, owner, (F.col("_hits") / F.col("_need")).alias("score")).where(F.col("score") >= least)
+    frequency = records.select(F.explode(words).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))
+    need = F.size(words)
+    rare = rows.select(row, need.alias("_need"), F.explode(words).alias("_w")).join(frequency, "_w", "left").groupBy(row, "_need").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("d"), F.col("_w").alias("w")))).alias("_all"))
+    rare = rare.select(row, "_need", F.explode(F.slice("_all", 1, (F.col("_need") - F.ceil(F.lit(least) * F.col("_need") - 1e-9) + 1).cast("int"))).alias("_x")).select(row, F.col("_x.w").alias("_w"))
+    pairs = rare.join(records.select(F.col(record).alias("_record"), F.explode(words).alias("_w")), "_w")
+    pairs = (pairs.where(F.col(row) != F.col("_record")) if other else pairs).select(row, "_record").distinct()
+    full = pairs.join(rows.select(row, F.col(words).alias("_need")), row).join(records.select(F.col(record).alias("_record"), F.col(owner).alias("_owner"), F.col(words).alias("_have")), "_record")
+    score = F.size(F.array_intersect("_need", "_have")) / F.size("_need")
+    scored = full.select(row, F.col("_record").alias(record), F.col("_owner").alias(owner), score.alias("score")).where(F.col("score") >= least)
     best = scored.groupBy(row, owner).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(record).alias("r"))).alias("_b"))
     rank = F.row_number().over(Window.partitionBy(row).orderBy("_b"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select(row, F.col("_b.r").alias(record), owner, (-F.col("_b.s")).alias("score"), F.col("rank").cast("long").alias("rank"))

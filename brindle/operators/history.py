@@ -53,10 +53,16 @@ def last_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return picked.select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
-def merge_histories(local: DataFrame, remote: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Union by key, the remote side wins whole rows, then the last row of a side; one aggregation, no join."""
+def newest_first(df: DataFrame, date: str, *ties: str) -> DataFrame:
+    """Rows with the latest date first and those without one last, ties by further columns: a total sort by ranges."""
+    return df.orderBy(F.col(date).desc_nulls_last(), *ties)
+
+
+def merge_histories(local: DataFrame, remote: DataFrame, key: str, order: list[str], date: str | None = None) -> DataFrame:
+    """Union by key, the remote side wins whole rows, then the last row of a side; one aggregation, no join. With ``date`` the newest come first, ties by key."""
     both = local.withColumn("_side", F.lit(0)).unionByName(remote.withColumn("_side", F.lit(1)))
-    return last_by_key(both, key, ["_side", *order]).drop("_side")
+    out = last_by_key(both, key, ["_side", *order]).drop("_side")
+    return newest_first(out, date, key) if date else out
 
 
 def local_only(local: DataFrame, remote: DataFrame, key: str) -> DataFrame:

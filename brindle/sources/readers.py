@@ -6,23 +6,39 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Fixed value: one literal of a catalog in script source.
-CATALOG_LINE = r'^\s*\{\s*b:\s*("(?:[^"\\]|\\.)*"),\s*n:\s*("(?:[^"\\]|\\.)*"),\s*mg:\s*(-?(?:\d+(?:\.\d*)?|\.\d+))\s*\},?\s*$'
+_STRING = r'"(?:\\.|[^"\\])*"'
+_NUMBER = r"[-+]?\d*\.?\d+(?:[eE][-+]?\d+)?"
+#: A catalog literal on a line of its own; commas and brackets may stand before or after it.
+CATALOG_ROW = rf"^[\s,\[]*\{{\s*b\s*:\s*({_STRING})\s*,\s*n\s*:\s*({_STRING})\s*,\s*mg\s*:\s*({_NUMBER})\s*,?\s*\}}[\s,;\]]*$"
+
+
+def _literal(line: Column) -> list[Column]:
+    quoted = lambda i: F.get_json_object(F.concat(F.lit('{"v":'), F.regexp_extract(line, CATALOG_ROW, i), F.lit("}")), "$.v")
+    return [quoted(1).alias("b"), quoted(2).alias("n"), F.regexp_extract(line, CATALOG_ROW, 3).cast("double").alias("mg")]
 
 
 def catalog_lines(df: DataFrame, line: str, number: str) -> DataFrame:
     """line_number, b, n, mg of the lines that hold a literal; others are passed over."""
-    text = lambda i: F.get_json_object(F.concat(F.lit('{"v":'), F.regexp_extract(line, CATALOG_LINE, i), F.lit("}")), "$.v")
-    return df.where(F.col(line).rlike(CATALOG_LINE)).select(F.col(number).alias("line_number"), text(1).alias("b"), text(2).alias("n"), F.regexp_extract(line, CATALOG_LINE, 3).cast("double").alias("mg"))
+    return df.where(F.col(line).rlike(CATALOG_ROW)).select(F.col(number).alias("line_number"), *_literal(F.col(line)))
 
 
 def catalog_file(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog rows of one source file with original_index from 1. A source file is one record, split where it is read."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", r"\r?\n")).alias("_at", "_line")).withColumn("_at", F.col("_at") + 1)
-    rows = catalog_lines(lines, "_line", "_at")
-    numbered = rows.groupBy().agg(F.array_sort(F.collect_list(F.struct("line_number", "b", "n", "mg"))).alias("r")).select(F.posexplode("r").alias("p", "r"))
-    return numbered.select((F.col("p") + 1).alias("original_index"), "r.*")
+    """Catalog rows of one source file with original_index from 1. A source file is one record; its lines are numbered inside it, without a shuffle."""
+    lines = F.transform(F.split("value", r"\r?\n"), lambda text, i: F.struct((i + 1).alias("at"), text.alias("text")))
+    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.filter(lines, lambda x: x["text"].rlike(CATALOG_ROW))).alias("p", "x"))
+    return rows.select((F.col("p") + 1).alias("original_index"), F.col("x.at").alias("line_number"), *_literal(F.col("x.text")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder, in whatever store the path names?"""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a path that must be new, and read back."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checked_count(df: DataFrame, expected: int) -> DataFrame:
@@ -45,14 +61,7 @@ def cached_json(spark: SparkSession, path: str, pattern: str, schema: StructType
 
 def load_or_create(spark: SparkSession, path: str, make) -> DataFrame:
     """A snapshot that is written once and read ever after."""
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        df = make()
-        df.write.mode("errorifexists").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    return spark.read.parquet(path) if exists(spark, path) else stored(make(), path)
 
 
 def tagged_union(parts: list[tuple[DataFrame, dict]]) -> DataFrame:

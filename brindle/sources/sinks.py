@@ -33,8 +33,7 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_audit(ledger: DataFrame, path: str, status: str) -> None:
-    """The ledger as JSON lines and its counts by status."""
-    ledger = ledger.persist()
+    """The ledger as JSON lines and its counts by status, from what was written."""
     write_json_lines(ledger, f"{path}/ledger")
-    ledger.groupBy(status).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{path}/summary")
-    ledger.unpersist()
+    back = ledger.sparkSession.read.schema(ledger.schema).json(f"{path}/ledger")
+    back.groupBy(status).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{path}/summary")
