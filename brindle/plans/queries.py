@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import dates, hashing, measure, text, urls
@@ -166,38 +166,41 @@ def outcome_summary(spark, sf):
     return _t(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("total"), c("l_returnflag", "R").alias("returned"), c("l_returnflag", "A").alias("accepted"), c("l_linestatus", "O").alias("open"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
 
 
-@query("""SELECT a.p_partkey AS left_key, b.p_partkey AS right_key FROM part a JOIN part b ON trim(lower(a.p_name)) = trim(lower(b.p_name)) AND (a.p_brand = b.p_brand OR b.p_type = 'ECONOMY') WHERE a.p_size = 1 AND b.p_size = 2""")
-def structured_match(spark, sf):
-    p = _t(spark, sf, "part").withColumn("k", text.normalize_candidate(F.col("p_name")))
-    a = p.where("p_size = 1").select(F.col("p_partkey").alias("left_key"), "k", F.col("p_brand").alias("b1"))
-    b = p.where("p_size = 2").select(F.col("p_partkey").alias("right_key"), "k", F.col("p_brand").alias("b2"), "p_type")
-    return a.join(b, "k").where("b1 = b2 or p_type = 'ECONOMY'").select("left_key", "right_key")
-
-
 @query("""SELECT a.p_partkey AS left_key, b.p_partkey AS right_key FROM part a JOIN part b ON trim(lower(a.p_name)) = trim(lower(b.p_name)) AND (a.p_brand = b.p_brand OR b.p_type = 'ECONOMY') WHERE a.p_partkey <> b.p_partkey""")
-def structured_match_all(spark, sf):
-    """Every part against every other; structured_match holds two sizes only."""
+def structured_match(spark, sf):
+    """Every part against every other."""
     p = _t(spark, sf, "part").withColumn("k", text.normalize_candidate(F.col("p_name")))
     a = p.select(F.col("p_partkey").alias("left_key"), "k", F.col("p_brand").alias("b1"))
     b = p.select(F.col("p_partkey").alias("right_key"), "k", F.col("p_brand").alias("b2"), "p_type")
     return a.join(b, "k").where("(b1 = b2 or p_type = 'ECONOMY') and left_key <> right_key").select("left_key", "right_key")
 
 
-WORDS = "SELECT {key}, {owner} unnest(list_distinct(regexp_split_to_array(lower({text}), '[^a-z]+'))) AS w FROM {table}"
-
-
-@query(f"""WITH a AS (SELECT p_partkey AS id, unnest(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))) AS w FROM part WHERE p_size = 7),
+@query("""WITH a AS (SELECT p_partkey AS id, unnest(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))) AS w FROM part),
 n AS (SELECT id, count(*) AS need FROM a GROUP BY 1),
-b AS (SELECT p_partkey AS rec, p_brand AS owner, unnest(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))) AS w FROM part WHERE p_size = 8),
-s AS (SELECT a.id, rec, owner, count(*) / any_value(need) AS score FROM a JOIN b USING (w) JOIN n ON n.id = a.id GROUP BY 1, 2, 3 HAVING count(*) / any_value(need) >= 0.6),
+b AS (SELECT p_partkey AS rec, p_brand AS owner, unnest(list_distinct(string_split(lower(p_name || ' ' || p_type), ' '))) AS w FROM part),
+s AS (SELECT a.id, rec, owner, count(*) / any_value(need) AS score FROM a JOIN b USING (w) JOIN n ON n.id = a.id WHERE a.id <> rec GROUP BY 1, 2, 3 HAVING count(*) / any_value(need) >= 0.9),
 o AS (SELECT *, row_number() OVER (PARTITION BY id, owner ORDER BY score DESC, rec) AS k FROM s),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, rec) AS rank FROM o WHERE k = 1)
 SELECT id, rec, owner, round(score, 6) AS score, rank FROM r WHERE rank <= 3""")
 def similar_candidates_top3(spark, sf):
+    """Every part against every other, owner = brand."""
     p = _t(spark, sf, "part").withColumn("words", F.array_distinct(text.tokens(text.normalize_candidate(F.concat_ws(" ", "p_name", "p_type")))))
-    rows = p.where("p_size = 7").select(F.col("p_partkey").alias("id"), "words")
-    recs = p.where("p_size = 8").select(F.col("p_partkey").alias("rec"), F.col("p_brand").alias("owner"), "words")
-    return evidence.top_candidates(rows, recs, "id", "rec", "words", "owner", 0.6).withColumn("score", F.round("score", 6))
+    rows = p.select(F.col("p_partkey").alias("id"), "words")
+    recs = p.select(F.col("p_partkey").alias("rec"), F.col("p_brand").alias("owner"), "words")
+    return evidence.top_candidates(rows, recs, "id", "rec", "words", "owner", 0.9, other=True).withColumn("score", F.round("score", 6))
+
+
+@query("""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+a AS (SELECT doc_id, any_value(len(w.w)) AS need, count(b.x) AS hits FROM (SELECT doc_id, w, unnest(w) AS x FROM w) w LEFT JOIN (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS x FROM benchmark) b ON b.x = w.x GROUP BY 1)
+SELECT w.doc_id, round(coalesce(hits / need, 0), 6) AS overlap, coalesce(hits = need, false) AS all_present FROM w LEFT JOIN a USING (doc_id)""")
+def token_overlap(spark, sf):
+    """Share of each document's words, repeats counted, that some benchmark item has. Words are counted by document before the join; a frequent word is skewed but splittable."""
+    words = lambda c: text.tokens(text.squeeze(F.regexp_replace(F.lower(F.coalesce(F.col(c), F.lit(""))), r"[^\p{L}\p{N}]+", " ")))
+    docs = _t(spark, sf, "documents").select("doc_id", words("text").alias("w"))
+    known = _t(spark, sf, "benchmark").select(F.explode(words("text")).alias("x")).distinct().withColumn("known", F.lit(1))
+    hits = docs.select("doc_id", F.explode("w").alias("x")).groupBy("doc_id", "x").agg(F.count(F.lit(1)).alias("n")).join(known, "x").groupBy("doc_id").agg(F.sum("n").alias("hits"))
+    got = docs.select("doc_id", F.size("w").alias("need")).join(hits, "doc_id", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
+    return got.select("doc_id", F.when(F.col("need") > 0, F.round(F.col("hits") / F.col("need"), 6)).otherwise(0.0).alias("overlap"), ((F.col("need") > 0) & (F.col("hits") == F.col("need"))).alias("all_present"))
 
 
 @query(None)
@@ -220,17 +223,8 @@ def evidence_threshold(spark, sf):
     return _t(spark, sf, "lineitem").groupBy("l_partkey").agg(evidence.threshold(F.col("l_returnflag"), F.col("l_suppkey"), usable, ["R"]).alias("meets"), F.count_distinct("l_suppkey").alias("owners"))
 
 
-@query("""SELECT l_partkey, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber) AS first_flag, array_to_string(list_sort(list_distinct(list(CAST(l_quantity AS INTEGER)))), ',') AS vals, count(DISTINCT l_suppkey) AS owners FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 10) GROUP BY 1""")
-def observed_rollup(spark, sf):
-    parts = _t(spark, sf, "part").where("p_size < 10").select(F.col("p_partkey").alias("l_partkey"))
-    rows = _t(spark, sf, "lineitem").join(parts, "l_partkey", "left_semi").select("l_partkey", "l_suppkey", "l_returnflag", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("o"), F.col("l_quantity").cast("int").alias("q"))
-    got = evidence.rollup(rows, "l_partkey", "o", ["l_returnflag"], "q", "l_suppkey")
-    return got.select("l_partkey", F.col("first_l_returnflag").alias("first_flag"), F.array_join(F.col("values").cast("array<string>"), ",").alias("vals"), "owners")
-
-
 @query("""SELECT l_partkey, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber) AS first_flag, array_to_string(list_sort(list_distinct(list(CAST(l_quantity AS INTEGER)))), ',') AS vals, count(DISTINCT l_suppkey) AS owners FROM lineitem GROUP BY 1""")
-def observed_rollup_all(spark, sf):
-    """Lines of all parts; observed_rollup holds small sizes only."""
+def observed_rollup(spark, sf):
     rows = _t(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("o"), F.col("l_quantity").cast("int").alias("q"))
     got = evidence.rollup(rows, "l_partkey", "o", ["l_returnflag"], "q", "l_suppkey")
     return got.select("l_partkey", F.col("first_l_returnflag").alias("first_flag"), F.array_join(F.col("values").cast("array<string>"), ",").alias("vals"), "owners")
@@ -302,16 +296,9 @@ def set_reconcile(spark, sf):
     return catalog.set_difference(_t(spark, sf, "orders").select(F.col("o_orderkey").alias("k")), _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k")), "k")
 
 
-@query("""SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events WHERE event_id % 5 < 4 GROUP BY 1""")
-def union_dedupe_last(spark, sf):
-    e = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
-    both = e.where("event_id % 5 < 3").unionByName(e.where("event_id % 5 between 2 and 3"))
-    return history.last_by_key(both, "user_id", ["event_id"])
-
-
 @query("""SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1""")
-def union_dedupe_last_all(spark, sf):
-    """Two overlapping slices that cover all events; those of union_dedupe_last leave a fifth out."""
+def union_dedupe_last(spark, sf):
+    """Two overlapping slices that cover all events."""
     e = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
     both = e.where("event_id % 5 < 3").unionByName(e.where("event_id % 5 >= 2"))
     return history.last_by_key(both, "user_id", ["event_id"])
@@ -347,14 +334,25 @@ def candidate_accounting(spark, sf):
     return eventlog.candidate_accounting(of("view"), of("click"), of("purchase").withColumn("decision", F.col("event_id")), ["user_id", "k"], "event_id", "decision")
 
 
-@query("""WITH b AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS sequence, event_type AS payload FROM events),
-h AS (SELECT *, sha256(payload || CAST(sequence AS VARCHAR)) AS own, lag(sha256(payload || CAST(sequence AS VARCHAR))) OVER (PARTITION BY user_id ORDER BY sequence) AS prev FROM b)
-SELECT user_id, count(*) AS events, CAST(count_if(sequence % 10 = 0) AS BIGINT) AS faults FROM h GROUP BY 1""")
+CHAIN = """SELECT user_id, event_id, event_type AS payload, row_number() OVER (PARTITION BY user_id ORDER BY event_id) + CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS sequence,
+CASE WHEN event_id % 7 = 0 THEN 'x' ELSE lag(o) OVER (PARTITION BY user_id ORDER BY event_id) END AS prev, o AS own FROM (SELECT *, sha256(user_id || '/' || event_id) AS o FROM events)"""
+
+
+@query(f"""WITH c AS ({CHAIN}), l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sequence, event_id) AS n, lag(own) OVER (PARTITION BY user_id ORDER BY sequence, event_id) AS before FROM c)
+SELECT event_id, CASE WHEN sequence <> n THEN 'sequence' WHEN prev IS DISTINCT FROM before THEN 'previous_hash' WHEN own IS DISTINCT FROM sha256(coalesce(prev, '') || chr(0) || payload) THEN 'event_hash' END AS fault FROM l""")
 def chain_verify(spark, sf):
+    """Stored logs whose own hashes do not fit their payloads, some with a gap in the sequence or a foreign predecessor: every kind of fault, by stored values only."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    e = _t(spark, sf, "events").select("user_id", "event_id", F.col("event_type").alias("payload"), F.sha2(F.concat_ws("/", "user_id", "event_id"), 256).alias("event_sha256"))
+    e = e.withColumn("sequence", F.row_number().over(w) + (F.col("event_id") % 11 == 0).cast("int")).withColumn("previous_sha256", F.when(F.col("event_id") % 7 == 0, "x").otherwise(F.lag("event_sha256").over(w)))
+    return eventlog.verify_chain(e, "user_id", "event_id", "payload", tie="event_id").select("event_id", "fault")
+
+
+@query("""SELECT user_id, count(*) AS events, CAST(0 AS BIGINT) AS faults FROM events GROUP BY 1""")
+def chain_append(spark, sf):
+    """Logs built by the library verify without a fault."""
     logs = eventlog.append(_t(spark, sf, "events").select("user_id", "event_id", F.col("event_type").alias("payload")), "user_id", "event_id", "payload")
-    broken = logs.withColumn("event_sha256", F.when(F.col("sequence") % 10 == 0, eventlog.link_hash(F.col("previous_sha256"), F.lit("tampered"))).otherwise(F.col("event_sha256")))
-    got = eventlog.verify_chain(broken, "user_id", "event_id", "payload")
-    return got.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("fault") == "event_hash").alias("faults"))
+    return eventlog.verify_chain(logs, "user_id", "event_id", "payload").groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.count("fault").alias("faults"))
 
 
 @query("""SELECT user_id, count(*) AS kept FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events b WHERE b.user_id = e.user_id AND b.value > 45), 9223372036854775807) GROUP BY 1""")
@@ -407,7 +405,7 @@ def url_filter(spark, sf):
     return _t(spark, sf, "pages").select("page_id", urls.host(F.col("url")).rlike("(^|[.])free-bets[.]").alias("bets"), urls.rejection_rule(F.col("url"), URL_RULES).alias("rule"))
 
 
-@query(f"""SELECT page_id, regexp_replace(url, '#.*$', '') AS url_key FROM pages""")
+@query(f"""SELECT page_id, CASE WHEN {HOST} <> '' THEN lower(regexp_extract(url, '^([A-Za-z]+://)', 1)) || {HOST} || replace(replace(coalesce(nullif(regexp_extract(url, '^https?://[^/?#:]+(:[0-9]+)?', 1), ''), ''), ':443', ''), ':80', '') || coalesce(nullif(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), ''), '/') || regexp_extract(url, '([?#].*)$', 1) END AS url_key FROM pages""")
 def url_keys(spark, sf):
     return _t(spark, sf, "pages").select("page_id", urls.url_key(F.col("url")).alias("url_key"))
 
@@ -446,20 +444,14 @@ def calendar_arithmetic(spark, sf):
     return _t(spark, sf, "orders").select("o_orderkey", day.alias("day"), dates.last_sunday_before(day).alias("last_sunday"))
 
 
-@query("""SELECT a.p_partkey, b.p_partkey AS aligned FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part WHERE p_size % 2 = 0) a
-LEFT JOIN (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part) b USING (p_brand, k)""")
+@query("""WITH RECURSIVE c AS (SELECT p_partkey, p_brand, p_type, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part WHERE p_size <> 13),
+s AS (SELECT p_partkey, p_brand, p_type, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part),
+r AS (SELECT c.p_brand, c.k, min(s.k) AS place FROM c JOIN s USING (p_brand, p_type) WHERE c.k = 1 GROUP BY 1, 2
+UNION ALL SELECT p_brand, k, place FROM (SELECT c.p_brand, c.k, min(s.k) AS place FROM r JOIN c ON c.p_brand = r.p_brand AND c.k = r.k + 1 JOIN s ON s.p_brand = c.p_brand AND s.p_type = c.p_type AND s.k > r.place GROUP BY 1, 2))
+SELECT c.p_partkey, s.p_partkey AS aligned FROM c LEFT JOIN r ON r.p_brand = c.p_brand AND r.k = c.k LEFT JOIN s ON s.p_brand = r.p_brand AND s.k = r.place""")
 def sequence_alignment(spark, sf):
+    """Each brand's parts, without those since withdrawn (one size), as an ordered subsequence of all its parts, by type."""
     p = _t(spark, sf, "part")
-    cur = p.where("p_size % 2 = 0").select("p_partkey", "p_brand", F.col("p_partkey").alias("o"))
-    snap = p.select(F.col("p_partkey").alias("aligned"), "p_brand", F.col("p_partkey").alias("o"))
-    return catalog.align(cur, snap, ["p_brand"], "o", "aligned").select("p_partkey", "aligned")
-
-
-@query("""SELECT a.p_partkey, b.p_partkey AS aligned FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS k FROM part) a
-LEFT JOIN (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part) b USING (p_brand, k)""")
-def sequence_alignment_all(spark, sf):
-    """All parts in order of size against all in order of key; sequence_alignment holds even sizes only."""
-    p = _t(spark, sf, "part")
-    cur = p.select("p_partkey", "p_brand", F.struct("p_size", "p_partkey").alias("o"))
-    snap = p.select(F.col("p_partkey").alias("aligned"), "p_brand", F.struct("p_partkey").alias("o"))
-    return catalog.align(cur, snap, ["p_brand"], "o", "aligned").select("p_partkey", "aligned")
+    snap = p.select(F.col("p_partkey").alias("aligned"), "p_brand", "p_type", F.col("p_partkey").alias("o"))
+    cur = p.where("p_size <> 13").select("p_partkey", "p_brand", "p_type", F.col("p_partkey").alias("o"))
+    return catalog.align(cur, snap, ["p_brand"], ["p_type"], "o", "aligned").select("p_partkey", "aligned")

@@ -160,7 +160,7 @@ def test_measure(spark):
 
 
 def test_urls(spark):
-    assert one(spark, urls.url_key(F.lit("HTTPS://WWW.A.com#x"))) == "https://www.a.com/"
+    assert one(spark, urls.url_key(F.lit("HTTPS://WWW.A.com#x"))) == "https://www.a.com/#x"
     assert one(spark, urls.url_key(F.lit("nope"))) is None
     assert one(spark, urls.is_likely_product(F.lit("https://a.com/Blog/x"))) is False
     reg = spark.createDataFrame([(2, "a.com", "later"), (1, "a.com", "first")], "ord int, host string, owner string")
