@@ -23,7 +23,8 @@ NAMES = "token|secret|passw|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?ke
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
     r"|(?<=[=:> ])(?=[^\s\"'<>,;]{8})"
-    rf"(?:(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:]{{1,2}}>? ?)|(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}} )(?=\S{{0,200}}[0-9]|\S{{0,200}}[a-z][A-Z]))"
+    # cheap conditions first: looking back for a name costs most and is seldom due
+    rf"(?:(?<=[=:]>? ?)(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:]{{1,2}}>? ?)|(?<= )(?=\S{{0,200}}[0-9]|\S{{0,200}}[a-z][A-Z])(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}} ))"
     rf"(?!(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:])"
     r"[^\s\"'<>,;]{7,}[^\s\"'<>,;.)\]}]"
     rf"|(?<=[\"'])(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:]{{1,2}}>? ?[\"'])[^\s\"']{{8,}}(?=[\"'])"
@@ -181,34 +182,59 @@ def train(spark: SparkSession, findings: list[tuple[str, str, str, int]] | None
     return Forest().fit(x, np.array([r[0] for r in got]))
 
 
-def _scored(df: DataFrame, forest: Forest, text: str) -> tuple[Column, Column]:
-    """Columns: the text's parts around candidates, and the candidates in text order with their scores."""
-    t = F.col(text)
-    pattern = F.lit(CANDIDATE)
-    found = F.regexp_extract_all(t, pattern, F.lit(0))
-    parts = F.split(t, CANDIDATE, -1)
-    size = F.size(found)
-    # the text before a candidate begins with the candidate before it, so a name that is one itself is seen
-    last = F.slice(F.concat(F.array(F.lit("")), found), F.lit(1), size)
-    before = F.zip_with(last, F.slice(parts, F.lit(1), size), lambda c, b: F.struct(F.right(F.concat(F.right(c, F.lit(48)), b), F.lit(48)).alias("b"), F.length(b).alias("gap")))
-    pairs = F.zip_with(F.zip_with(found, before, lambda c, b: F.struct(b["b"].alias("b"), c.alias("c"), b["gap"].alias("gap"))), F.slice(parts, F.lit(2), size), lambda l, a: F.struct(l["b"].alias("b"), l["c"].alias("c"), F.left(a, F.lit(24)).alias("a"), l["gap"].alias("gap")))
-    return parts, pairs
+#: Two private characters around each candidate while a text is taken apart.
+_MARK = "\ue000\ue001"
+
+
+def _pieces(text: str) -> Column:
+    """A text as an array: what is before the first candidate, the candidate, what is between, and so on; odd places are candidates. Null is empty.
+
+    One pass of the expression marks the candidates; a text that has the mark itself is taken apart by two passes.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    marked = F.split(F.regexp_replace(t, CANDIDATE, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    between, found = F.split(t, CANDIDATE, -1), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))
+    apart = F.flatten(F.zip_with(between, found, lambda b, c: F.when(c.isNull(), F.array(b)).otherwise(F.array(b, c))))
+    return F.when(F.contains(t, F.lit(_MARK)), apart).otherwise(marked)
+
+
+def _pairs(pieces: str) -> Column:
+    """The candidates of ``_pieces`` in text order, each with the 48 characters before it, the 24 after it and the gap to the one before.
+
+    What is before a candidate begins with the candidate before it, so a name that is one itself is seen.
+    """
+    p = F.col(pieces)
+    places = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: i % 2 == 1)
+
+    def pair(i: Column) -> Column:
+        gap = F.get(p, i - 1)
+        return F.struct(F.right(F.concat(F.right(F.coalesce(F.get(p, i - 2), F.lit("")), F.lit(48)), gap), F.lit(48)).alias("b"), F.get(p, i).alias("c"), F.left(F.get(p, i + 1), F.lit(24)).alias("a"), F.length(gap).alias("gap"))
+
+    return F.transform(places, pair)
+
+
+def _with_pieces(df: DataFrame, forest: Forest, text: str, keep: list[str], pieces: str, out: str) -> DataFrame:
+    names = list(FEATURES)
+    step = df.select(*keep, _pieces(text).alias(pieces))
+    step = step.select(*keep, pieces, _pairs(pieces).alias("_found"))
+    step = step.select(*keep, pieces, F.expr(f"transform(_found, x -> named_struct('gap', x.gap, 'c', x.c, 'f', {_features('x.')}))").alias("_found"))
+    score = forest.sql(lambda i: f"x.f.{names[i]}")
+    return step.select(*keep, pieces, F.expr(f"transform(_found, x -> named_struct('gap', x.gap, 'secret', x.c, 'score', {score}))").alias(out))
+
+
+def _fresh(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def scan(df: DataFrame, forest: Forest, text: str = "text", out: str = "findings") -> DataFrame:
     """Adds an array of candidates in text order: gap (code points since the one before), secret, score.
 
-    Null and empty texts have none. All of a text is read; earlier columns of the name are replaced.
+    Null and empty texts have none. All of a text is read, once; earlier columns of the name are replaced.
     """
     keep = [c for c in df.columns if c != out]
-    _, pairs = _scored(df, forest, text)
-    has = F.coalesce(F.col(text).rlike(CANDIDATE), F.lit(False))
-    names = list(FEATURES)
-    empty = F.expr("cast(array() as array<struct<b string, c string, a string, gap int>>)")
-    step = df.select(*keep, F.when(has, pairs).otherwise(empty).alias("_found"))
-    step = step.select(*keep, F.expr(f"transform(_found, x -> named_struct('gap', x.gap, 'c', x.c, 'f', {_features('x.')}))").alias("_found"))
-    score = forest.sql(lambda i: f"x.f.{names[i]}")
-    return step.select(*keep, F.expr(f"transform(_found, x -> named_struct('gap', x.gap, 'secret', x.c, 'score', {score}))").alias(out))
+    return _with_pieces(df, forest, text, keep, _fresh(df, "_pieces"), out).select(*keep, out)
 
 
 def findings(df: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text", cut: float = 0.5) -> DataFrame:
@@ -226,15 +252,9 @@ def findings(df: DataFrame, forest: Forest, key: str = "doc_id", text: str = "te
 
 
 def redact(df: DataFrame, forest: Forest, text: str = "text", cut: float = 0.5, mask: str = "[SECRET]") -> DataFrame:
-    """The same rows with accepted findings replaced in the text; other columns and texts without findings are as they were."""
-    name = "_findings"
-    while name in df.columns:
-        name += "_"
-    step = scan(df, forest, text, name)
-    parts = F.split(F.col(text), CANDIDATE, -1)
-    clean = F.concat(
-        F.array_join(F.zip_with(F.slice(parts, F.lit(1), F.size(name)), F.col(name), lambda p, f: F.concat(p, F.when(f["score"] >= cut, F.lit(mask)).otherwise(f["secret"]))), ""),
-        F.element_at(parts, -1),
-    )
+    """The same rows with accepted findings replaced in the text; other columns and texts without findings are as they were. An empty table gives no rows."""
+    name, pieces = _fresh(df, "_findings"), _fresh(df, "_pieces")
+    step = _with_pieces(df, forest, text, df.columns, pieces, name)
+    masked = F.transform(pieces, lambda p, i: F.when((i % 2 == 1) & (F.get(F.col(name), F.floor(i / 2).cast("int"))["score"] >= cut), F.lit(mask)).otherwise(p))
     hit = F.exists(name, lambda f: f["score"] >= cut)
-    return step.select(*[F.when(hit, clean).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in df.columns])
+    return step.select(*[F.when(hit, F.array_join(masked, "")).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in df.columns])
