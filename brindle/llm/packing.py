@@ -103,7 +103,10 @@ def pieces(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
 
 
 def best_fit(lengths: np.ndarray, cap: Capacity = Capacity(), weights: tuple = (1.0, 1e-3, 1e-3), rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each piece. ``rule``: "norm" or "dot"."""
+    """Bin and offset of each piece, longest first (ties: in order given). ``rule``: "norm" takes the bin that leaves the smallest weighted norm, "dot" the largest weighted dot product.
+
+    A bin counts only if all three capacities allow the piece; no lengths give no bins; a piece that no empty bin holds is an error.
+    """
     n = len(lengths)
     bin_of, offset = np.zeros(n, np.int64), np.zeros(n, np.int64)
     wt, wd, wc = weights

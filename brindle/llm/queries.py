@@ -11,6 +11,7 @@ from brindle.llm.common import fold, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside fold 2 of 4. Null, empty and letterless texts are und; repeated rows give a row each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.train(language.training_windows(docs.where(fold("doc_id", 4) != 2), "text", "lang", "doc_id"))
     out = language.identify(docs.select("doc_id", "text"), model)
@@ -23,6 +24,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.WordConvNet |
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside fold 1 of 3. Null and empty texts score below the cut; without labels all score 0."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     out = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
@@ -30,33 +32,40 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 1024 tokens. Null texts are one end token; repeated rows are pieces each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; the last document in falling order of doc_id is edited with the first, a single one with itself."""
     make = fingerprint.EditedNext()
     return fingerprint.with_next_text(table(spark, sf_dir, "documents").select("doc_id", "text"), make, make.fields)
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in every document; documents without any give no row."""
     return secrets.findings(table(spark, sf_dir, "documents").select("doc_id", "text"), secrets.train(spark))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests. Null texts have no ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 8 shards under the law bytes; equal texts, nulls among them, share one."""
     return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, with the lines that differencing judged and deleted. Null pages are empty."""
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors of every fiftieth; vectors that are null or not finite take no part."""
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
     return topk.search(vectors, F.col("vec_id") % 50 == 0)
 
@@ -67,6 +76,7 @@ def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document; null and wordless texts are alone."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 

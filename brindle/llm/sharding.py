@@ -38,7 +38,10 @@ def _bucket(x: Column, low: float, high: float) -> Column:
 
 
 def split(units: DataFrame, axes: list[str], shards: int, weight: str = "_bytes") -> DataFrame:
-    """Adds ``shard`` to units with a weight and numeric axes; the last axis, in [0, 1], must tell units apart (a hash) and breaks ties."""
+    """Adds ``shard`` to units with a weight and numeric axes; the last axis, in [0, 1], must tell units apart (a hash) and breaks ties.
+
+    Axes and weight must not be null. No units give no rows; with fewer units than shards some shards stay empty. The driver gets a histogram of a bounded number of buckets a node and step.
+    """
     nodes = {1: _Node(shards, 0)}
     leaves: dict[int, int] = {} if shards > 1 else {1: 0}
     node = F.lit(1)
@@ -131,7 +134,7 @@ def shard(df: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text
     ).withColumn("_unit", F.substring("_unit", 1, 32))
     rows = written(rows, "sizes")
     axes = [c for c in rows.columns if c.startswith("_d")]
-    units = rows.groupBy("_unit").agg(F.sum("size").alias("_bytes"), F.log(F.sum("size").cast("double")).alias("_log"), F.coalesce(F.min(key).cast("double"), F.lit(0.0)).alias("_key"), *[F.min(a).alias(a) for a in axes])
+    units = rows.groupBy("_unit").agg(F.sum("size").alias("_bytes"), F.log(F.sum("size").cast("double")).alias("_log"), F.coalesce(F.min(key).try_cast("double"), F.lit(0.0)).alias("_key"), *[F.min(a).alias(a) for a in axes])
     units = written(units.withColumn("_hash", (F.conv(F.substring("_unit", 1, 13), 16, 10).cast("double") / _BIG)), "units")
     placed = written(split(units, ["_log", *axes, "_key", "_hash"], shards).select("_unit", "shard"), "placed")
     joined = rows.join(placed, "_unit").withColumn("_bucket", F.pmod(F.xxhash64(key, "size", "text_crc32"), F.lit(4 * n)).cast("int"))

@@ -70,7 +70,7 @@ def _merged(one: tuple, other: tuple, k: int) -> tuple:
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best other rows by integer inner product.
 
-    ``vectors`` has the key and an array of longs ``vec``. Rows that repeat a key are candidates each, except for their own
+    ``vectors`` has an integer key, not null, and an array of longs ``vec``; other columns are not read; an empty table gives no rows. Rows that repeat a key are candidates each, except for their own
     key's queries; a repeated query gives one result. Queries are taken in blocks of at most ``query_block`` distinct keys, and
     only one block's vectors are on the driver and sent out at a time; every block meets all candidates.
     """

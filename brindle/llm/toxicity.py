@@ -150,7 +150,7 @@ class WordConvNet:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def fit(self, docs: list[np.ndarray], y: np.ndarray, langs: list[str | None], epochs: int = 6, batch: int = 64, rate: float = 0.05, seed: int = 9) -> WordConvNet:
-        """``docs``: word ids of each text; a fifth of them calibrates the thresholds."""
+        """``docs``: word ids of each text. A fifth of them calibrates the thresholds; with fewer than 50 texts, or one label only in that fifth, the texts learned from do."""
         rng = np.random.default_rng(seed)
         n = len(docs)
         held = rng.random(n) < 0.2 if n >= 50 else np.zeros(n, bool)
@@ -253,7 +253,10 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, lang: str | None, per_class: int = 2500):
-    """A bounded sample of labelled rows: about ``per_class`` of each label, by a hash of the key; word ids, not texts, come back."""
+    """A bounded sample of labelled rows: about ``per_class`` of each label, by a hash of the key; word ids, not texts, come back.
+
+    Rows without key or text, keys that ``docs`` lacks and labels other than 0 and 1 give nothing; of a key's labels the larger counts. What is broadcast are the drawn keys, what comes to the driver their word ids: both bounded by ``per_class``.
+    """
     marked = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("_y"))
     counts = {int(r[0]): r[1] for r in marked.groupBy("_y").count().collect()}
     if not counts:
@@ -275,6 +278,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label
 
 
 def train(docs: list[np.ndarray], y: np.ndarray, langs: list[str | None]) -> WordConvNet | None:
+    """The classifier learned from word ids, labels and languages (null: unknown), the same for the same rows; None unless both labels occur."""
     return WordConvNet().fit(docs, y, langs) if len(docs) and 0 < y.sum() < len(y) else None
 
 

@@ -113,6 +113,30 @@ def test_best_fit():
     assert len(np.unique(loose)) <= 1.02 * lengths.sum() / 1024 + 1
 
 
+def test_best_fit_takes_the_best_bin():
+    """Replayed against all bins: no feasible bin would have scored better, and a new bin is opened only if none is feasible."""
+    r = np.random.default_rng(7)
+    cap, (wt, wd, wc) = packing.Capacity(100, 5, 6000), (1.0, 1e-3, 1e-3)
+    for rule in ("norm", "dot"):
+        lengths = r.integers(1, 75, 400)
+        bins, _ = packing.best_fit(lengths, cap, rule=rule)
+        state: dict[int, tuple] = {}
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            size, square = int(lengths[i]), int(lengths[i]) ** 2
+
+            def score(b):
+                left, docs, cost = state[b]
+                if rule == "norm":
+                    return wt * ((left - size) / cap.tokens) ** 2 + wd * ((docs - 1) / cap.documents) ** 2 + wc * ((cost - square) / cap.cost) ** 2
+                return -(wt * size * left / cap.tokens**2 + wd * docs / cap.documents**2 + wc * square * cost / cap.cost**2)
+
+            able = [b for b, (left, docs, cost) in state.items() if left >= size and docs >= 1 and cost >= square]
+            b = int(bins[i])
+            assert (b in able and score(b) <= min(map(score, able)) + 1e-12) if able else b not in state
+            left, docs, cost = state.get(b, (cap.tokens, cap.documents, cap.cost))
+            state[b] = (left - size, docs - 1, cost - square)
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
@@ -372,6 +396,22 @@ def test_topk(spark):
     assert topk.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_clashing_names_and_tasks(spark):
+    """Columns named as the result's, repeated keys, ties over many tasks, int keys."""
+    rows = [(i % 90, [float(i % 3), 1.0, -float(i % 7)], "x") for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id int, v array<float>, score string").withColumn("query_id", F.lit("y")).withColumn("rank", F.lit(0)).repartition(7)
+    got = topk.search(topk.integer_vectors(df, "vec_id", "v"), F.col("vec_id") % 50 == 0, candidate_block=5)
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [("query_id", "int"), ("rank", "int"), ("vec_id", "int"), ("score", "bigint")]
+    found = collections.defaultdict(list)
+    for r in got.collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    vecs = [(i, [int(256 * x) for x in v]) for i, v, _ in rows]
+    for q in (0, 50):
+        own = min(v for i, v in vecs if i == q)
+        want = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in vecs if i != q)[:5]
+        assert sorted(found[q]) == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
+
+
 # --- 10: Jaccard join
 
 

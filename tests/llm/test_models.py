@@ -38,6 +38,29 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(odd(spark), None).collect()} == {"und"}
 
 
+def test_only_letters_have_a_language(spark):
+    model = language.train([("de", b"der und die das ist nicht") for _ in range(9)] + [("en", b"the of and to is not was") for _ in range(9)], 60)
+    rows = spark.createDataFrame([(1, "\u00bd"), (2, "\u00b2 \u00b3"), (3, "\u0663\u0664"), (4, "_ \u2167"), (5, "\u00e9"), (6, "\u65e5"), (7, "1a")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred == "und" for r in language.identify(rows, model).collect()} == {1: True, 2: True, 3: True, 4: True, 5: False, 6: False, 7: False}
+
+
+def test_toxicity_empty_table_and_clashing_names(spark):
+    import numpy as np
+
+    docs = spark.createDataFrame([(i, "bad moron" if i % 2 else "good day", "en", "s", 1.5, "p") for i in range(40)], "doc_id long, text string, lang string, source string, score double, predicted string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 1), (None, 1), (999, 0), (4, 7), (5, None)], "doc_id long, toxic int")
+    got = toxicity.training_rows(docs, labels, "text", "doc_id", "toxic", "lang")
+    assert len(got[0]) == 40 and got[1].tolist().count(1) == 20
+    model = toxicity.train(*got)
+    out = toxicity.score_toxicity(docs, model)
+    assert out.columns.count("score") == 1 == out.columns.count("predicted") and dict(out.dtypes)["predicted"] == "int" and out.count() == 40
+    assert {(r.doc_id % 2, r.predicted) for r in out.collect()} == {(0, 0), (1, 1)}
+    empty = toxicity.training_rows(docs.limit(0), labels.limit(0), "text", "doc_id", "toxic", "lang")
+    assert toxicity.train(*empty) is None and toxicity.score_toxicity(docs.limit(0), model).count() == 0
+    assert {r.score for r in toxicity.score_toxicity(docs, None).collect()} == {0.0}
+    assert not len(np.concatenate([empty[1]]))
+
+
 def test_tables_equal_plain_convolution():
     import numpy as np
 

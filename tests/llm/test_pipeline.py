@@ -35,5 +35,33 @@ def test_near_duplicate_stage_keeps_one(spark):
     assert sorted((r.doc_id or -1) for r in got) == [-1, 1, 5]
 
 
+def test_texts_that_share_an_id(spark):
+    """Different texts under one doc_id are documents of their own; a copy of a smaller id's text goes, its namesake stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (3, c), (3, b + " more"), (None, a)], "doc_id long, text string").withColumn("_row", F.lit(1))
+    got = {(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
+    assert got == {(1, a), (2, b), (3, c), (None, a)}
+
+
+def test_near_duplicate_stage_against_plain_components(spark):
+    from test_exact import plain_components
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {i for i, (_, root) in plain_components([(r.doc_id, r.text) for r in docs.collect()]).items() if i == root}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()} == want
+
+
+def test_empty_and_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for stage in (f for _, f in corpus_pipeline.STAGES):
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    few = docs.orderBy("doc_id").limit(20)
+    twice = few.unionAll(few)
+    assert {r.doc_id for r in corpus_pipeline.language_stage(spark, twice.withColumn("lang", F.lit(None).cast("string")), SF).collect()} == {r.doc_id for r in few.where(F.col("text").rlike(r"\p{L}")).collect()}
+    once = corpus_pipeline.near_duplicate_stage(spark, twice, SF)
+    ids = [r.doc_id for r in once.collect()]
+    assert len(ids) == len(set(ids)) and set(ids) == {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, few, SF).collect()}
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
