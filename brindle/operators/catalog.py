@@ -85,6 +85,26 @@ def gated_changes(base: DataFrame, decisions: DataFrame, key: str, column: str,
     return apply_changes(base, decisions, key, column)
 
 
+def change_list(base: DataFrame, decisions: DataFrame, key: str, column: str) -> DataFrame:
+    """key, action, from, to: what ``apply_changes`` does to each row it changes."""
+    d = base.select(key, F.col(column).alias("from")).join(decisions.select(key, "decision", "to"), key)
+    gone = F.coalesce(F.col("decision") == "remove", F.lit(False))
+    rows = d.select(key, F.when(gone, "remove").otherwise("change").alias("action"), "from", F.when(~gone, F.col("to")).alias("to"))
+    return rows.where((F.col("action") == "remove") | (F.col("to").isNotNull() & ~F.col("to").eqNullSafe(F.col("from"))))
+
+
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """The same rows; a key that repeats ends the query."""
+    if not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError(f"{key} repeats")
+    return df
+
+
+def outcome_counts(df: DataFrame, named: dict[str, Column], keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, total and the number of rows that meet each named condition: one pass, one partial aggregation."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in named.items()])
+
+
 def set_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """side, key: distinct keys that one side lacks."""
     both = a.select(key).distinct().withColumn("s", F.lit(1)).unionAll(b.select(key).distinct().withColumn("s", F.lit(2)))

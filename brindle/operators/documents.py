@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.text import decode_html, first_number
 from brindle.functions.urls import host
+from brindle.session import shared_folder
 
 LINK = r'(?i)<a\s[^>]*?href="([^"]*)"'
 
@@ -42,7 +43,8 @@ def sitemap(df: DataFrame, key: str, body: str) -> DataFrame:
 
 
 def crawl(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Page URLs reachable from seed sitemaps through indexes of any depth; breadth first over a table of pages (url, body), each round a join. Needs a checkpoint folder."""
+    """Page URLs reachable from seed sitemaps through indexes of any depth; breadth first over a table of pages (url, body), each round a join, checkpointed."""
+    shared_folder(pages.sparkSession)
     seen, front, found = seeds.select("url").distinct(), seeds.select("url").distinct(), None
     while True:
         rows = sitemap(front.join(pages, "url").withColumnRenamed("url", "page"), "page", "body").select(F.col("url").alias("loc"), "is_index")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +96,34 @@ def json_or(text: Column, fallback: str) -> Column:
     return F.coalesce(F.try_parse_json(F.when(text != "", text)), F.parse_json(F.lit(fallback)))
 
 
+def _keys_of(value):
+    if isinstance(value, list):
+        for v in value:
+            yield from _keys_of(v)
+    elif isinstance(value, dict):
+        for k, v in value.items():
+            yield re.sub("[^a-zA-Z0-9]", "", k).lower()
+            yield from _keys_of(v)
+
+
 def forbidden_keys(text: Column, names: list[str]) -> Column:
-    """Does a JSON text use one of the names as a key, folded to letters and digits, at any depth?"""
-    keys = F.transform(F.regexp_extract_all(text, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), F.lit(1)), lambda k: F.lower(F.regexp_replace(k, "[^a-zA-Z0-9]", "")))
-    return F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
+    """Does a JSON text use one of the names as a key, folded to letters and digits, at any depth? Texts inside values do not count; null and malformed texts have no keys.
+
+    Only texts in which a name occurs at all, letters and digits taken together, are parsed, Arrow-batched.
+    """
+    wanted = frozenset(names)
+
+    @F.pandas_udf("boolean")
+    def run(s: pd.Series) -> pd.Series:
+        def one(raw):
+            try:
+                return raw is not None and any(k in wanted for k in _keys_of(json.loads(raw)))
+            except ValueError:
+                return False
+
+        return s.map(one)
+
+    letters = F.lower(F.regexp_replace(text, "[^a-zA-Z0-9]", ""))
+    maybe = F.coalesce(letters.rlike("|".join(names)), F.lit(False)) if names else F.lit(False)
+    escaped = F.coalesce(F.contains(text, F.lit("\\u")), F.lit(False))
+    return F.coalesce(run(F.when(maybe | escaped, text)), F.lit(False))

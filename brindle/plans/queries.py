@@ -162,8 +162,9 @@ def status_counts(spark, sf):
 
 @query("""SELECT count(*) AS total, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS returned, CAST(count_if(l_returnflag = 'A') AS BIGINT) AS accepted, CAST(count_if(l_linestatus = 'O') AS BIGINT) AS open, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem""")
 def outcome_summary(spark, sf):
-    c = lambda k, v: F.count_if(F.col(k) == v)
-    return _t(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("total"), c("l_returnflag", "R").alias("returned"), c("l_returnflag", "A").alias("accepted"), c("l_linestatus", "O").alias("open"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+    c, rows = F.col, _t(spark, sf, "lineitem")
+    counts = catalog.outcome_counts(rows, {"returned": c("l_returnflag") == "R", "accepted": c("l_returnflag") == "A", "open": c("l_linestatus") == "O"})
+    return counts.withColumn("_one", F.lit(1)).join(rows.agg(F.sum(c("l_quantity").cast("long")).alias("quantity")).withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 @query("""SELECT a.p_partkey AS left_key, b.p_partkey AS right_key FROM part a JOIN part b ON trim(lower(a.p_name)) = trim(lower(b.p_name)) AND (a.p_brand = b.p_brand OR b.p_type = 'ECONOMY') WHERE a.p_partkey <> b.p_partkey""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brindle.functions import hashing, text, urls
-from brindle.operators import cards, discovery, evidence, history, research, validate
+from brindle.operators import audit_checks, cards, catalog, discovery, evidence, history, research, validate
 from brindle.plans.queries import _t, query
 
 SOURCES = """SELECT l_partkey, CASE l_returnflag WHEN 'R' THEN 'exact_match' WHEN 'A' THEN 'near_match' ELSE 'wrong_variant' END AS match_decision, CASE WHEN l_tax > 0 THEN round(l_discount * 100) END AS strength,
@@ -324,6 +324,29 @@ def path_facts(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.arrays_overlap(urls.path_tokens(F.col("url")), F.array(F.lit("en"), F.lit("de"))).alias("known"), urls.is_likely_product(F.col("url")).alias("product"))
 
 
+@query("""WITH l AS (SELECT p_partkey, CASE WHEN p_size = 1 THEN 'lost' ELSE 'exact_id' END AS match_status, CASE WHEN p_size % 10 = 0 THEN 'remove' WHEN p_size % 10 = 1 THEN 'review' ELSE 'keep' END AS decision, CASE WHEN p_size % 20 = 0 THEN NULL ELSE 'r' END AS reason_code, p_size % 3 AS pieces, CASE WHEN p_size % 7 = 0 THEN p_size + 1 ELSE p_size END AS calculated, p_size AS observed FROM part)
+SELECT unnest(['invalid_match_status', 'invalid_existence_status', 'invalid_sale_status', 'invalid_strength_status', 'invalid_decision', 'missing_reason', 'evidence_without_digest', 'decision_without_evidence', 'change_without_evidence', 'calculation_differs']) AS check_name,
+CAST(unnest([count_if(match_status = 'lost'), 0, 0, 0, 0, count_if(reason_code IS NULL), count_if(pieces = 2), count_if(decision <> 'keep' AND (reason_code IS NULL OR pieces = 0)), 0, count_if(calculated <> observed)]) AS BIGINT) AS failing FROM l""")
+def ledger_checks(spark, sf):
+    """A ledger made of parts: one size has an unknown status, every third has no evidence, every third evidence without a digest."""
+    size = F.col("p_size")
+    piece = lambda digest: F.struct(F.lit("page").alias("evidence_type"), F.lit("http://a/").alias("url"), digest.alias("response_sha256"), F.lit("retailer").alias("branch"), F.lit("o").alias("source_owner"))
+    proof = F.when(size % 3 == 1, F.array(piece(F.lit("d")))).when(size % 3 == 2, F.array(piece(F.lit("d")), piece(F.lit(None).cast("string"))))
+    ledger = _t(spark, sf, "part").select(
+        "p_partkey", F.when(size == 1, "lost").otherwise("exact_id").alias("match_status"), F.lit("confirmed").alias("existence_status"), F.lit("unknown").alias("sale_status"), F.lit("verified").alias("strength_status"),
+        F.when(size % 10 == 0, "remove").when(size % 10 == 1, "review").otherwise("keep").alias("decision"), F.when(size % 20 != 0, "r").alias("reason_code"), proof.alias("evidence"), F.array().cast("array<struct<action:string,field:string,to:double>>").alias("changes"),
+        F.when(size % 7 == 0, size + 1).otherwise(size).cast("double").alias("calculated"), size.cast("double").alias("observed"),
+    )
+    return audit_checks.ledger_checks(ledger)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'remove' ELSE 'change' END AS action, p_size AS "from", CASE WHEN p_size % 7 <> 0 THEN p_size + 100 END AS "to" FROM part WHERE p_size > 20 AND (p_size % 7 = 0 OR p_size % 5 = 0)""")
+def change_list(spark, sf):
+    p = _t(spark, sf, "part").select("p_partkey", "p_size")
+    d = p.where("p_size > 20").select("p_partkey", F.when(F.col("p_size") % 7 == 0, "remove").otherwise("keep").alias("decision"), F.when(F.col("p_size") % 5 == 0, F.col("p_size") + 100).alias("to"))
+    return catalog.change_list(p, d, "p_partkey", "p_size")
+
+
 @query(None)
 def search_pages(spark, sf):
     """Addresses of the pages table as result pages of two engines; tests hold the parsers against fixed pages."""

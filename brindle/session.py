@@ -24,3 +24,19 @@ def ship(spark: SparkSession) -> None:
     shutil.copytree(ROOT / "brindle", folder / "stage" / "brindle", ignore=shutil.ignore_patterns("__pycache__"))
     sc.addPyFile(shutil.make_archive(str(folder / "brindle"), "zip", folder / "stage"))
     _SHIPPED.add(sc.applicationId)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables and checkpoints, which is set as the checkpoint folder too.
+
+    Where the session names none: a temporary one on a single machine, an error on a cluster, whose executors do not share one.
+    """
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not where:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = tempfile.mkdtemp(prefix="brindle-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(where)
+    return where.rstrip("/")

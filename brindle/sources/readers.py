@@ -55,8 +55,13 @@ def json_lines(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def cached_json(spark: SparkSession, path: str, pattern: str, schema: StructType | str) -> DataFrame:
-    """Files by name pattern; broken ones are passed over."""
-    return spark.read.schema(schema).option("pathGlobFilter", pattern).option("mode", "DROPMALFORMED").json(path)
+    """One JSON document a file, by name pattern; a file that does not parse as a whole is passed over, all of it."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    fields = StructType(list(schema.fields)).add("_broken", "string")
+    whole = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
+    parsed = whole.select(F.from_json("value", fields, {"columnNameOfCorruptRecord": "_broken"}).alias("r"))
+    return parsed.where("r is not null and r._broken is null").select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def load_or_create(spark: SparkSession, path: str, make) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from brindle.session import shared_folder
+
 
 def transition(counter: tuple[int, int] | None, now: int, window: int) -> tuple[int, int]:
     """(start, count) after one more attempt: a new window when there is none or it is over."""
@@ -50,6 +52,7 @@ def limit_by_key(df: DataFrame, key: str, ts_ms: str, order: str, limit: int, wi
 
 def key_components(df: DataFrame, a: str, b: str) -> DataFrame:
     """a, component: connected components of the pairs (a, b), by smallest label, in rounds of two aggregations."""
+    shared_folder(df.sparkSession)
     pairs = df.select(a, b).distinct().checkpoint()
     labels = pairs.select(a).distinct().withColumn("component", F.col(a).cast("string"))
     while True:
