@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import gc
 import json
-import tempfile
 import uuid
 import weakref
 
@@ -20,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brindle.session import shared_folder
+
 GUARD = "_guard"
 CELL = "_cell"
 
@@ -38,24 +39,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables. Where the session names none, a temporary one on a single machine; an error on a cluster, whose executors do not share one."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = tempfile.mkdtemp(prefix="brindle-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
 _PATHS: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path

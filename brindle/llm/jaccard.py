@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.llm.common import discard, placement_keys, shuffle_partitions, slices, text_bytes, written
+from brindle.llm.common import discard, placement_keys, release, shuffle_partitions, slices, text_bytes, written
 
 _P, _Q = np.uint64(0x100000001B3 * 0x9E3779B1 & (1 << 64) - 1 | 1), np.uint64(0xD6E8FEB86659FD93)
 _K1, _K2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -632,6 +632,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     docs = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs, "_text", words, sample, least_hot))
     both = written(shared_sets(docs, words, keep_size, hot), "shared")
+    release(spark)
     rows = both.where("hashes is null").select("_key", "n", "_set")
     sets = written(windowed_sets(both.where("hashes is not null"), keep_size, window_size, hot), "sets")
     roots = components(links(regions(sets, hot), sets, percent, max_sets, max_bytes))
