@@ -132,22 +132,30 @@ def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None
     ``key`` must not be null; it is a long or a string. Rows of one key may be in several ranges; only rows that agree in key and ties share one. Adds ``_cell``
     (rank of the range) and ``_guard``: 0 for a range's own rows, 1 for a row like the first that
     follows the range and, if ``before``, -1 for one like the last that precedes it. One shuffle
-    of the rows. The bounds come from about 16 keys a partition drawn by rows, not by tasks, and share out ``weight`` (rows if none) evenly.
+    of the rows. Fine ranges come from about 64 keys a partition drawn by rows, not by tasks; what each holds of ``weight`` (rows if none)
+    is then summed exactly, and neighbouring ones are joined to ranges of even weight. A bounded number of fine ranges a partition comes to the driver.
     """
     spark = df.sparkSession
     n = partitions or shuffle_partitions(spark)
     kind = df.schema[key].dataType
     at = F.struct(F.col(key).alias("k"), F.xxhash64(*ties).alias("h"))
     keys = df.select(at.alias("at"), (weight if weight is not None else F.lit(1)).cast("double").alias("w"))
-    total = df.count()
-    drawn = keys if total <= 16 * n else keys.where(F.rand(17) < 16 * n / total)
-    sample = sorted((r["at"]["k"], r["at"]["h"], r["w"]) for r in drawn.collect())
-    share = np.cumsum([w for *_, w in sample])
-    cuts = {int(np.searchsorted(share, share[-1] * i / n)) for i in range(1, n)} if sample else set()
-    bounds = sorted({sample[c][:2] for c in cuts})
-    rank = lambda one: _found(one, _literals(bounds, kind), len(bounds)) if bounds else F.lit(0)
-    edges = keys.select("at", rank(F.col("at")).alias(CELL)).groupBy(CELL).agg(F.min("at").alias("lo"), F.max("at").alias("hi")).collect()
-    edges = sorted((r[CELL], tuple(r["lo"]), tuple(r["hi"])) for r in edges)
+    total, drawn = df.count(), keys.select("at")
+    drawn = drawn if total <= 64 * n else drawn.where(F.rand(17) < 64 * n / total)
+    sample = sorted((r["at"]["k"], r["at"]["h"]) for r in drawn.collect())
+    bounds = sorted({sample[len(sample) * i // (8 * n)] for i in range(1, 8 * n)}) if sample else []
+    fine = lambda one: _found(one, _literals(bounds, kind), len(bounds)) if bounds else F.lit(0)
+    found = keys.select("at", "w", fine(F.col("at")).alias(CELL)).groupBy(CELL).agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.sum("w").alias("w")).collect()
+    found = sorted((r[CELL], tuple(r["lo"]), tuple(r["hi"]), r["w"]) for r in found)
+    share, so_far, joined = max(sum(f[3] for f in found) / n, 1e-9) if found else 1.0, 0.0, [0] * (len(bounds) + 1)
+    spans: dict[int, list] = {}
+    for number, low, high, w in found:
+        cell = min(n - 1, int((so_far + w / 2) / share))
+        so_far += w
+        joined[number] = cell
+        spans.setdefault(cell, [low, high])[1] = high
+    edges = [(cell, *span) for cell, span in sorted(spans.items())]
+    rank = lambda one: F.get(F.from_json(F.lit(json.dumps(joined)), "array<int>"), fine(one))
     own = df.withColumn("_at", at).withColumn(CELL, rank(at)).withColumn(GUARD, F.lit(0))
     out = own.drop("_at")
     neighbours = [(1, 1, edges[1:], edges)] + ([(-1, 2, edges, edges[1:])] if before else [])
@@ -157,7 +165,7 @@ def in_order(df: DataFrame, key: str, ties: list[Column], partitions: int | None
             to[edges[0][0]] = edges[-1][0]
         if to:
             ends = {e[0]: e[side] for e in edges}
-            cells = len(bounds) + 1
+            cells = n
             edge = F.element_at(_literals([ends.get(c, edges[0][1]) for c in range(cells)], kind), F.col(CELL) + 1)
             target = F.element_at(F.from_json(F.lit(json.dumps([to.get(c, -1) for c in range(cells)])), "array<int>"), F.col(CELL) + 1)
             like = own.where(F.col("_at") == edge).groupBy(F.col(CELL)).agg(F.any_value(F.struct(*df.columns)).alias("row"))
