@@ -39,8 +39,9 @@ def first_per_owner(df: DataFrame, key: str, owner: str, order: str) -> DataFram
 
 
 def by_owner_group(df: DataFrame, key: str, group: str, value: str, trusted: str) -> DataFrame:
-    """key, values, groups, conflict, trusted, verified: more than one value from more than one group conflicts."""
-    got = df.groupBy(key).agg(F.count_distinct(value).alias("values"), F.count_distinct(group).alias("groups"), F.bool_or(F.col(trusted)).alias("trusted"))
+    """key, values, groups, conflict, trusted, verified: more than one value from more than one group conflicts. Repeats go before anything is counted twice."""
+    once = df.groupBy(key, group, value).agg(F.bool_or(F.col(trusted)).alias("_t"))
+    got = once.groupBy(key).agg(F.count_distinct(value).alias("values"), F.count_distinct(group).alias("groups"), F.bool_or("_t").alias("trusted"))
     conflict = (F.col("values") > 1) & (F.col("groups") > 1)
     return got.withColumn("conflict", conflict).withColumn("verified", ~conflict & (F.col("trusted") | (F.col("groups") >= 2)))
 
