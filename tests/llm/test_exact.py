@@ -239,6 +239,19 @@ def test_secrets(spark):
     assert secrets.findings(df.limit(0), forest).count() == 0
 
 
+def test_secrets_of_the_documents(spark):
+    """Candidates of the table, labelled by where they stand: values of token = "..." are secrets, mail hosts, card numbers and the like are not."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    forest = secrets.train(spark)
+    found = secrets.scan(docs, forest).select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.secret", "f.score").distinct()
+    shown = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r'(?i)token = "([0-9a-f]{40})"'), F.lit(1))).alias("secret")).distinct().withColumn("y", F.lit(1))
+    rows = found.join(shown, ["doc_id", "secret"], "full_outer").collect()
+    accepted, labelled = [r for r in rows if (r.score or 0) >= 0.5], [r for r in rows if r.y]
+    right = [r for r in accepted if r.y]
+    assert len(labelled) > 100 and len(rows) > 3 * len(labelled)
+    assert len(right) / len(labelled) > 0.99 and len(right) / len(accepted) > 0.99
+
+
 def test_secret_candidates(spark):
     made = [(i, b + c + a, c) for i, (b, c, a, y) in enumerate(secrets.labelled_findings(seed=78, each=60)) if y]
     df = spark.createDataFrame(made, "doc_id long, text string, c string")
