@@ -248,8 +248,11 @@ def path_score(brand_needed: Column, name_needed: Column, branch: Column, path_w
     return F.when(~F.coalesce(branch.isin(OWNER_BRANCHES), F.lit(False)) & (F.size(F.array_except(brand_needed, path_words)) > 0), 0.0).when(F.size(name_needed) == 0, 0.5).otherwise(hits)
 
 
-def _meeting(rows: DataFrame, records: DataFrame, row: str, record: str, need: str, have: str, least: float) -> DataFrame:
-    """Distinct (row, record) that share one of the row's rarest words: every record with ``least`` of them does, as it lacks too few to miss all of these."""
+def _meeting(rows: DataFrame, records: DataFrame, row: str, record: str, need: str, have: str, least: float, row_facts: list[str] | None = None, record_facts: list[str] | None = None, also: Column | None = None) -> DataFrame:
+    """Distinct (row, record) that share one of the row's rarest words: every record with ``least`` of them does, as it lacks too few to miss all of these.
+
+    ``also``: a condition on facts of both sides that drops pairs as soon as they meet.
+    """
     frequency = records.select(F.explode(have).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))
     words = rows.select(row, F.size(need).alias("_n"), F.explode(need).alias("_w")).join(frequency, "_w")
     ranked = rows.select(row, F.size(need).alias("_n")).join(words.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("_df", "_w"))).alias("_all")), row)
@@ -257,7 +260,10 @@ def _meeting(rows: DataFrame, records: DataFrame, row: str, record: str, need: s
     unknown = F.col("_n") - F.size("_all")
     room = F.col("_n") - F.ceil(F.lit(least) * F.col("_n") - 1e-9) + 1 - unknown
     rare = ranked.where(room > 0).select(row, F.explode(F.slice("_all", 1, room.cast("int"))).alias("_x")).select(row, F.col("_x._w").alias("_w"))
-    return rare.join(records.select(record, F.explode(have).alias("_w")), "_w").select(row, record).distinct()
+    if row_facts:
+        rare = rare.join(rows.select(row, *row_facts), row)
+    met = rare.join(records.select(record, *(record_facts or []), F.explode(have).alias("_w")), "_w")
+    return (met.where(also) if also is not None else met).select(row, record).distinct()
 
 
 def detail_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, k: int = 3, owner_least: float = 0.6, other_least: float = 0.9) -> DataFrame:
@@ -268,7 +274,10 @@ def detail_candidates(rows: DataFrame, records: DataFrame, row: str, record: str
     """
     a = rows.select(row, brand_words(F.col("b")).alias("_b"), name_words(F.col("b"), F.col("n")).alias("_n"))
     b = records.where(is_likely_product(F.col("url"))).select(record, "url", "branch", F.coalesce("source_owner", F.col(record).cast("string")).alias("owner"), F.array_distinct(path_tokens(F.col("url"))).alias("_p"))
-    pairs = _meeting(a, b, row, record, "_n", "_p", min(owner_least, other_least)).join(a, row).join(b, record)
+    owned = F.coalesce(F.col("branch").isin(OWNER_BRANCHES), F.lit(False))
+    # pages of others need all brand words, which thins the pairs as they are made
+    shown = F.size(F.array_except("_b", "_p")) == 0
+    pairs = _meeting(a, b.where(owned), row, record, "_n", "_p", owner_least).unionAll(_meeting(a, b.where(~owned), row, record, "_n", "_p", other_least, ["_b"], ["_p"], shown)).join(a, row).join(b, record)
     scored = pairs.withColumn("score", path_score(F.col("_b"), F.col("_n"), F.col("branch"), F.col("_p")))
     scored = scored.where(F.col("score") >= F.when(F.coalesce(F.col("branch").isin(OWNER_BRANCHES), F.lit(False)), owner_least).otherwise(other_least))
     return _best_owners(scored, row, record, k)

@@ -85,22 +85,37 @@ def rolled_status(ok: Column) -> Column:
 def top_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, words: str, owner: str, least: float, k: int = 3, other: bool = False) -> DataFrame:
     """row, record, owner, score: the best record of each of the k best owners, ties to the smaller record. ``other``: a record of the row's own number does not count.
 
-    Both sides carry distinct word arrays. A record that has ``least`` of a row's words lacks at most need - ceil(least * need) of them, so it has one of the
-    row's rarest need - ceil(least * need) + 1 words: only these are joined, and a word that all rows share only where a row has no rarer ones.
-    The score is counted on the arrays of a pair that met, once a pair.
+    Both sides carry distinct word arrays; rows and records with equal words are one set until the end. A set that has ``least`` of a row's words lacks at most need - ceil(least * need) of
+    them, so it has one of the row's rarest need - ceil(least * need) + 1 words: only these are joined. The score is counted on the arrays of two sets that met, once.
     """
-    frequency = records.select(F.explode(words).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))
-    need = F.size(words)
-    rare = rows.select(row, need.alias("_need"), F.explode(words).alias("_w")).join(frequency, "_w", "left").groupBy(row, "_need").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("d"), F.col("_w").alias("w")))).alias("_all"))
-    rare = rare.select(row, "_need", F.explode(F.slice("_all", 1, (F.col("_need") - F.ceil(F.lit(least) * F.col("_need") - 1e-9) + 1).cast("int"))).alias("_x")).select(row, F.col("_x.w").alias("_w"))
-    pairs = rare.join(records.select(F.col(record).alias("_record"), F.explode(words).alias("_w")), "_w")
-    pairs = (pairs.where(F.col(row) != F.col("_record")) if other else pairs).select(row, "_record").distinct()
-    full = pairs.join(rows.select(row, F.col(words).alias("_need")), row).join(records.select(F.col(record).alias("_record"), F.col(owner).alias("_owner"), F.col(words).alias("_have")), "_record")
-    score = F.size(F.array_intersect("_need", "_have")) / F.size("_need")
-    scored = full.select(row, F.col("_record").alias(record), F.col("_owner").alias(owner), score.alias("score")).where(F.col("score") >= least)
-    best = scored.groupBy(row, owner).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(record).alias("r"))).alias("_b"))
+    name = lambda c: F.sha2(F.array_join(F.array_sort(c), " "), 256)
+    a = rows.select(F.col(row), name(F.col(words)).alias("_a"), F.col(words).alias("_need"))
+    b = records.select(F.col(record).alias("_r"), F.col(owner).alias("_owner"), name(F.col(words)).alias("_s"), F.col(words).alias("_have"))
+    needs, haves = a.groupBy("_a").agg(F.any_value("_need").alias("_need")).where(F.size("_need") > 0), b.groupBy("_s").agg(F.any_value("_have").alias("_have"))
+    scored = set_scores(needs, haves, least)
+    first = b.groupBy("_s", "_owner").agg(F.min("_r").alias("_r1"))
+    if other:
+        second = b.join(first, ["_s", "_owner"]).where("_r <> _r1").groupBy("_s", "_owner").agg(F.min("_r").alias("_r2"))
+        first = first.join(second, ["_s", "_owner"], "left").select("_s", "_owner", F.explode(F.array_compact(F.array("_r1", "_r2"))).alias("_r1"))
+    entry = F.struct((-F.col("score")).alias("s"), F.col("_r1").alias("r"))
+    owned = scored.join(first, "_s").select("_a", "_owner", entry.alias("_e"))
+    place = F.row_number().over(Window.partitionBy("_a", "_owner").orderBy("_e"))
+    owned = owned.withColumn("_n", place).where(F.col("_n") <= (2 if other else 1))
+    mine = a.select(row, "_a").join(owned, "_a")
+    mine = mine.where(F.col(row) != F.col("_e.r")) if other else mine
+    best = mine.groupBy(row, "_owner").agg(F.min("_e").alias("_b"))
     rank = F.row_number().over(Window.partitionBy(row).orderBy("_b"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select(row, F.col("_b.r").alias(record), owner, (-F.col("_b.s")).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select(row, F.col("_b.r").alias(record), F.col("_owner").alias(owner), (-F.col("_b.s")).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+def set_scores(needs: DataFrame, haves: DataFrame, least: float) -> DataFrame:
+    """_a, _s, score: the share of the words of each ``needs`` (_a, _need) that a ``haves`` (_s, _have) has, where it reaches ``least``."""
+    frequency = haves.select(F.explode("_have").alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))
+    ranked = needs.select("_a", F.size("_need").alias("_n"), F.explode("_need").alias("_w")).join(frequency, "_w", "left").groupBy("_a", "_n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("d"), F.col("_w").alias("w")))).alias("_all"))
+    rare = ranked.select("_a", F.explode(F.slice("_all", 1, (F.col("_n") - F.ceil(F.lit(least) * F.col("_n") - 1e-9) + 1).cast("int"))).alias("_x")).select("_a", F.col("_x.w").alias("_w"))
+    pairs = rare.join(haves.select("_s", F.explode("_have").alias("_w")), "_w").select("_a", "_s").distinct()
+    score = F.size(F.array_intersect("_need", "_have")) / F.size("_need")
+    return pairs.join(needs, "_a").join(haves, "_s").select("_a", "_s", score.alias("score")).where(F.col("score") >= least)
 
 
 def overlap(needed: Column, have: Column) -> Column:
