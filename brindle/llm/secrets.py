@@ -242,8 +242,9 @@ def findings(df: DataFrame, forest: Forest, key: str = "doc_id", text: str = "te
 
     Repeated rows give their findings again. Only candidates, a small table, are shuffled for the positions.
     """
-    base = scan(df.select(key, text), forest, text, "_findings").where(F.size("_findings") > 0)
-    # numbered before the arrays are taken apart, in a step of its own: an id beside posexplode would number candidates
+    base = scan(df.select(key, text), forest, text, "_findings")
+    # numbered before the arrays are taken apart, in a step of its own: an id beside posexplode would number candidates; a filter
+    # on the findings would be pushed below them and scan every text twice, which the numbering prevents too
     rows = base.withColumn("_row", F.monotonically_increasing_id()).select("_row", F.col(key), F.posexplode("_findings").alias("_pos", "_f"))
     upto = Window.partitionBy("_row").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.length("_f.secret")
