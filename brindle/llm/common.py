@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import json
+import time
 import uuid
 import weakref
 
@@ -64,8 +65,10 @@ def discard(*tables: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Have the driver notice that finished shuffles are no longer referenced, so that executors delete their files before the next large one."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first lets go of the plans that Python held, the second of their shuffles
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def fold(column: str, modulus: int) -> Column:
