@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, fingerprint, html, jaccard, language, packing, secrets, sharding, topk, toxicity
+from brindle.llm import bpe, centroids, fingerprint, html, jaccard, language, packing, secrets, sharding, topk, toxicity
 from brindle.llm.common import fold, table
 
 
@@ -80,6 +80,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kept vector's cluster after ten rounds of eight centroids. Other vectors give no row; repeated rows give a row each."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("n_exact")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -91,9 +96,32 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_topk": op9_topk,
     "op10_jaccard": op10_jaccard,
+    "op12_centroids": op12_centroids,
     "edited_texts": edited_texts,
 }
+
+
+def _rounds_sql(rounds: int = 10, k: int = 8) -> str:
+    """Plain k-means in SQL: a pair of tables a round. Sums and products of these integers are exact in doubles."""
+    nearest = "SELECT rid, k FROM (SELECT rid, k, row_number() OVER (PARTITION BY rid ORDER BY s - 2 * list_inner_product(q, c) + list_inner_product(c, c), k) AS place FROM v CROSS JOIN {c}) WHERE place = 1"
+    parts = [
+        """v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, q, list_inner_product(q, q) AS s FROM (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0))""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), q) - 1 AS k, q AS c FROM v ORDER BY sha256('3:' || vec_id), q LIMIT {k})",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({nearest.format(c=f'c{r}')})")
+        parts.append(
+            f"""m{r} AS MATERIALIZED (SELECT k, list(floor(s / n) ORDER BY i) AS c FROM (SELECT k, i, sum(x::HUGEINT)::DOUBLE AS s, count(*) AS n FROM (SELECT a.k, unnest(v.q) AS x, unnest(range(64)) AS i FROM a{r} a JOIN v USING (rid)) GROUP BY k, i) GROUP BY k),
+        c{r + 1} AS MATERIALIZED (SELECT o.k, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m USING (k))"""
+        )
+    parts.append(f"z AS MATERIALIZED ({nearest.format(c=f'c{rounds}')})")
+    parts.append(f"e AS (SELECT v.vec_id, z.k, (v.s - 2 * list_inner_product(v.q, c.c) + list_inner_product(c.c, c.c))::BIGINT AS distance, sha256(array_to_string(list_transform(c.c, lambda x: x::BIGINT), ',')) AS h FROM z JOIN v USING (rid) JOIN c{rounds} c ON c.k = z.k)")
+    return "WITH " + ",\n".join(parts) + " SELECT vec_id, k::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia, h AS centroid_sha256 FROM e"
+
+
 ORACLES: dict[str, str] = {
+    "op12_centroids": _rounds_sql(),
     "edited_texts": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
         e AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS following FROM d)
