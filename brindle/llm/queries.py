@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, centroids, fingerprint, html, jaccard, language, packing, secrets, sharding, topk, toxicity
+from brindle.llm import bpe, centroids, fingerprint, html, jaccard, language, packing, secrets, sharding, topk, toxicity, trie
 from brindle.llm.common import fold, table
 
 
@@ -80,6 +80,13 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations. Rows without conv_id take no part; an empty table has no nodes."""
+    made = trie.build(table(spark, sf_dir, "conversations"))
+    ends = trie.ids_sha256(made.members)
+    return made.nodes.drop("turn", "ordinal").join(ends, ["conv_id", "depth"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kept vector's cluster after ten rounds of eight centroids. Other vectors give no row; repeated rows give a row each."""
     return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("n_exact")
@@ -96,6 +103,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_topk": op9_topk,
     "op10_jaccard": op10_jaccard,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_centroids": op12_centroids,
     "edited_texts": edited_texts,
 }
@@ -121,6 +129,21 @@ def _rounds_sql(rounds: int = 10, k: int = 8) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": """
+        WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT c, list({'r': r, 'x': x} ORDER BY n) AS o FROM t GROUP BY c),
+        hashes AS (SELECT c, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(c::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+            lambda y, b: xor(xor(y, b) >> 1, 3988292384 * (xor(y, b) & 1))), 4294967295) % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+        h AS (SELECT o.c, o.o, CASE WHEN o.c % 5 = 0 THEN 0 ELSE h.h END AS h, coalesce(b.o, []) AS b FROM o JOIN hashes h USING (c) LEFT JOIN o b ON b.c = o.c - o.c % 5),
+        s AS (SELECT c, list_concat(b[1:h], o[h + 1:]) AS s FROM h),
+        p AS (SELECT c, len(s) AS length, unnest(range(0, len(s) + 1)) AS d, s FROM s),
+        q AS (SELECT c, d, length, md5(s[1:d]::VARCHAR) AS k, CASE WHEN d > 0 THEN md5(s[1:d - 1]::VARCHAR) END AS up, CASE WHEN d > 0 THEN strlen(s[d].x) ELSE 0 END AS size FROM p),
+        v AS (SELECT d, k, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size, coalesce(string_agg(CASE WHEN length = d THEN c END, ',' ORDER BY c), '') AS ends FROM q GROUP BY d, k),
+        n AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM v WHERE d > 0 GROUP BY 1, 2),
+        w AS (SELECT v.*, coalesce(n.n_children, 0) AS n_children, u.conv_id AS parent_conv_id FROM v LEFT JOIN n USING (d, k) LEFT JOIN v u ON u.d = v.d - 1 AND u.k = v.up),
+        a AS (SELECT q.d, q.k, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.size) AS saved
+            FROM w u JOIN q ON q.c = u.conv_id AND q.d <= u.d GROUP BY 1, 2)
+        SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256 FROM w JOIN a USING (d, k)""",
     "op12_centroids": _rounds_sql(),
     "edited_texts": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),

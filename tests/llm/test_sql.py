@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df, rel = queries.QUERIES[name](spark, SF), con.sql(queries.ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
