@@ -55,7 +55,7 @@ def quantised(vectors: DataFrame, key: str, column: str, dims: int, scale: int,
 
 def compressed(x: np.ndarray, segments: int) -> np.ndarray:
     """Means (times the root of a segment's length) and norms of the remainders, of each row's segments."""
-    parts = x.astype(np.float64).reshape(len(x), segments, -1)
+    parts = x.astype(np.float64).reshape(len(x), segments, x.shape[1] // segments)
     means = parts.mean(2)
     rest = np.sqrt(((parts - means[..., None]) ** 2).sum(2))
     return np.concatenate([means * np.sqrt(parts.shape[2]), rest], 1)
