@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, centroids, fingerprint, html, jaccard, language, packing, secrets, sharding, topk, toxicity, trie
+from brindle.llm import bpe, centroids, fingerprint, html, jaccard, language, packing, pii, secrets, sharding, topk, toxicity, trie
 from brindle.llm.common import fold, table
 
 
@@ -92,6 +92,11 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("n_exact")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the terms that give it away. Null texts have none; repeated rows give a row each."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -105,6 +110,7 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_centroids": op12_centroids,
+    "op13_pii": op13_pii,
     "edited_texts": edited_texts,
 }
 
