@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -11,7 +13,7 @@ pytest.importorskip("brindle.llm")
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.llm import centroids, queries, trie
+from brindle.llm import centroids, pii, queries, trie
 
 # --- 11: conversation prefix trie
 
@@ -167,3 +169,88 @@ def test_screening(spark):
 def test_repeated_runs_agree(spark):
     one, two = (sorted(map(tuple, queries.op12_centroids(spark, "/root/testdata/sf0.001").collect())) for _ in range(2))
     assert one == two
+
+
+# --- 13: personal data
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    def holds(kind, m):
+        d = re.sub("[^0-9]", "", m)
+        if kind == "card":
+            total = sum((int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) if i % 2 else int(c) for i, c in enumerate(reversed(d)))
+            return 12 <= len(d) <= 19 and total % 10 == 0
+        return {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m.split(".")), "phone": 9 <= len(d) <= 15}[kind]
+
+    found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, p) in enumerate(PLAIN.items()) for m in re.finditer(p, text or "") if holds(k, m[0])]
+    return ",".join(s for _, _, s in sorted(found))
+
+
+def test_pii_fuzz(spark):
+    r = random.Random(6)
+    bits = ["a", "b.c", "@", "x@y.z", ".", "-", " ", "  ", "+", "_", "%", "1", "255", "256", "0", "1.2.3.4", "010.9.8.7.6", "4111111111111111", "4111 1111-1111 1111", "+1 (386) 555-3733", "(", ")", "😀", "é", "\n", "", "79927398713"]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(0, 14)))) for i in range(3000)]
+    rows += [(3000, None), (3000, None), (3001, ""), (None, "x@y.z"), (5, "x@y.z 1.2.3.4"), (5, "x@y.z 1.2.3.4")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumn("hash", F.lit("clash")).withColumn("spans", F.lit(1))
+    got = sorted(((r["doc_id"], r["base_sha256"], r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"]) for r in pii.digest(pii.find(df, least=2.0)).collect()), key=str)
+    want = [(i, plain_spans(t)) for i, t in rows]
+    assert got == sorted(((i, hashlib.sha256(s.encode()).hexdigest(), len(s.split(",")) if s else 0) for i, s in want), key=str)
+    assert pii.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("unit", ["a", "a.", "1", "1.", "1 ", "1-", "+1", "+1(", "a@", "a@b.", "@a.", "", "x "])
+def test_pii_hostile(spark, unit):
+    """A megabyte of anything is read in seconds and overflows no stack."""
+    text = unit * (1_000_000 // len(unit))
+    began = time.time()
+    df = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(unit), 1_000_000 // len(unit)).alias("text"))
+    (row,) = pii.base_spans(df).select(F.size("spans").alias("n")).collect()
+    assert time.time() - began < 20 and row["n"] == (plain_spans(text).count(",") + 1 if plain_spans(text) else 0)
+
+
+def told_documents():
+    """Someone's name stands beside their address in different contexts, and once alone; a copied text repeats its words often."""
+    r = random.Random(1)
+    words = [f"w{c}{d}" for c in "abcdefghij" for d in "klmnopqrst"]
+    some = lambda n: " ".join(r.choice(words) for _ in range(n))
+    rows = [(i, f"{some(30)} Quillfeather {some(2)} quill@mail.example {some(30)} 778899 {some(3)}") for i in range(4)]
+    rows += [(10, f"{some(20)} quill@mail.example {some(20)} QUILLFEATHER said, and quillfeathers did not."), (11, f"{some(5)} Quillfeather alone")]
+    copied = f"{some(10)} Brackwater {some(1)} brack@mail.example {some(10)}"
+    return rows + [(100 + i, copied) for i in range(30)] + [(200 + i, some(40)) for i in range(200)]
+
+
+def test_disclosing_terms(spark):
+    df = spark.createDataFrame(told_documents(), "doc_id long, text string").repartition(3)
+    base = pii.base_spans(df)
+    told = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(pii.written(base, "base"), df, least=0.0).collect()}
+    # 5 documents have the name, 4 of them beside the address of 5: log(4 * n / (5 * 6)) of log(n / 5)
+    n = len(told_documents())
+    name = told["email:quill@mail.example", "quillfeather"]
+    assert abs(name - np.log(4 * n / (5 * 6)) / np.log(n / 5)) < 1e-9
+    assert not any(e == "email:brack@mail.example" for e, _ in told)
+    found = {r["doc_id"]: r["spans"] for r in pii.digest(pii.find(df, least=0.85)).collect()}
+    texts = dict(told_documents())
+    terms = {d: [texts[d][int(s.split(":")[1]) : int(s.split(":")[2])] for s in v.split(",") if s.startswith("term")] for d, v in found.items()}
+    assert terms[0] == ["Quillfeather"] and terms[11] == [] and terms[100] == [] and all(not v for d, v in terms.items() if d >= 200)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df, least=0.85).collect()}
+    assert "Quillfeather [" not in clean[0] and "[...]" in clean[0] and "[EMAIL]" in clean[0] and "quill@" not in clean[0]
+    assert clean[11] == texts[11] and clean[200] == texts[200] and "brack@" not in clean[100] and "Brackwater" in clean[100]
+    assert clean[0].replace("[...]", "Quillfeather").replace("[EMAIL]", "quill@mail.example") == texts[0]
+
+
+def test_sanitise_overlaps(spark):
+    rows = [(1, "é😀 4111 1111 1111 1111x@y.z!", "keep"), (1, "call +1 (386) 555-3733.", "k"), (2, None, "n"), (3, "", "e"), (3, "", "e")]
+    got = sorted(((r["doc_id"], r["text"], r["hash"]) for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string, hash string")).collect()), key=str)
+    assert got == sorted([(1, "é😀 [CARD]!", "keep"), (1, "call [PHONE].", "k"), (2, None, "n"), (3, "", "e"), (3, "", "e")], key=str)
+
+
+def test_pii_native(spark):
+    plan = pii.digest(pii.find(spark.createDataFrame(told_documents(), "doc_id long, text string")))._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
