@@ -27,7 +27,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_PART = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _RUN = r"[\p{L}\p{N}]"
 #: Two private characters around each match while a text is taken apart.
 _MARK = ""
