@@ -16,13 +16,15 @@ import bisect
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.common import CELL, GUARD, extended, in_order
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"</?([A-Za-z][^\s/><]*)")
+_PLAIN = re.compile(r"[^<>\"']*")
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 #: Whole class names ('_' read as '-') and roles of boilerplate; ids leave out words that may name a section of a text.
@@ -30,22 +32,30 @@ _CLASSES = frozenset(
     "ad ads ad-box ad-slot ad-unit ad-container ad-wrapper ad-banner advert adverts advertisement advertisements advertising adsense adsbygoogle banner banner-ad sponsor sponsors sponsored sponsored-content sponsored-links promo promos "
     "cookie cookies cookie-bar cookie-banner cookie-notice cookie-consent cookie-popup consent consent-banner gdpr sidebar side-bar sidebar-left sidebar-right left-sidebar right-sidebar menu main-menu nav navbar nav-bar nav-menu main-nav site-nav navigation breadcrumb breadcrumbs "
     "footer site-footer page-footer comment comments comment-list comment-section comment-form comments-area comments-list comments-section disqus disqus-thread replies respond share share-bar share-buttons share-links sharing social social-buttons social-icons social-links social-media social-share "
-    "related related-articles related-content related-links related-posts related-stories recommended recommendations newsletter newsletter-signup subscribe signup popup modal overlay widget pagination pager toolbar tag-cloud search-box search-form searchbox".split()
+    "related related-articles related-content related-links related-posts related-stories recommended recommendations newsletter newsletter-signup subscribe signup popup modal overlay widget pagination pager toolbar tag-cloud search-box search-form searchbox "
+    "notice notices notification notifications alert alerts alert-box info-box disclaimer commentlist comment-respond paywall login-form contact-form".split()
 )
-_IDS = _CLASSES - frozenset("ad ads advertising advertisement advert adverts banner sponsor sponsors promo cookie cookies consent gdpr menu navigation comment share sharing social related recommended recommendations newsletter subscribe signup popup modal overlay widget pagination pager toolbar replies respond".split())
-_ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar dialog alertdialog".split())
-_COMMENTS = frozenset("comment comments comment-list comment-section comments-area comments-list comments-section disqus disqus-thread replies".split())
+_IDS = _CLASSES - frozenset("ad ads advertising advertisement advert adverts banner sponsor sponsors promo cookie cookies consent gdpr menu navigation comment share sharing social related recommended recommendations newsletter subscribe signup popup modal overlay widget pagination pager toolbar replies respond notice notices notification notifications alert alerts disclaimer".split())
+_ROLES = frozenset("navigation banner complementary contentinfo search form menu menubar toolbar dialog alert alertdialog status".split())
+_COMMENTS = frozenset("comment comments comment-list comment-section comments-area comments-list comments-section commentlist comment-respond disqus disqus-thread replies".split())
+#: What a class name need only have between its hyphens, and classes that make even inline elements adverts.
+_COMMENT_PARTS = frozenset("comments commentlist disqus".split())
+_PARTS = frozenset("advert adverts advertisement advertisements adsbygoogle adsense breadcrumb breadcrumbs navbar sidebar".split())
+_ADVERTS = frozenset("ad ads advert adverts advertisement advertisements adsbygoogle adsense sponsored".split())
 _TOP = frozenset("header site-header masthead topbar top-bar".split())
-_BOX = frozenset("div section ul ol dl table".split())
 _SPACE = re.compile(r"\s+")
 
-_SKIP = frozenset("script style noscript template head nav footer aside form button select textarea iframe svg canvas dialog menu object audio video map datalist".split())
+_SKIP = frozenset("script style noscript template head nav footer aside form label fieldset legend optgroup option button select textarea iframe svg canvas dialog menu object audio video map datalist".split())
 _RAW = frozenset(("script", "style", "textarea", "title", "iframe", "noscript"))
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 _MAIN = frozenset(("article", "main"))
+#: Elements that no class name makes boilerplate.
+_WHOLE = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
+_INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark picture q s samp small span strike strong sub sup time tt u var".split())
+_KNOWN = _SKIP | _RAW | _VOID | _BLOCK | _MAIN | _INLINE
 
 
 _NONE = (False, frozenset(), frozenset(), "")
@@ -70,28 +80,63 @@ def _marks(attributes: str) -> tuple[bool, frozenset, frozenset, str]:
 _END = {name: re.compile(f"</{name}\\s*>", re.I) for name in _RAW}
 
 
+def _tag_end(page: str, at: int) -> tuple[int, bool]:
+    """Where the attributes of a tag end that begin at ``at``, and whether by '>'. A '<' outside quotes breaks a tag off.
+
+    Three states (outside, in either quotes) that each quote permutes: of the tags that begin at different '<' at most three are under way at any place, so a page is read in time
+    that grows with its length, whatever is left open.
+    """
+    while True:
+        at = _PLAIN.match(page, at).end()
+        if at == len(page):
+            return -1, False
+        if page[at] in "<>":
+            return at, page[at] == ">"
+        at = page.find(page[at], at + 1) + 1
+        if not at:
+            return -1, False
+
+
 def _tags(page: str) -> tuple[list[tuple], dict[int, int]]:
-    """All tags as (start, end, name, closing, attributes), comments with an empty name and raw elements as one tag, and the place of the tag that closes each opened one."""
+    """All tags as (start, end, name, closing, attributes), comments with an empty name and raw elements as one tag, and the place of the tag that closes each opened one.
+
+    A known element whose tag another '<' breaks off ends there; anything else that looks like a tag but has no end is text. An open comment goes to the end of the page.
+    """
     tags: list[tuple] = []
     opened: dict[str, list[int]] = {}
     closed: dict[int, int] = {}
-    at = 0
-    while (m := _TAG.search(page, at)) is not None:
-        start, at = m.span()
-        if m[2] is None:
+    last = page.rfind(">")
+    at = page.find("<")
+    while at >= 0:
+        start = at
+        mark = next((m for m in (("<!--", "-->"), ("<![CDATA[", "]]>")) if page.startswith(m[0], start)), None)
+        if mark:
+            end = page.find(mark[1], start + len(mark[0]))
+            at = len(page) if end < 0 else end + len(mark[1])
             tags.append((start, at, "", False, ""))
-            continue
-        name, closing, attributes = m[2].lower(), m[1] == "/", m[3]
-        alone = attributes.endswith("/")
-        if closing:
-            if own := opened.get(name):
-                closed[own.pop()] = len(tags)
-        elif name in _RAW and not alone:
-            end = _END[name].search(page, at)
-            at, name = (end.end() if end else len(page)), ""
-        elif name not in _VOID and not alone:
-            opened.setdefault(name, []).append(len(tags))
-        tags.append((start, at, name, closing, attributes))
+        elif start < last and page[start + 1] in "!?":
+            at = page.find(">", start) + 1
+            tags.append((start, at, "", False, ""))
+        elif (m := _NAME.match(page, start)) is not None:
+            end, whole = _tag_end(page, m.end())
+            name, closing, attributes = m[1].lower(), page[start + 1] == "/", page[m.end() : end]
+            if end < 0 or not whole and name not in _KNOWN:
+                at = page.find("<", start + 1)
+                continue
+            at = end + whole
+            alone = attributes.endswith("/")
+            if closing:
+                if own := opened.get(name):
+                    closed[own.pop()] = len(tags)
+            elif name in _RAW and not alone:
+                end = _END[name].search(page, at)
+                at, name = (end.end() if end else len(page)), ""
+            elif name not in _VOID and not alone:
+                opened.setdefault(name, []).append(len(tags))
+            tags.append((start, at, name, closing, attributes))
+        else:
+            at = start + 1
+        at = page.find("<", at)
     return tags, closed
 
 
@@ -99,10 +144,13 @@ def _skipped(name: str, attributes: str, depth_main: int) -> tuple[bool, bool]:
     """Whether an element is never main text, and whether it is surely so even if it holds the page's only article."""
     hidden, classes, ids, role = _marks(attributes) if attributes else _NONE
     names = classes | ids
-    if name in _BOX or name == "article":
-        if names & _COMMENTS:
+    if name in _INLINE:
+        return hidden or bool(names & _ADVERTS), False
+    if name not in _WHOLE and (names or role):
+        parts = {p for n in classes for p in n.split("-")}
+        if names & _COMMENTS or parts & _COMMENT_PARTS:
             return True, True
-        if classes & _CLASSES or ids & _IDS or role in _ROLES or not depth_main and names & _TOP:
+        if classes & _CLASSES or ids & _IDS or role in _ROLES or name != "article" and parts & _PARTS or not depth_main and names & _TOP:
             return True, False
     return name in _SKIP or name == "header" and not depth_main or hidden, False
 
@@ -148,11 +196,18 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         if skip:
             own, to = k - 1, closed.get(k - 1)
             later = bisect.bisect_right(mains, own)
-            holds = to is not None and name != "article" and not surely and later < len(mains) and mains[later] < to
-            if to is None or holds and not depth_main and not any(m < own or m > to for m in mains):
+            holds = to is not None and not surely and later < len(mains) and mains[later] < to
+            others = bool(mains) and (mains[0] < own or to is not None and mains[-1] > to)
+            if name == "article" and not surely and to is not None and not depth_main and not others:
+                # the page's only article, whatever it is called
+                depth_main += 1
+                around.append(to)
+                continue
+            if to is None or holds and name != "article" and not depth_main and not others:
                 # never closed, or the page has no other article
                 last = around[-1] if around else None
-                to = last if last is not None else mains[later] if later < len(mains) and name != "article" and not surely else next((j for j in bodies if j > own), len(tags))
+                j = bisect.bisect_right(bodies, own)
+                to = last if last is not None else mains[later] if later < len(mains) and name != "article" and not surely else bodies[j] if j < len(bodies) else len(tags)
                 k = to
                 at = tags[k][0] if k < len(tags) else len(page)
             else:
@@ -167,29 +222,67 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
     return out
 
 
-def common_lines(a: list[str], b: list[str]) -> list[bool]:
-    """For each line of ``a`` whether a longest common subsequence with ``b`` has it (bit-parallel rows, then a walk back)."""
-    place: dict[str, int] = {}
-    for j, line in enumerate(b):
-        place[line] = place.get(line, 0) | 1 << j
-    full = (1 << len(b)) - 1
-    row, rows = full, []
+def _row(a: list[str], place: dict[str, int], full: int) -> int:
+    """The last row of the alignment of ``a``: a zero bit for each line of the other side that lengthens the common subsequence."""
+    row = full
     for line in a:
-        rows.append(row)
         u = row & place.get(line, 0)
         row = (row + u | row - u) & full
-    rows.append(row)
+    return row
+
+
+def _places(b: list[str]) -> dict[str, int]:
+    place: dict[str, int] = {}
+    for j, line in enumerate(b):
+        place[line] = place.get(line, 0) | 1 << j
+    return place
+
+
+def _lengths(row: int, n: int) -> np.ndarray:
+    """Length of the common subsequence with the first 0, 1, .. n lines."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes((n + 7) // 8, "little"), np.uint8), count=n, bitorder="little")
+    return np.r_[0, np.cumsum(1 - bits.astype(np.int64))]
+
+
+def common_lines(a: list[str], b: list[str], most: int = 1 << 24) -> list[bool]:
+    """For each line of ``a`` whether a longest common subsequence with ``b`` has it.
+
+    Bit-parallel rows and a walk back over them; beyond ``most`` cells ``a`` is halved where the two halves' lengths add up to most, so that memory stays bounded for pages of any length.
+    """
+    known = set(b)
+    rest = [i for i, line in enumerate(a) if line in known]
     shared = [False] * len(a)
-    i, j = len(a), len(b)
-    while i and j:
-        bit = 1 << j - 1
-        if rows[i] & bit:
-            j -= 1
-        elif not rows[i - 1] & bit:
-            i -= 1
-        else:
-            shared[i - 1] = True
-            i, j = i - 1, j - 1
+
+    def walk(i: int, j: int, k: int, m: int) -> None:
+        """Mark the lines rest[i:j] of ``a`` that are common with b[k:m]."""
+        if i == j or k == m:
+            return
+        if (j - i) * (m - k) > most and j - i > 1:
+            mid, n = (i + j) // 2, m - k
+            first = _lengths(_row([a[r] for r in rest[i:mid]], _places(b[k:m]), (1 << n) - 1), n)
+            second = _lengths(_row([a[r] for r in reversed(rest[mid:j])], _places(b[k:m][::-1]), (1 << n) - 1), n)
+            at = k + int((first + second[::-1]).argmax())
+            walk(i, mid, k, at)
+            walk(mid, j, at, m)
+            return
+        place, full = _places(b[k:m]), (1 << m - k) - 1
+        row, rows = full, [full]
+        for r in rest[i:j]:
+            u = row & place.get(a[r], 0)
+            row = (row + u | row - u) & full
+            rows.append(row)
+        x, y = j - i, m - k
+        while x and y:
+            bit = 1 << y - 1
+            if rows[x] & bit:
+                y -= 1
+            elif not rows[x - 1] & bit:
+                x -= 1
+            else:
+                shared[rest[i + x - 1]] = True
+                x, y = x - 1, y - 1
+
+    walk(0, len(rest), 0, len(b))
     return shared
 
 

@@ -21,7 +21,8 @@ NAMES = "token|secret|passw|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?ke
 #: Forms of candidates. Private key blocks, values after a hot name (after a blank alone only with a digit or mixed case), known forms,
 #: runs of 16 or more key characters with a digit ('=' only as padding, so that a name and its value are two), and quoted values that are assigned.
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    # a body ends at the next five dashes, so heads without an end are read once
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
     r"|(?<=[=:> ])(?=[^\s\"'<>,;]{8})"
     # cheap conditions first: looking back for a name costs most and is seldom due
     rf"(?:(?<=[=:]>? ?)(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}}[\"']? ?[=:]{{1,2}}>? ?)|(?<= )(?=\S{{0,200}}[0-9]|\S{{0,200}}[a-z][A-Z])(?<=(?i:{NAMES})[A-Za-z0-9_-]{{0,20}} ))"

@@ -13,7 +13,7 @@ pytest.importorskip("brindle.llm")
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.llm import centroids, pii, queries, trie
+from brindle.llm import centroids, html, pii, queries, secrets, trie
 
 # --- 11: conversation prefix trie
 
@@ -257,3 +257,54 @@ def test_sanitise_overlaps(spark):
 def test_pii_native(spark):
     plan = pii.digest(pii.find(spark.createDataFrame(told_documents(), "doc_id long, text string")))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+# --- 8: malformed pages and named boilerplate; 4: hostile texts
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a '\"", "<a ", "<", "<!", "<!--", "<a>", "<nav><article>", "<p>a", "<b <i <u \"", "<div a='\"' \"", '<article class="related">', "&#"])
+def test_hostile_pages(unit):
+    """A megabyte of anything that never closes is read in seconds."""
+    began = time.time()
+    html.lines_of(unit * (1_000_000 // len(unit)))
+    assert time.time() - began < 6
+
+
+def test_named_boilerplate():
+    inside = ['<div class="notice">X</div>', '<div role="alert">X</div>', '<p class="advert">X</p>', '<ins class="adsbygoogle">X</ins>', '<figure class="ad">X</figure>', '<span class="ad">X</span>']
+    inside += ['<ol class="commentlist"><li class="comment">X</li></ol>', '<div class="user-comments">X</div>', "<label>X</label>", '<section class="comments">X</section>', "<form>X</form>", '<div role="form">X</div>']
+    for box in inside:
+        assert html.lines_of(f"<main><p>Body.</p>{box}<p>More.</p></main>") == [("Body.", True), ("More.", True)], box
+    assert html.lines_of('<article class="related"><p>Body.</p></article>') == [("Body.", True)]
+    assert html.lines_of('<article><p>Body.</p></article><article class="related"><p>X</p></article>') == [("Body.", True)]
+    assert html.lines_of('<article><pre>a <span class="comment"># b</span></pre></article>') == [("a # b", True)]
+    assert html.lines_of("<p <b>hi</b> x <y and z < 3") == [("hi x <y and z < 3", False)]
+
+
+def test_alignment_in_halves():
+    r = random.Random(1)
+    for _ in range(200):
+        a, b = ([r.choice("abcdef") for _ in range(r.randint(0, 30))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        for most in (1 << 24, 20):
+            shared = html.common_lines(a, b, most)
+            rest = iter(b)
+            assert sum(shared) == row[-1] and all(x in rest for x, s in zip(a, shared) if s)
+
+
+def test_secrets_hostile(spark):
+    """Key heads without an end, and other repeats, take seconds for a quarter of a megabyte."""
+    units = ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----\nab-c", "a", "token=", "1", 'key: "aaaa', "----", "password "]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(units)], "doc_id long, unit string").repartition(4)
+    text = F.repeat("unit", F.floor(F.lit(250_000) / F.length("unit")).cast("int"))
+    forest, key = secrets.train(spark), "-----BEGIN RSA PRIVATE KEY-----\n" + "aB3+/x" * 20 + "\n-----END RSA PRIVATE KEY-----"
+    began = time.time()
+    got = {r["doc_id"]: r["n"] for r in secrets.scan(df.select("doc_id", text.alias("text")), forest).select("doc_id", F.size("findings").alias("n")).collect()}
+    assert time.time() - began < 60 and got[0] == got[1] == 0
+    (found,) = secrets.findings(spark.createDataFrame([(1, f"{units[0]} x {key} y")], "doc_id long, text string"), forest).collect()
+    assert found["secret"] == key
