@@ -38,9 +38,10 @@ _CLASSES = frozenset(
 _IDS = _CLASSES - frozenset("ad ads advertising advertisement advert adverts banner sponsor sponsors promo cookie cookies consent gdpr menu navigation comment share sharing social related recommended recommendations newsletter subscribe signup popup modal overlay widget pagination pager toolbar replies respond notice notices notification notifications alert alerts disclaimer".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search form menu menubar toolbar dialog alert alertdialog status".split())
 _COMMENTS = frozenset("comment comments comment-list comment-section comments-area comments-list comments-section commentlist comment-respond disqus disqus-thread replies".split())
-#: What a class name need only have between its hyphens, and classes that make even inline elements adverts.
-_COMMENT_PARTS = frozenset("comments commentlist disqus".split())
-_PARTS = frozenset("advert adverts advertisement advertisements adsbygoogle adsense breadcrumb breadcrumbs navbar sidebar".split())
+#: Last words of hyphenated class names that mark comments or adverts unless the first word tells a state; classes that make even inline elements adverts.
+_COMMENT_PARTS = frozenset("comments commentlist".split())
+_ADVERT_PARTS = frozenset("advert adverts advertisement advertisements".split())
+_STATES = frozenset("no not has have with without is are show hide enable disable can".split())
 _ADVERTS = frozenset("ad ads advert adverts advertisement advertisements adsbygoogle adsense sponsored".split())
 _TOP = frozenset("header site-header masthead topbar top-bar".split())
 _SPACE = re.compile(r"\s+")
@@ -147,10 +148,10 @@ def _skipped(name: str, attributes: str, depth_main: int) -> tuple[bool, bool]:
     if name in _INLINE:
         return hidden or bool(names & _ADVERTS), False
     if name not in _WHOLE and (names or role):
-        parts = {p for n in classes for p in n.split("-")}
+        parts = {p[-1] for n in classes if "-" in n and (p := n.split("-"))[0] not in _STATES}
         if names & _COMMENTS or parts & _COMMENT_PARTS:
             return True, True
-        if classes & _CLASSES or ids & _IDS or role in _ROLES or name != "article" and parts & _PARTS or not depth_main and names & _TOP:
+        if classes & _CLASSES or ids & _IDS or role in _ROLES or name != "article" and parts & _ADVERT_PARTS or not depth_main and names & _TOP:
             return True, False
     return name in _SKIP or name == "header" and not depth_main or hidden, False
 
