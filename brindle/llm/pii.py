@@ -145,7 +145,7 @@ def disclosures(base: DataFrame, df: DataFrame, text: str = "text", least: float
         return none
     holders = base.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).join(_small(written(pairs.select("entity").distinct(), "entities")), "entity", "left_semi").groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
     terms = _small(written(pairs.select("term").distinct(), "terms"))
-    used = df.select(F.explode(F.array_distinct(_words(F.coalesce(F.col(text), F.lit(""))))).alias("term")).join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("used"))
+    used = df.select(F.explode(F.array_distinct(_words(F.coalesce(F.col(text), F.lit(""))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("used")).join(terms, "term")
     n, c = F.lit(float(docs)), F.col
     share = (F.log("together") + F.log(n) - F.log("holders") - F.log("used")) / (F.log(n) - F.log("holders"))
     told = pairs.join(holders, "entity").join(used, "term").where(c("holders") < docs).select("entity", "term", F.least(share, F.lit(1.0)).alias("disclosure"))
