@@ -4,34 +4,41 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.operators import folds
+
 
 def link_hash(previous: Column, payload: Column) -> Column:
     """The hash of an event: previous hash (empty at the start), NUL, payload."""
     return F.sha2(F.concat(F.coalesce(previous, F.lit("")), F.lit("\u0000"), payload), 256)
 
 
-def append(df: DataFrame, log: str, order: str, payload: str, sequence: int = 0, last: str = "") -> DataFrame:
+def append(df: DataFrame, log: str, order: str, payload: str, tails: DataFrame | None = None) -> DataFrame:
     """Adds sequence, previous_sha256 and event_sha256 along each log in order.
 
-    The chain is a fold by nature, so a log is one group; logs run in parallel. ``sequence`` and ``last`` continue a stored tail.
+    ``tails`` (log, sequence, event_sha256: see ``log_tails``) are the stored ends that logs go on from; a log without one begins at 1. The chain is a fold by
+    nature: logs run in parallel, and each streams through its task in order with nothing but the last hash kept. Events of equal ``order`` go by payload.
     """
     names = df.columns
-    schema = f"{df.select(*names)._jdf.schema().toDDL()}, sequence bigint, previous_sha256 string, event_sha256 string"
+    if tails is not None:
+        df = df.join(tails.select(log, F.col("sequence").alias("_sequence"), F.col("event_sha256").alias("_last")), log, "left")
+    else:
+        df = df.withColumn("_sequence", F.lit(0).cast("long")).withColumn("_last", F.lit(None).cast("string"))
+
+    def step(state, text, *_):
+        sequence, previous = state
+        own = hashlib.sha256(f"{previous or ''}\0{'' if text is None else text}".encode()).hexdigest()
+        return (sequence + 1, own), (sequence + 1, previous, own)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        previous, hashes, before = last, [], []
-        for text in pdf[payload]:
-            before.append(previous or None)
-            previous = hashlib.sha256(f"{previous}\0{text}".encode()).hexdigest()
-            hashes.append(previous)
-        return pdf.assign(sequence=range(sequence + 1, sequence + 1 + len(pdf)), previous_sha256=before, event_sha256=hashes)
+    made = folds.running(df, [log], [order, payload], [payload, "_sequence", "_last", *names], "sequence bigint, previous_sha256 string, event_sha256 string", lambda _, sequence, last, *rest: (sequence or 0, last), step)
+    return made.select(*names, "sequence", "previous_sha256", "event_sha256")
 
-    return df.groupBy(log).applyInPandas(run, schema)
+
+def log_tails(df: DataFrame, log: str) -> DataFrame:
+    """log, sequence, event_sha256 of each log's last event: what ``append`` goes on from."""
+    return df.groupBy(log).agg(F.max(F.struct("sequence", "event_sha256")).alias("_t")).select(log, "_t.sequence", "_t.event_sha256")
 
 
 def verify_chain(df: DataFrame, log: str | None, event: str, payload: str, sequence: str = "sequence", previous: str = "previous_sha256", own: str = "event_sha256", tie: str | None = None) -> DataFrame:
@@ -61,6 +68,23 @@ def verify_chain(df: DataFrame, log: str | None, event: str, payload: str, seque
     return twice.select(*df.columns, fault.alias("fault"))
 
 
+def require_chain(df: DataFrame, log: str, event: str, payload: str, sequence: str = "sequence", previous: str = "previous_sha256", own: str = "event_sha256") -> DataFrame:
+    """The same rows; a fault in any log ends the query that reads them, in the pass that reads them.
+
+    One shuffle by log serves all checks: contiguous numbers from 1, one event per id, each event linked to the one before and its own hash right.
+    """
+    w = Window.partitionBy(log).orderBy(sequence)
+    placed = df.repartition(log).withColumn("_n", F.row_number().over(w)).withColumn("_before", F.lag(own).over(w)).withColumn("_times", F.count(F.lit(1)).over(Window.partitionBy(log, event)))
+    fault = (
+        F.when(F.col("_times") > 1, "duplicate_event_id")
+        .when(~F.col(sequence).eqNullSafe(F.col("_n")), "sequence")
+        .when(~F.col(previous).eqNullSafe(F.col("_before")), "previous_hash")
+        .when(~F.col(own).eqNullSafe(link_hash(F.col(previous), F.coalesce(payload, F.lit("")))), "event_hash")
+    )
+    message = F.concat(F.lit("invalid event chain: log "), F.coalesce(F.col(log).cast("string"), F.lit("null")), F.lit(", event "), F.coalesce(F.col(event).cast("string"), F.lit("null")), F.lit(", "), fault)
+    return placed.where(F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).select(*df.columns)
+
+
 def valid_prefix(df: DataFrame, log: str, order: str, good: Column) -> DataFrame:
     """The rows of each log before its first bad one; the first bad order is a partial aggregate, joined back."""
     bad = df.where(~F.coalesce(good, F.lit(False))).groupBy(log).agg(F.min(order).alias("_bad"))
@@ -109,10 +133,22 @@ def candidate_accounting(candidates: DataFrame, opened: DataFrame, decided: Data
     return got.select(*keys, F.col("opened").isNotNull().alias("opened"), F.col(decision).isNotNull().alias("decided"), F.col(decision).alias("decision"))
 
 
-def list_hash(df: DataFrame, key: str, order: str, text: str) -> DataFrame:
-    """key, list_sha256: one hash over each key's texts in order; texts are hashed first, so a list holds 64 characters a row."""
-    rows = df.select(key, F.struct(F.col(order).alias("o"), F.sha2(text, 256).alias("h")).alias("r"))
-    return rows.groupBy(key).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["h"]), ""), 256).alias("list_sha256"))
+def list_hash(df: DataFrame, key: str, order: str, item: str) -> DataFrame:
+    """key, list_sha256: the hash of each key's items in order as one JSON list. ``item`` holds canonical JSON (``hashing.canonical_json``; null: ``null``).
+
+    The list is hashed item by item as it streams by and is never put together, so it may be longer than any task's memory.
+    """
+
+    def step(state, text):
+        digest, n = state
+        digest.update(f"{',' if n else '['}{'null' if text is None else text}".encode())
+        return digest, n + 1
+
+    def end(state):
+        state[0].update(b"]")
+        return (state[0].hexdigest(),)
+
+    return folds.folded(df, [key], [order, item], [item], "list_sha256 string", lambda: (hashlib.sha256(), 0), step, end)
 
 
 def monotone_clock(base_ms: int, place: Column) -> Column:

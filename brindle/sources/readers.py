@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from brindle.operators import eventlog
+
 _STRING = r'"(?:\\.|[^"\\])*"'
 _NUMBER = r"[-+]?\d*\.?\d+(?:[eE][-+]?\d+)?"
 #: A catalog literal on a line of its own; commas and brackets may stand before or after it.
@@ -54,6 +56,24 @@ def json_lines(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def event_log(spark: SparkSession, path: str, schema: StructType | str, log: str, event: str, payload: str) -> DataFrame:
+    """A folder of JSON Lines event logs, checked as it is read: a malformed line or a broken chain ends the query that reads it. A missing path gives no rows.
+
+    ``schema`` has sequence, previous_sha256 and event_sha256 beside the columns named.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    fields = StructType(list(schema.fields)).add("_broken", "string")
+    lines = spark.read.text(path).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = lines.select("file", "value", F.from_json("value", fields, {"columnNameOfCorruptRecord": "_broken"}).alias("r"))
+    sound = F.col("r").isNotNull() & F.col("r._broken").isNull()
+    message = F.concat(F.lit("malformed event in "), F.col("file"), F.lit(": "), F.left("value", F.lit(80)))
+    parsed = parsed.where(F.when(sound, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return eventlog.require_chain(parsed.select(*[F.col(f"r.`{f.name}`").alias(f.name) for f in schema.fields]), log, event, payload)
+
+
 def cached_json(spark: SparkSession, path: str, pattern: str, schema: StructType | str) -> DataFrame:
     """One JSON document a file, by name pattern; a file that does not parse as a whole is passed over, all of it."""
     if isinstance(schema, str):
