@@ -437,6 +437,18 @@ def rate_limiter(spark, sf):
     return limiter.limit_by_key(e, "user_id", "t", "event_id", 2, 86_400_000).select("event_id", "user_id", "accepted")
 
 
+@query("""WITH RECURSIVE e AS MATERIALIZED (SELECT event_id, user_id AS a, CAST(json_extract_string(props, '$.k') AS BIGINT) AS b, epoch_ms(ts) AS t, row_number() OVER (ORDER BY epoch_ms(ts), event_id) AS n FROM events),
+r AS (SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS event_id, false AS accepted, CAST(MAP {} AS MAP(BIGINT, STRUCT(s BIGINT, c BIGINT))) AS x, CAST(MAP {} AS MAP(BIGINT, STRUCT(s BIGINT, c BIGINT))) AS y
+UNION ALL SELECT n, event_id, p.c <= 2 AND q.c <= 3, CASE WHEN p.c <= 2 AND q.c <= 3 THEN map_concat(x, MAP {a: p}) ELSE x END, CASE WHEN p.c <= 2 AND q.c <= 3 THEN map_concat(y, MAP {b: q}) ELSE y END
+FROM (SELECT e.n, e.event_id, e.a, e.b, r.x, r.y, CASE WHEN r.x[e.a] IS NULL OR e.t - r.x[e.a].s >= 7200000 THEN {'s': e.t, 'c': CAST(1 AS BIGINT)} ELSE {'s': r.x[e.a].s, 'c': r.x[e.a].c + 1} END AS p,
+CASE WHEN r.y[e.b] IS NULL OR e.t - r.y[e.b].s >= 86400000 THEN {'s': e.t, 'c': CAST(1 AS BIGINT)} ELSE {'s': r.y[e.b].s, 'c': r.y[e.b].c + 1} END AS q FROM r JOIN e ON e.n = r.n + 1))
+SELECT event_id, accepted FROM r WHERE event_id IS NOT NULL""")
+def two_key_limiter(spark, sf):
+    """Events limited by user (2 in two hours) and by their number k (3 a day) at once."""
+    e = _t(spark, sf, "events").select("event_id", "user_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.unix_millis(F.col("ts").cast("timestamp")).alias("t"))
+    return limiter.limit_by_two(e, ("user_id", "k"), "t", "event_id", ((2, 7_200_000), (3, 86_400_000))).select("event_id", "accepted")
+
+
 @query("""SELECT 'orphan_lines' AS check_name, count(*) AS failing FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'negative_balance', count(*) FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'unknown_nation', count(*) FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation)""")
 def audit_checks(spark, sf):
     lines, orders = _t(spark, sf, "lineitem"), _t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
