@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import dates, hashing, measure, text, urls
 from brindle.operators import catalog, documents, eventlog, evidence, history, validate
-from brindle.sources import sinks
-from brindle.streaming import limiter
+from brindle.session import settings, shared_folder
+from brindle.sources import paged, sinks
+from brindle.sources.readers import stored
+from brindle.streaming import feeds, limiter, logs
 
 BANDS = [
     {"ord": 1, "max": 3.0, "percentile": 90, "label": "Top 10% (Casual)"},
@@ -364,6 +368,49 @@ def chain_append(spark, sf):
     return first.unionByName(second).drop("payload")
 
 
+@query(CHAINED)
+def chain_stream(spark, sf):
+    """The same logs as a stream that starts behind the stored ends of the first events and is stopped and started again."""
+    e = _t(spark, sf, "events").select("user_id", "event_id", F.col("event_type").alias("payload"))
+    folder = f"{shared_folder(spark)}/chain-{uuid.uuid4().hex}"
+    first = stored(eventlog.append(e.where("event_id < 400"), "user_id", "event_id", "payload"), f"{folder}/first")
+    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": logs.ROCKSDB}):
+        for least, most in ((400, 700), (700, None)):
+            part = e.where(F.col("event_id") >= least) if most is None else e.where(F.col("event_id").between(least, most - 1))
+            part.write.mode("append").parquet(f"{folder}/arrived")
+            linked = logs.append_stream(feeds.new_rows(spark, f"{folder}/arrived", e.schema), "user_id", "event_id", "payload", eventlog.log_tails(first, "user_id"))
+            linked.writeStream.format("parquet").option("path", f"{folder}/log").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return first.unionByName(spark.read.schema(first.schema).parquet(f"{folder}/log")).drop("payload")
+
+
+LISTED = """WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, length(html) AS size FROM pages),
+n AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS k FROM p WHERE host <> ''), g AS (SELECT *, CAST((k - 1) // 3 + 1 AS INTEGER) AS page FROM n),
+f AS (SELECT host, page, CASE WHEN hash % 7 = 0 THEN 'malformed' ELSE 'ok' END AS status, CASE WHEN hash % 7 = 0 THEN 0 ELSE c END AS c FROM (SELECT host, page, count(*) AS c, min(page_id) AS hash FROM g GROUP BY 1, 2)),
+a AS (SELECT host, page, status, c FROM f UNION ALL SELECT host, max(page) + 1, 'missing', 0 FROM f GROUP BY 1),
+s AS (SELECT a.* FROM a JOIN (SELECT host, min(CASE WHEN status <> 'ok' OR c < 3 THEN page END) AS stop FROM a GROUP BY 1) USING (host) WHERE page <= least(stop, 20))"""
+
+
+def _listing(spark, sf):
+    """Pages as the listings of their hosts, three items a page; pages whose first item's number divides by 7 are landed broken."""
+    rows = _t(spark, sf, "pages").select("page_id", urls.host(F.col("url")).alias("host"), F.struct(F.col("page_id").alias("id"), "url", F.length("html").alias("size")).alias("item")).where("host <> ''")
+    folder = f"{shared_folder(spark)}/listing-{uuid.uuid4().hex}"
+    place = rows.withColumn("_page", F.floor((F.row_number().over(Window.partitionBy("host").orderBy("page_id")) - 1) / 3)).withColumn("_first", F.min("page_id").over(Window.partitionBy("host", "_page")))
+    text = F.when((F.col("page_id") == F.col("_first")) & (F.col("_first") % 7 == 0), F.concat(F.lit("{"), F.to_json("item"))).otherwise(F.to_json("item"))
+    paged.land_pages(place.select("page_id", "host", text.alias("item")), folder, "host", "page_id", "item", 3)
+    return paged.listing(spark, folder, page_size=3)
+
+
+@query(LISTED + """ SELECT g.page_id, g.host AS source, g.page, g.url, g.size FROM g JOIN s ON s.host = g.host AND s.page = g.page AND s.status = 'ok'""")
+def paged_listing(spark, sf):
+    got = paged.items_of(_listing(spark, sf), "id bigint, url string, size int")
+    return got.select(F.col("id").alias("page_id"), "source", "page", "url", "size")
+
+
+@query(LISTED + """ SELECT host AS source, CASE WHEN bool_and(status = 'ok') THEN 'ok' WHEN bool_or(status = 'ok') THEN 'partial' ELSE 'unavailable' END AS status, count(*) AS pages, CAST(sum(c) AS BIGINT) AS n_items FROM s GROUP BY 1""")
+def listing_report(spark, sf):
+    return paged.source_report(_listing(spark, sf))
+
+
 @query("""SELECT user_id, count(*) AS kept FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events b WHERE b.user_id = e.user_id AND b.value > 45), 9223372036854775807) GROUP BY 1""")
 def valid_prefix(spark, sf):
     return eventlog.valid_prefix(_t(spark, sf, "events").select("user_id", "event_id", "value"), "user_id", "event_id", F.col("value") <= 45).groupBy("user_id").agg(F.count(F.lit(1)).alias("kept"))
