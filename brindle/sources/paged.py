@@ -58,11 +58,15 @@ class PagedReader(DataSourceReader):
             raise ValueError("page_size, last_page and pages_per_task count from 1")
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of pages of each source folder; names only are listed here."""
+        """Ranges of pages of each source folder up to the first page that is missing; names only are listed here."""
         store, root = _store(self.path)
-        found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
-        sources = sorted(f.base_name for f in found if f.type == fs.FileType.Directory and f.base_name.startswith("source="))
-        return [PageRange(unquote(s[7:]), s, p, min(p + self.each - 1, self.last_page)) for s in sources for p in range(1, self.last_page + 1, self.each)]
+        folders = lambda where: {f.base_name for f in store.get_file_info(fs.FileSelector(where, allow_not_found=True)) if f.type == fs.FileType.Directory}
+        out: list[InputPartition] = []
+        for s in sorted(f for f in folders(root) if f.startswith("source=")):
+            there = folders(f"{root}/{s}")
+            last = next((p for p in range(1, self.last_page) if f"page={p}" not in there), self.last_page)
+            out += [PageRange(unquote(s[7:]), s, p, min(p + self.each - 1, last)) for p in range(1, last + 1, self.each)]
+        return out
 
     def _page(self, store: fs.FileSystem, folder: str) -> tuple[str, str | None, list]:
         """Status, hash of the bytes and items of one page."""
@@ -80,7 +84,9 @@ class PagedReader(DataSourceReader):
             return "malformed", digest, []
         return ("ok", digest, items) if isinstance(items, list) else ("malformed", digest, [])
 
-    def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: PageRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there is no source folder
+            return
         store, root = _store(self.path)
         kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string()]
         names = [f.split()[0] for f in SCHEMA.split(", ")]
