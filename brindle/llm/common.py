@@ -8,9 +8,7 @@ the number of rows.
 
 from __future__ import annotations
 
-import gc
 import json
-import time
 import uuid
 import weakref
 
@@ -20,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.session import shared_folder
+from brindle.session import settings, shared_folder
 
 GUARD = "_guard"
 CELL = "_cell"
@@ -44,10 +42,11 @@ _PATHS: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary(
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends here and a lost executor costs nothing."""
+    """``df`` as a Parquet table in the shared folder: lineage ends here and a lost executor costs nothing. Files of the shuffles that made it go as soon as it is written."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out
@@ -63,14 +62,6 @@ def discard(*tables: DataFrame) -> None:
             where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver notice that finished shuffles are no longer referenced, so that executors delete their files before the next large one."""
-    for _ in range(2):  # the first lets go of the plans that Python held, the second of their shuffles
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the column's text, modulo ``modulus``; a null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.llm.common import discard, placement_keys, release, shuffle_partitions, slices, text_bytes, written
+from brindle.llm.common import discard, placement_keys, shuffle_partitions, slices, text_bytes, written
 
 _P, _Q = np.uint64(0x100000001B3 * 0x9E3779B1 & (1 << 64) - 1 | 1), np.uint64(0xD6E8FEB86659FD93)
 _K1, _K2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -185,14 +185,16 @@ def _flushed(found, places: list[int], n: int, hot: Hot, most: int = 1 << 20):
         yield from _pack_sets(list(held), [h for _, h in held.values()], [k for k, _ in held.values()], places, n, hot)
 
 
-def hot_shingles(df: DataFrame, text: str, words: int, sample: int = 1 << 14, least: int = 16) -> Hot:
-    """Shingles in at least ``least`` distinct sets of about ``sample`` rows drawn by hash; nothing but placement and order depends on them.
+def hot_shingles(df: DataFrame, text: str, words: int, sample: int = 1 << 14, least: int = 16, most_bytes: int = 256 << 20) -> Hot:
+    """Shingles in at least ``least`` distinct sets of rows drawn by hash; nothing but placement and order depends on them.
 
-    The driver holds at most 1 in ``least`` of the sample's shingles. A shingle's pivot is the sampled set with the largest share of hot shingles.
+    About ``sample`` rows are drawn for every 32 partitions, so that what counts as hot stays a fixed share of a partition, but no more than about ``most_bytes`` of text: the driver
+    holds at most 1 in ``least`` of these shingles, 8 bytes each. A shingle's pivot is the sampled set with the largest share of hot shingles.
     """
     spark = df.sparkSession
-    total = df.count()
-    drawn = df.select(text) if total <= sample else df.where(F.pmod(F.xxhash64(*df.columns, F.lit(words)), F.lit(1 << 40)) < int((1 << 40) * sample / total)).select(text)
+    total, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0))).first()
+    share = min(1.0, sample * max(1, shuffle_partitions(spark) // 32) / max(total, 1), most_bytes / max(size, 1))
+    drawn = df.select(text) if share == 1.0 else df.where(F.pmod(F.xxhash64(*df.columns, F.lit(words)), F.lit(1 << 40)) < int((1 << 40) * share)).select(text)
     n = max(1, min(shuffle_partitions(spark), 32))
     places, none = placement_keys(spark, n), Hot(np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
@@ -618,7 +620,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, max_sets: int = 256, max_bytes: int = 4 << 20, sample: int = 1 << 14, least_hot: int = 16) -> DataFrame:
-    """key, n_shingles and component_id of every row, exactly.
+    """key, n_shingles and component_id of every row; no pair is sampled or left out. Shingles and whole sets are told apart by 64-bit hashes, so two of 10^10 sets may be taken for one.
 
     Words are runs of bytes other than space and \\t..\\r, with A-Z lowered. Two rows link when
     100 * |x n y| >= percent * |x u y|; component_id is the smallest key reachable. A null or wordless text has an empty set and is alone. Rows
@@ -632,7 +634,6 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     docs = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs, "_text", words, sample, least_hot))
     both = written(shared_sets(docs, words, keep_size, hot), "shared")
-    release(spark)
     rows = both.where("hashes is null").select("_key", "n", "_set")
     sets = written(windowed_sets(both.where("hashes is not null"), keep_size, window_size, hot), "sets")
     roots = components(links(regions(sets, hot), sets, percent, max_sets, max_bytes))
