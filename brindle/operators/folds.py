@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from brindle.session import shared_folder
+
 
 def _dealt(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     return df.select(*dict.fromkeys([*keys, *order, *columns])).repartition(*keys).sortWithinPartitions(*keys, *order)
@@ -71,3 +76,36 @@ def folded(df: DataFrame, keys: list[str], order: list[str], columns: list[str],
             yield _batch(list(zip(*[(*key, *end(state))])), arrow)
 
     return dealt.mapInArrow(run, schema)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that what reads it twice sees the same rows."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def equal(a: str, b: str, columns: list[str]) -> Column:
+    """Null-safe equality of two aliased frames' columns."""
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.`{c}`").eqNullSafe(F.col(f"{b}.`{c}`")) for c in columns])
+
+
+def joined(left: DataFrame, right: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
+    """Join by columns in which nulls are equal; they come once."""
+    both = left.alias("l").join(right.alias("r"), equal("l", "r", columns), how)
+    more = [] if how in ("left_semi", "left_anti") else [F.col(f"r.`{c}`").alias(c) for c in right.columns if c not in columns]
+    return both.select(*[F.col(f"l.`{c}`").alias(c) for c in left.columns], *more)
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Adds ``out``: the row's number within its key in order, from 0.
+
+    Rows go to ranges of (keys, order) and are numbered there; a range's first number is the sum of the ranges before, a few rows a key. So a
+    key of any size spreads over many tasks.
+    """
+    dealt = kept(df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*keys, *order]]).withColumn("_part", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_c")).withColumn("_first", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)) - 1
+    return joined(dealt, counts, [*keys, "_part"]).withColumn(out, (local + F.col("_first")).cast("long")).drop("_part", "_first")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import dates, hashing, measure, text, urls
-from brindle.operators import catalog, documents, eventlog, evidence, history, validate
+from brindle.operators import alignment, catalog, documents, eventlog, evidence, history, validate
 from brindle.session import settings, shared_folder
 from brindle.sources import paged, sinks
 from brindle.sources.readers import stored
@@ -524,4 +524,17 @@ def sequence_alignment(spark, sf):
     p = _t(spark, sf, "part")
     snap = p.select(F.col("p_partkey").alias("aligned"), "p_brand", "p_type", F.col("p_partkey").alias("o"))
     cur = p.where("p_size <> 13").select("p_partkey", "p_brand", "p_type", F.col("p_partkey").alias("o"))
-    return catalog.align(cur, snap, ["p_brand"], ["p_type"], "o", "aligned").select("p_partkey", "aligned")
+    return alignment.align(cur, snap, ["p_brand"], ["p_type"], "o", "aligned").select("p_partkey", "aligned")
+
+
+@query("""WITH RECURSIVE c AS (SELECT p_partkey, p_type, row_number() OVER (ORDER BY p_partkey) AS k FROM part WHERE p_size <> 13),
+s AS (SELECT p_partkey, p_type, row_number() OVER (ORDER BY p_partkey) AS k FROM part),
+r AS (SELECT c.k, min(s.k) AS place FROM c JOIN s USING (p_type) WHERE c.k = 1 GROUP BY 1
+UNION ALL SELECT k, place FROM (SELECT c.k, min(s.k) AS place FROM r JOIN c ON c.k = r.k + 1 JOIN s ON s.p_type = c.p_type AND s.k > r.place GROUP BY 1))
+SELECT c.p_partkey, s.p_partkey AS aligned FROM c LEFT JOIN r ON r.k = c.k LEFT JOIN s ON s.k = r.place""")
+def one_catalog_alignment(spark, sf):
+    """All parts as one catalog, in blocks."""
+    p = _t(spark, sf, "part").withColumn("one", F.lit(1))
+    snap = p.select(F.col("p_partkey").alias("aligned"), "one", "p_type", F.col("p_partkey").alias("o"))
+    cur = p.where("p_size <> 13").select("p_partkey", "one", "p_type", F.col("p_partkey").alias("o"))
+    return alignment.align(cur, snap, ["one"], ["p_type"], "o", "aligned", block=256).select("p_partkey", "aligned")

@@ -72,9 +72,9 @@ def test_similar_candidates_top3(spark):
 
 
 def test_alignment_is_an_ordered_subsequence(spark):
-    from brindle.operators import catalog
+    from brindle.operators import alignment
 
     snap = spark.createDataFrame([("c", "a", 1, "s1"), ("c", "b", 2, "s2"), ("c", "a", 3, "s3"), ("d", "x", 1, "t1"), ("d", None, 2, "t2")], "cat string, k string, o int, id string")
     cur = spark.createDataFrame([("c", "b", 1), ("c", "a", 2), ("c", "b", 3), ("c", "a", 4), ("d", None, 1)], "cat string, k string, o int")
-    got = {(r.cat, r.o): r.id for r in catalog.align(cur, snap, ["cat"], ["k"], "o", "id").collect()}
+    got = {(r.cat, r.o): r.id for r in alignment.align(cur, snap, ["cat"], ["k"], "o", "id").collect()}
     assert got == {("c", 1): "s2", ("c", 2): "s3", ("c", 3): None, ("c", 4): None, ("d", 1): "t2"}
