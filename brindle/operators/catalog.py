@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.sources.readers import exists, stored
@@ -116,6 +118,32 @@ def same_sequence(a: DataFrame, b: DataFrame, index: str, column: str) -> Column
     return x.join(y, index, "full_outer").where(~F.col("x").eqNullSafe(F.col("y"))).isEmpty()
 
 
+def snapshot_join(unresolved: DataFrame, inputs: DataFrame, current: DataFrame, key: str, same: list[str]) -> DataFrame:
+    """The ``inputs`` rows of all unresolved keys; ends the query that reads it, within its own plan, where a key repeats among the unresolved, is missing
+    from the inputs or differs there in a column of ``same``, or where the current rows no longer have these columns' values.
+    """
+    left = unresolved.select(key, *[F.col(c).alias(f"_u_{c}") for c in same]).withColumn("_times", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    found = left.join(inputs.withColumn("_in", F.lit(True)), key, "left")
+    equal = lambda a, b: reduce(lambda x, y: x & y, [F.col(a.format(c)).eqNullSafe(F.col(b.format(c))) for c in same])
+    live = current.select(*[F.col(c).alias(f"_c_{c}") for c in same]).distinct().withColumn("_live", F.lit(True))
+    held = found.join(live, equal("{}", "_c_{}"), "left")
+    fault = (
+        F.when(F.col("_times") > 1, "repeats among the unresolved")
+        .when(F.col("_in").isNull(), "is missing from the inputs")
+        .when(~equal("{}", "_u_{}"), "differs from its input")
+        .when(F.col("_live").isNull(), "is no longer in the current rows")
+    )
+    message = F.concat(F.lit(f"{key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(" "), fault)
+    return held.where(F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).select(*inputs.columns)
+
+
+def first_by_url(candidates: DataFrame, url: str, order: list[str], row: str) -> tuple[DataFrame, DataFrame]:
+    """One record a URL, the first in order, with the number of rows that want it; and the pairs (url, row), each once, so that a URL that all rows want is no list."""
+    rest = [c for c in candidates.columns if c not in (url, row)]
+    first = candidates.groupBy(url).agg(F.min_by(F.struct(*rest), F.struct(*order, row)).alias("_r"), F.count_distinct(row).alias("n_rows"))
+    return first.select(url, "_r.*", "n_rows"), candidates.select(url, row).distinct()
+
+
 def require(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """The same rows; a row that fails the condition ends the query with the message."""
     return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))

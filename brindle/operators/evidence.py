@@ -31,6 +31,29 @@ def rollup(df: DataFrame, key: str, order: str, firsts: list[str], value: str, o
     return df.groupBy(key).agg(*first, F.array_sort(F.collect_set(value)).alias("values"), F.count_distinct(F.when(F.col(value).isNotNull(), F.col(owner))).alias("owners"))
 
 
+def observed(df: DataFrame, key: str, order: str, direct: str, per_g: str, weight: str, count: str, owner: str, source: str) -> DataFrame:
+    """What a key's evidence says, rows in order: observed (the first direct strength, else one calculated), all values, their owners, the first strength by weight, and the calculation with its inputs and source.
+
+    It is calculated, where no row states it, from the first row that has strength by weight, weight and a count above 0.
+    """
+    c, at = F.col, F.col(order)
+    full = finite(c(per_g)) & finite(c(weight)) & finite(c(count)) & (c(count) > 0)
+    stated = finite(c(direct))
+    basis = F.struct(c(per_g).alias("per_g"), c(weight).alias("weight"), c(count).alias("count"), c(source).alias("source"), c(owner).alias("owner"))
+    got = df.groupBy(key).agg(
+        F.min_by(direct, F.when(stated, at)).alias("_direct"),
+        F.array_sort(F.collect_set(F.when(stated, c(direct)))).alias("_values"),
+        F.array_sort(F.collect_set(F.when(stated, c(owner)))).alias("_owners"),
+        F.min_by(per_g, F.when(finite(c(per_g)), at)).alias("per_g"),
+        F.min_by(basis, F.when(full, at)).alias("_basis"),
+    )
+    used = F.col("_direct").isNull() & F.col("_basis").isNotNull()
+    result = F.col("_basis.per_g") * F.col("_basis.weight") / F.col("_basis.count")
+    got = got.withColumn("calculation", F.when(used, F.struct("_basis.per_g", "_basis.weight", "_basis.count", result.alias("result"), "_basis.source")))
+    owners = F.when(used & F.col("_basis.owner").isNotNull(), F.array_sort(F.array_union("_owners", F.array("_basis.owner")))).otherwise(F.col("_owners"))
+    return got.select(key, F.coalesce("_direct", "calculation.result").alias("observed"), F.when(used, F.array("calculation.result")).otherwise(F.col("_values")).alias("values"), owners.alias("owners"), "per_g", "calculation")
+
+
 def first_per_owner(df: DataFrame, key: str, owner: str, order: str) -> DataFrame:
     """One row for each key and owner, the first in order."""
     rest = [c for c in df.columns if c not in (key, owner)]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from brindle.functions.dates import last_sunday_before
 
@@ -115,3 +116,20 @@ def taper_limit(day: Column, start: Column, target: Column, first: Column, strat
 def page_of(df: DataFrame, order: list[Column], page: int, size: int = 14) -> DataFrame:
     """A page of an ordered listing; pages count from 1."""
     return df.orderBy(*order).offset((page - 1) * size).limit(size)
+
+
+def replace_users(snapshots: DataFrame, users: DataFrame, path: str, user: str) -> None:
+    """Each of ``users`` gets the rows of ``snapshots`` in place of those stored; one without rows there ends up with none. Files of other users are not touched.
+
+    A user is a partition of the table, overwritten as such. A marker row keeps the partition of a user without rows, so that an empty snapshot replaces too; ``stored_users`` leaves markers out.
+    """
+    own = snapshots.join(users.select(user).distinct(), user, "left_semi").withColumn("_marker", F.lit(False))
+    empty = users.select(user).distinct().where(F.col(user).isNotNull()).join(snapshots.select(user), user, "left_anti").withColumn("_marker", F.lit(True))
+    rows = own.unionByName(empty, allowMissingColumns=True).repartition(user)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(user).parquet(path)
+
+
+def stored_users(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table that ``replace_users`` keeps; ``schema`` is that of the snapshots."""
+    full = StructType([*schema.fields, StructField("_marker", BooleanType())])
+    return spark.read.schema(full).parquet(path).where(~F.col("_marker")).select(*[f.name for f in schema.fields])

@@ -538,3 +538,51 @@ def one_catalog_alignment(spark, sf):
     snap = p.select(F.col("p_partkey").alias("aligned"), "one", "p_type", F.col("p_partkey").alias("o"))
     cur = p.where("p_size <> 13").select("p_partkey", "one", "p_type", F.col("p_partkey").alias("o"))
     return alignment.align(cur, snap, ["one"], ["p_type"], "o", "aligned", block=256).select("p_partkey", "aligned")
+
+
+@query("""SELECT p_partkey, p_brand, p_name, p_size FROM part WHERE p_size > 25""")
+def snapshot_join(spark, sf):
+    """The snapshot rows of unresolved parts; any that is missing, changed or gone would end the query."""
+    p = _t(spark, sf, "part").select("p_partkey", "p_brand", "p_name", "p_size")
+    return catalog.snapshot_join(p.where("p_size > 25"), p, p.select("p_brand", "p_name", "p_size"), "p_partkey", ["p_brand", "p_name", "p_size"])
+
+
+@query("""WITH l AS (SELECT l_partkey AS k, l_orderkey * 10 + l_linenumber AS o, l_suppkey, CASE WHEN l_tax > 0.07 THEN l_tax END AS direct, CASE WHEN l_discount > 0 THEN l_discount END AS per_g, CASE WHEN l_returnflag <> 'N' THEN l_extendedprice END AS weight, l_quantity AS n FROM lineitem),
+b AS (SELECT k, arg_min(direct, o) FILTER (direct IS NOT NULL) AS direct, coalesce(list_sort(list(DISTINCT direct) FILTER (direct IS NOT NULL)), []) AS v, coalesce(list_sort(list(DISTINCT l_suppkey) FILTER (direct IS NOT NULL)), []) AS w, arg_min(per_g, o) FILTER (per_g IS NOT NULL) AS per_g,
+arg_min({'g': per_g, 'w': weight, 'n': n, 's': l_suppkey, 'o': o}, o) FILTER (per_g IS NOT NULL AND weight IS NOT NULL AND n > 0) AS c FROM l GROUP BY 1)
+SELECT k AS l_partkey, coalesce(direct, c.g * c.w / c.n) AS observed, CASE WHEN direct IS NULL AND c IS NOT NULL THEN 1 ELSE len(v) END AS n_values, CASE WHEN direct IS NULL AND c IS NOT NULL THEN c.s::VARCHAR ELSE array_to_string(w, ',') END AS owners, per_g,
+CASE WHEN direct IS NULL THEN c.w END AS weight, CASE WHEN direct IS NULL THEN c.o END AS source FROM b""")
+def observed_evidence(spark, sf):
+    c, rows = F.col, _t(spark, sf, "lineitem")
+    rows = rows.select("l_partkey", (c("l_orderkey") * 10 + c("l_linenumber")).alias("o"), "l_suppkey", F.when(c("l_tax") > 0.07, c("l_tax")).alias("direct"), F.when(c("l_discount") > 0, c("l_discount")).alias("per_g"), F.when(c("l_returnflag") != "N", c("l_extendedprice")).alias("weight"), c("l_quantity").alias("n"))
+    got = evidence.observed(rows.withColumn("src", c("o")), "l_partkey", "o", "direct", "per_g", "weight", "n", "l_suppkey", "src")
+    return got.select("l_partkey", "observed", F.size("values").alias("n_values"), F.array_join(c("owners").cast("array<string>"), ",").alias("owners"), "per_g", c("calculation.weight").alias("weight"), c("calculation.source").alias("source"))
+
+
+@query("""WITH c AS (SELECT doc_id, source AS url, text FROM documents WHERE source IS NOT NULL) SELECT url, min(doc_id) AS first_doc, arg_min(length(text), doc_id) AS n, count(DISTINCT doc_id) AS n_rows FROM c GROUP BY 1""")
+def first_by_url(spark, sf):
+    """One record a source for all documents that name it."""
+    d = _t(spark, sf, "documents").where("source is not null").select("doc_id", F.col("source").alias("url"), F.col("doc_id").alias("first_doc"), F.length("text").alias("n"))
+    return catalog.first_by_url(d, "url", ["first_doc"], "doc_id")[0]
+
+
+@query("""SELECT event_id, user_id, event_type FROM events WHERE user_id % 5 <> 0 AND (user_id % 5 <> 1 OR event_id % 2 = 0)""")
+def user_snapshots(spark, sf):
+    """All users stored, then some replaced by an empty snapshot and some by every other event."""
+    e = _t(spark, sf, "events").select("event_id", "user_id", "event_type")
+    path, users = f"{shared_folder(spark)}/users-{uuid.uuid4().hex}", e.select("user_id").distinct()
+    history.replace_users(e, users, path, "user_id")
+    history.replace_users(e.where("user_id % 5 = 1 and event_id % 2 = 0"), users.where("user_id % 5 < 2"), path, "user_id")
+    return history.stored_users(spark, path, e.schema)
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE round(o_totalprice, 0) END AS price FROM orders""")
+def published_prices(spark, sf):
+    """A first version published, a second one published over it, a third only staged."""
+    o, folder = _t(spark, sf, "orders"), f"{shared_folder(spark)}/prices-{uuid.uuid4().hex}"
+    first = o.select("o_orderkey", F.col("o_totalprice").alias("price"))
+    second = o.select("o_orderkey", F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(F.round("o_totalprice", 0)).alias("price"))
+    sinks.publish(first, folder)
+    sinks.publish(second, folder)
+    sinks.stage(first.limit(0), folder)
+    return sinks.published(spark, folder, first.schema)
