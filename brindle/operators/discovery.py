@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from brindle.functions.matching import exact_variant
 from brindle.functions.text import first_number, identity_tokens, normalize_candidate, squeeze, tokens, unicode_form
 from brindle.functions.urls import host, is_http, is_likely_product, path, path_tokens
+from brindle.operators import evidence, folds
 
 #: Result pages. Name, part of the engine's host, patterns of (link, title), the redirect's parameter, the engine's own domain.
 RESULT_PAGES = [
@@ -272,15 +273,17 @@ def detail_candidates(rows: DataFrame, records: DataFrame, row: str, record: str
     ``rows``: row, b, n. ``records``: record, url, branch, source_owner. Scores reach ``owner_least`` on an owner's page and ``other_least`` elsewhere; ties go to the smaller url.
     A row without name words scores 0.5 everywhere and so has none.
     """
-    a = rows.select(row, brand_words(F.col("b")).alias("_b"), name_words(F.col("b"), F.col("n")).alias("_n"))
+    a = rows.select(row, brand_words(F.col("b")).alias("_b"), name_words(F.col("b"), F.col("n")).alias("_n")).where(F.size("_n") > 0).withColumn("_a", evidence.set_name(F.col("_n")))
     b = records.where(is_likely_product(F.col("url"))).select(record, "url", "branch", F.coalesce("source_owner", F.col(record).cast("string")).alias("owner"), F.array_distinct(path_tokens(F.col("url"))).alias("_p"))
-    owned = F.coalesce(F.col("branch").isin(OWNER_BRANCHES), F.lit(False))
-    # pages of others need all brand words, which thins the pairs as they are made
-    shown = F.size(F.array_except("_b", "_p")) == 0
-    pairs = _meeting(a, b.where(owned), row, record, "_n", "_p", owner_least).unionAll(_meeting(a, b.where(~owned), row, record, "_n", "_p", other_least, ["_b"], ["_p"], shown)).join(a, row).join(b, record)
-    scored = pairs.withColumn("score", path_score(F.col("_b"), F.col("_n"), F.col("branch"), F.col("_p")))
-    scored = scored.where(F.col("score") >= F.when(F.coalesce(F.col("branch").isin(OWNER_BRANCHES), F.lit(False)), owner_least).otherwise(other_least))
-    return _best_owners(scored, row, record, k)
+    b = b.withColumn("_s", evidence.set_name(F.col("_p"))).withColumn("_owned", F.coalesce(F.col("branch").isin(OWNER_BRANCHES), F.lit(False)))
+    needs, haves = a.groupBy("_a").agg(F.any_value("_n").alias("_need")), b.groupBy("_s").agg(F.any_value("_p").alias("_have"))
+    scored = folds.kept(evidence.set_scores(needs, haves, min(owner_least, other_least)), "scores")
+    entry = F.struct((-F.col("score")).alias("s"), F.col("url"), F.col(record).alias("r")).alias("_e")
+    # what an owner's pages score does not depend on the brand, so the best of each owner is one for all rows of a set
+    owned = scored.where(F.col("score") >= owner_least).join(b.where("_owned"), "_s").groupBy("_a", "owner").agg(F.min(entry).alias("_e"))
+    others = scored.where(F.col("score") >= other_least).join(b.where("not _owned"), "_s").join(a.select(row, "_a", "_b"), "_a").where(F.size(F.array_except("_b", "_p")) == 0)
+    best = a.select(row, "_a").join(owned, "_a").select(row, "owner", "_e").unionByName(others.select(row, "owner", entry))
+    return _ranked_owners(best.groupBy(row, "owner").agg(F.min("_e").alias("_b")), row, record, k)
 
 
 def index_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, k: int = 8, least: float = 0.7) -> DataFrame:
@@ -293,7 +296,10 @@ def index_candidates(rows: DataFrame, records: DataFrame, row: str, record: str,
 
 
 def _best_owners(scored: DataFrame, row: str, record: str, k: int) -> DataFrame:
-    best = scored.groupBy(row, "owner").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("url"), F.col(record).alias("r"))).alias("_b"))
+    return _ranked_owners(scored.groupBy(row, "owner").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("url"), F.col(record).alias("r"))).alias("_b")), row, record, k)
+
+
+def _ranked_owners(best: DataFrame, row: str, record: str, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(row).orderBy("_b.s", "_b.url", "_b.r"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select(row, F.col("_b.r").alias(record), F.col("_b.url").alias("url"), "owner", (-F.col("_b.s")).alias("score"), F.col("rank").cast("long").alias("rank"))
 

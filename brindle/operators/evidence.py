@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from brindle.functions.measure import finite
 from brindle.functions.text import overlap_ratio
@@ -108,12 +114,11 @@ def rolled_status(ok: Column) -> Column:
 def top_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, words: str, owner: str, least: float, k: int = 3, other: bool = False) -> DataFrame:
     """row, record, owner, score: the best record of each of the k best owners, ties to the smaller record. ``other``: a record of the row's own number does not count.
 
-    Both sides carry distinct word arrays; rows and records with equal words are one set until the end. A set that has ``least`` of a row's words lacks at most need - ceil(least * need) of
-    them, so it has one of the row's rarest need - ceil(least * need) + 1 words: only these are joined. The score is counted on the arrays of two sets that met, once.
+    Both sides carry distinct word arrays; rows and records with equal words are one set until the end (``set_scores``).
     """
-    name = lambda c: F.sha2(F.array_join(F.array_sort(c), " "), 256)
-    a = rows.select(F.col(row), name(F.col(words)).alias("_a"), F.col(words).alias("_need"))
-    b = records.select(F.col(record).alias("_r"), F.col(owner).alias("_owner"), name(F.col(words)).alias("_s"), F.col(words).alias("_have"))
+    name = lambda c: set_name(F.col(c))
+    a = rows.select(F.col(row), name(words).alias("_a"), F.col(words).alias("_need"))
+    b = records.select(F.col(record).alias("_r"), F.col(owner).alias("_owner"), name(words).alias("_s"), F.col(words).alias("_have"))
     needs, haves = a.groupBy("_a").agg(F.any_value("_need").alias("_need")).where(F.size("_need") > 0), b.groupBy("_s").agg(F.any_value("_have").alias("_have"))
     scored = set_scores(needs, haves, least)
     first = b.groupBy("_s", "_owner").agg(F.min("_r").alias("_r1"))
@@ -131,8 +136,47 @@ def top_candidates(rows: DataFrame, records: DataFrame, row: str, record: str, w
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select(row, F.col("_b.r").alias(record), F.col("_owner").alias(owner), (-F.col("_b.s")).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
-def set_scores(needs: DataFrame, haves: DataFrame, least: float) -> DataFrame:
-    """_a, _s, score: the share of the words of each ``needs`` (_a, _need) that a ``haves`` (_s, _have) has, where it reaches ``least``."""
+def set_name(words: Column) -> Column:
+    """A short name for a set of words: half of its SHA-256."""
+    return F.unhex(F.left(F.sha2(F.array_join(F.array_sort(words), " "), 256), F.lit(32)))
+
+
+def set_scores(needs: DataFrame, haves: DataFrame, least: float, most_words: int = 1_000_000) -> DataFrame:
+    """_a, _s, score: the share of the words of each ``needs`` (_a, _need) that a ``haves`` (_s, _have) has, where it reaches ``least`` (above 0).
+
+    Up to ``most_words`` words, counted first, the needs are sent to all tasks as lists of sets by word, and one pass over the haves counts what each of
+    their words hits: no pair is shuffled. Beyond that sets meet by their rarest words.
+    """
+    size = needs.agg(F.coalesce(F.sum(F.size("_need")), F.lit(0))).first()[0]
+    if size > most_words:
+        return _scores_by_rare_words(needs, haves, least)
+    sets = needs.select("_a", "_need").collect()
+    places: dict[str, list[int]] = {}
+    for i, r in enumerate(sets):
+        for w in r["_need"]:
+            places.setdefault(w, []).append(i)
+    index = needs.sparkSession.sparkContext.broadcast(({w: np.array(p, np.int64) for w, p in places.items()}, np.array([len(r["_need"]) for r in sets], np.float64), [r["_a"] for r in sets]))
+    schema = StructType([needs.schema["_a"], haves.schema["_s"], *StructType.fromDDL("score double").fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, lengths, names = index.value
+        for b in batches:
+            found: list[tuple] = []
+            for s, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                lists = [known[w] for w in words if w in known]
+                if lists:
+                    own, hits = np.unique(np.concatenate(lists), return_counts=True)
+                    score = hits / lengths[own]
+                    found += [(names[i], s, x) for i, x in zip(own[score >= least].tolist(), score[score >= least].tolist())]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+
+    return haves.select("_s", "_have").mapInArrow(run, schema)
+
+
+def _scores_by_rare_words(needs: DataFrame, haves: DataFrame, least: float) -> DataFrame:
+    """A set that has ``least`` of the words lacks at most n - ceil(least * n), so it has one of the rarest n - ceil(least * n) + 1: only these are joined."""
     frequency = haves.select(F.explode("_have").alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))
     ranked = needs.select("_a", F.size("_need").alias("_n"), F.explode("_need").alias("_w")).join(frequency, "_w", "left").groupBy("_a", "_n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("d"), F.col("_w").alias("w")))).alias("_all"))
     rare = ranked.select("_a", F.explode(F.slice("_all", 1, (F.col("_n") - F.ceil(F.lit(least) * F.col("_n") - 1e-9) + 1).cast("int"))).alias("_x")).select("_a", F.col("_x.w").alias("_w"))
