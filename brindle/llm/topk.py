@@ -2,20 +2,20 @@
 
 A block of candidates is held as postings, term by term: for each dimension the weights of its rows. A block of
 sparse query rows takes its terms one after the other and scatters weight times posting into dense score arrays; a
-partition selection keeps each query's best of the block. A task carries one running top-k a query over all its blocks; the tasks' are
-merged in two steps, of ``FAN_IN`` tasks at a time and then of these.
+partition selection keeps each query's best of the block. The blocks' are merged in two steps, of ``FAN_IN`` blocks at a time and then of these.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import written
+from brindle.llm.common import shuffle_partitions, written
 
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 1 << 20
+CANDIDATE_BLOCK = 8192
 FAN_IN = 256
 
 
@@ -60,84 +60,53 @@ class Postings:
         return self.ids[keep[order]], acc[keep[order]]
 
 
-def _merged(one: tuple, other: tuple, k: int) -> tuple:
-    """The k best of two (ids, scores), ties to the smaller id."""
-    ids, scores = np.concatenate([one[0], other[0]]), np.concatenate([one[1], other[1]])
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
-
-
-def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = 8192) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best other rows by integer inner product.
 
     ``vectors`` has an integer key, not null, and an array of longs ``vec``; other columns are not read; an empty table gives no rows. Rows that repeat a key are candidates each, except for their own
-    key's queries; a repeated query gives one result. Queries are taken in blocks of at most ``query_block`` distinct keys, and
-    only one block's vectors are on the driver and sent out at a time; every block meets all candidates.
+    key's queries; a repeated query gives one result.
+
+    One job over a grid: a cell is a block of about ``candidate_block`` candidates and one of at most about ``query_block`` queries. A task holds a cell's candidates and its queries stream by,
+    so neither is ever on the driver or sent to all tasks. Candidates travel once for each block of queries, which is once unless there are more than ``query_block`` of them or fewer cells than partitions.
     """
     spark = vectors.sparkSession
     vectors = written(vectors.select(key, "vec"), "vectors")
-    queries = vectors.where(is_query).groupBy(key).agg(F.min("vec").alias("vec"))
-    lows = _block_starts(queries, key, query_block)
+    queries = written(vectors.where(is_query).groupBy(key).agg(F.min("vec").alias("vec")), "queries")
+    total, asked, n = vectors.count(), queries.count(), shuffle_partitions(spark)
+    blocks = max(1, -(-total // candidate_block))
+    turns = max(1, -(-asked // query_block), min(asked, -(-n // blocks)))
     kind = vectors.schema[key].dataType.simpleString()
-    out = None
-    for low, high in zip(lows, [*lows[1:], None]):
-        inside = F.col(key) >= low if high is None else (F.col(key) >= low) & (F.col(key) < high)
-        block = spark.sparkContext.broadcast([(r[0], np.array(r[1], np.int64)) for r in queries.where(inside).collect()])
-
-        def run(batches, block=block):
-            best: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(block.value)
-            for ids, rows in _candidates(batches, candidate_block):
-                postings = Postings(ids, rows)
-                best = [_merged(held, postings.best(query, own, k), k) for held, (own, query) in zip(best, block.value)]
-            q = np.repeat([own for own, _ in block.value], [len(v) for v, _ in best])
-            if len(q):
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), *(pa.array(np.concatenate(x), pa.int64()) for x in zip(*best))], ["query_id", key, "score"])
-
-        found = vectors.mapInArrow(run, f"query_id long, {key} long, score long")
-        found = found.select("query_id", F.struct((-F.col("score")).alias("s"), F.col(key).alias("v")).alias("one"), F.spark_partition_id().alias("p"))
-        first = lambda rows: F.slice(F.array_sort(rows), 1, k)
-        found = found.groupBy("query_id", F.floor(F.col("p") / FAN_IN).alias("g")).agg(first(F.collect_list("one")).alias("top"))
-        found = found.groupBy("query_id").agg(first(F.flatten(F.collect_list("top"))).alias("top")).select(F.col("query_id").cast(kind).alias("query_id"), F.posexplode("top"))
-        found = found.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("col.v").cast(kind).alias(key), (-F.col("col.s")).alias("score"))
-        found = written(found, "top") if high is not None else found
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = vectors.limit(0).select(F.col(key).alias("query_id"), F.lit(1).alias("rank"), F.col(key), F.lit(0).cast("long").alias("score"))
-    return out
-
-
-def _block_starts(queries: DataFrame, key: str, size: int) -> list:
-    """First key of each block of ``size`` keys: ranges of keys are counted and only their edges come to the driver."""
-    total = queries.count()
-    if not total:
-        return []
-    if total <= size:
-        return [queries.agg(F.min(key)).first()[0]]
-    parts = 4 * (total // size + 1)
-    cut = queries.select(key).repartitionByRange(parts, key).withColumn("p", F.spark_partition_id())
-    spans = sorted((r[1], r[2]) for r in cut.groupBy("p").agg(F.min(key), F.count(F.lit(1))).select("p", "min(%s)" % key, "count(1)").collect())
-    starts, held = [], size + 1
-    for low, n in spans:
-        if n > size:
-            own = queries.select(key).where(F.col(key) >= low).orderBy(key).limit(n)
-            rank = F.row_number().over(Window.orderBy(key))
-            starts += [r[0] for r in own.select(key, rank.alias("r")).where((F.col("r") - 1) % size == 0).orderBy(key).collect()]
-            held = size + 1
-        elif held + n > size:
-            starts.append(low)
-            held = n
-        else:
-            held += n
-    return starts
-
-
-def _candidates(batches, size: int):
-    ids, rows = [], []
-    for b in batches:
-        ids += b.column(0).to_pylist()
-        rows += [np.array(v, np.int64) for v in b.column(1).to_pylist()]
-        while len(ids) >= size:
-            yield np.array(ids[:size], np.int64), rows[:size]
-            ids, rows = ids[size:], rows[size:]
-    if ids:
-        yield np.array(ids, np.int64), rows
+    one, every = lambda of: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(of)), lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(of - 1).cast("long")))
+    own = vectors.select(one(blocks).alias("block"), F.lit(0).alias("role"), F.col(key).cast("long").alias("id"), "vec").withColumn("turn", every(turns))
+    asks = queries.select(one(turns).alias("turn"), F.lit(1).alias("role"), F.col(key).cast("long").alias("id"), "vec").withColumn("block", every(blocks))
+    cells = own.unionByName(asks).repartition(max(n, blocks * turns // 4), "block", "turn").sortWithinPartitions("block", "turn", "role").select("block", "turn", "role", "id", "vec")
+
+    def run(batches):
+        held, postings, cell = [], None, None
+        for b in batches:
+            found: list[tuple] = []
+            vec = b.column("vec")
+            flat, ends = vec.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(vec.value_lengths().to_numpy(zero_copy_only=False))]
+            rows = zip(*(b.column(c).to_pylist() for c in ("block", "turn", "role", "id")))
+            for i, (block, turn, role, own_id) in enumerate(rows):
+                if (block, turn) != cell:
+                    cell, held, postings = (block, turn), [], None
+                v = flat[ends[i] : ends[i + 1]]
+                if not role:
+                    held.append((own_id, v.copy()))
+                    continue
+                if postings is None:
+                    postings = Postings(np.array([h[0] for h in held], np.int64), [h[1] for h in held])
+                    held = []
+                ids, scores = postings.best(v, own_id, k)
+                if len(ids):
+                    found.append((np.full(len(ids), own_id), ids, scores, np.full(len(ids), block)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)], ["query_id", "id", "score", "block"])
+
+    best = cells.mapInArrow(run, "query_id long, id long, score long, block long")
+    best = best.select("query_id", F.struct((-F.col("score")).alias("s"), F.col("id").alias("v")).alias("one"), "block")
+    first = lambda rows: F.slice(F.array_sort(rows), 1, k)
+    best = best.groupBy("query_id", F.floor(F.col("block") / FAN_IN).alias("g")).agg(first(F.collect_list("one")).alias("top"))
+    best = best.groupBy("query_id").agg(first(F.flatten(F.collect_list("top"))).alias("top")).select(F.col("query_id").cast(kind).alias("query_id"), F.posexplode("top"))
+    return best.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("col.v").cast(kind).alias(key), (-F.col("col.s")).alias("score"))
