@@ -261,9 +261,13 @@ def decision_tables(spark, sf):
     )
 
 
-@query("""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2), s AS (SELECT user_id, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM d GROUP BY 1) SELECT s.user_id, s.day, coalesce(n, 0) AS n FROM s LEFT JOIN d USING (user_id, day)""")
+@query("""WITH d AS (SELECT c_mktsegment, o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
+s AS (SELECT c_mktsegment, o_orderpriority, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM d GROUP BY 1, 2) SELECT s.c_mktsegment, s.o_orderpriority, s.day, coalesce(n, 0) AS n FROM s LEFT JOIN d USING (c_mktsegment, o_orderpriority, day)""")
 def calendar_days(spark, sf):
-    return history.calendar(history.daily_counts(_t(spark, sf, "events"), ["user_id"], "ts"), ["user_id"])
+    """Orders by segment, priority and day, with the days without any."""
+    o = _t(spark, sf, "orders").join(_t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    keys = ["c_mktsegment", "o_orderpriority"]
+    return history.calendar(history.daily_counts(o, keys, "o_orderdate"), keys)
 
 
 @query("""SELECT o_orderkey, CAST(CASE WHEN g >= 90 THEN 0 ELSE ceil(20.0 * (90 - g) / 90) END AS BIGINT) AS smooth, CAST(CASE WHEN g >= 90 THEN 0 ELSE ceil(20.0 * (90 - g // 7 * 7) / 90) END AS BIGINT) AS weekly, CAST(CASE WHEN g >= 90 THEN 0 ELSE 20 END AS BIGINT) AS cutoff FROM (SELECT o_orderkey, CAST(o_orderkey % 120 AS INTEGER) AS g FROM orders)""")
@@ -303,10 +307,10 @@ def first_urls(spark, sf):
     return research.first_urls([c.select("c_custkey", F.col("k").alias("o"), at(F.col("k"))), c.select("c_custkey", (F.col("k") + 10).alias("o"), at(3 - F.col("k")))], "c_custkey", "url", "o", most=3)
 
 
-@query("""SELECT p_partkey, round(CASE WHEN p_size % 2 = 0 THEN 1.0 ELSE 0.5 END, 6) AS overlap, CASE WHEN p_size % 2 = 0 THEN 'exact_match' WHEN p_size % 3 = 0 THEN 'wrong_variant' ELSE 'near_match' END AS class FROM part WHERE len(list_distinct(string_split(p_name, ' '))) = 2""")
+@query("""SELECT p_partkey, round(CASE WHEN p_size % 2 = 0 THEN 1.0 ELSE 0.5 END, 6) AS overlap, CASE WHEN p_size % 2 = 0 THEN 'exact_match' WHEN p_size % 3 = 0 THEN 'wrong_variant' ELSE 'near_match' END AS class FROM part""")
 def classified_titles(spark, sf):
     """Titles with the whole two-word name, or with its first word and another; every third of the latter states another strength."""
-    p, size = _t(spark, sf, "part").where(F.size(F.array_distinct(F.split("p_name", " "))) == 2), F.col("p_size")
+    p, size = _t(spark, sf, "part"), F.col("p_size")
     first = F.get(F.split("p_name", " "), 0)
     title = F.when(size % 2 == 0, F.concat_ws(" ", F.lit("Buy"), "p_name", F.lit("6 mg"))).otherwise(F.concat_ws(" ", first, F.lit("zzz"), F.when(size % 3 == 0, "9 mg")))
     got = p.select("p_partkey", F.round(cards.title_overlap(F.col("p_name"), title), 6).alias("overlap"), cards.classify(F.col("p_name"), F.lit(6.0), title, F.lit(None).cast("double")).alias("class"))
