@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.urls import host
+from brindle.operators import eventlog
 
 
 def successful(kind: Column, wanted: str, status: Column, parse_status: Column, cache_hit: Column) -> Column:
@@ -102,6 +103,29 @@ def reobserve(recorded: DataFrame, current: DataFrame, url: str, value: str, dig
     return got.select(*[F.when(state == "refreshed", F.col("_d")).otherwise(F.col(digest)).alias(digest) if c == digest else F.col(c) for c in recorded.columns], state.alias("state"))
 
 
+def redecide(recorded: DataFrame, current: DataFrame, row: str, url: str, exact: str, value: str, digest: str, branch: str, trusted: list[str]) -> DataFrame:
+    """row, before, after, lost: whether each row's evidence was enough as recorded, and is with what the pages show now; evidence that is gone or says another value no longer counts."""
+    now = reobserve(recorded, current, url, value, digest)
+    was = evaluate(recorded, row, exact, value, branch, trusted).select(row, F.col("enough").alias("before"))
+    left = now.withColumn(exact, F.col(exact) & F.col("state").isin("kept", "refreshed"))
+    after = evaluate(left, row, exact, value, branch, trusted).select(row, F.col("enough").alias("after"))
+    lost = now.groupBy(row).agg(F.count_if(F.col(exact) & F.col("state").isin("gone", "rejected")).alias("lost"))
+    return was.join(after, row).join(lost, row)
+
+
+def qa_record(cards: DataFrame, events: DataFrame, results: DataFrame, again: DataFrame, key: str, order: str) -> DataFrame:
+    """key, input_card_sha256, raw_events_sha256, derived_result_sha256, qa_status: what the check of each result was made on, by hash.
+
+    ``cards``, ``results`` and ``again`` (derived a second time) have key and ``json``, ``events`` key, ``order`` and ``json``; all canonical. A result passes if the second derivation
+    gives the same text and card and events are there.
+    """
+    sha = lambda df, name: df.select(key, F.sha2("json", 256).alias(name))
+    raw = eventlog.list_hash(events, key, order, "json").withColumnRenamed("list_sha256", "raw_events_sha256")
+    got = sha(results, "derived_result_sha256").join(sha(cards, "input_card_sha256"), key, "left").join(raw, key, "left").join(sha(again, "_again"), key, "left")
+    passed = F.col("_again").eqNullSafe(F.col("derived_result_sha256")) & F.col("input_card_sha256").isNotNull() & F.col("raw_events_sha256").isNotNull()
+    return got.select(key, "input_card_sha256", "raw_events_sha256", "derived_result_sha256", F.when(passed, "qa_passed").otherwise("qa_failed").alias("qa_status"))
+
+
 def qa(derived: DataFrame, independent: DataFrame, row: str, columns: list[str]) -> DataFrame:
     """row, passed, differing columns: two derivations of the same rows, either of which may lack one."""
     a = derived.select(row, *[F.col(c).alias(f"_a_{c}") for c in columns], F.lit(True).alias("_in_a"))

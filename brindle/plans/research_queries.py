@@ -360,3 +360,38 @@ def search_pages(spark, sf):
     return p.select("page_id", "url", F.explode(found).alias("r")).select("page_id", "url", F.col("r.url").alias("found"), "r.title")
 
 
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag <> 'N' AS exact, l_tax AS value, CASE WHEN l_suppkey % 4 = 0 THEN 'official' ELSE 'retailer:' || l_suppkey END AS branch, l_linenumber % 3 <> 0 AS there, l_linenumber % 4 <> 2 AS same FROM lineitem),
+e AS (SELECT l_partkey, w, CASE WHEN w = 0 THEN exact ELSE exact AND there AND same END AS x, value, branch FROM l, (VALUES (0), (1)) t(w)),
+g AS (SELECT l_partkey, w, count(DISTINCT CASE WHEN x THEN value END) AS v, coalesce(bool_or(x AND branch = 'official'), false) AS trusted, count(DISTINCT CASE WHEN x AND branch LIKE 'retailer%' THEN branch END) AS r FROM e GROUP BY 1, 2),
+d AS (SELECT l_partkey, w, NOT v > 1 AND (trusted OR r >= 2) AS enough FROM g), k AS (SELECT l_partkey, CAST(count_if(exact AND NOT (there AND same)) AS BIGINT) AS lost FROM l GROUP BY 1)
+SELECT k.l_partkey, b.enough AS before, a.enough AS after, lost FROM k JOIN d b ON b.l_partkey = k.l_partkey AND b.w = 0 JOIN d a ON a.l_partkey = k.l_partkey AND a.w = 1""")
+def redecided(spark, sf):
+    """Parts decided on all their lines, then on those that a second look still finds with the same tax."""
+    c, rows = F.col, _t(spark, sf, "lineitem")
+    url = F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_tax").alias("url")
+    recorded = rows.select("l_partkey", url, (c("l_returnflag") != "N").alias("exact"), c("l_tax").alias("value"), F.lit("d").alias("digest"), F.when(c("l_suppkey") % 4 == 0, "official").otherwise(F.concat(F.lit("retailer:"), c("l_suppkey").cast("string"))).alias("branch"))
+    current = rows.where("l_linenumber % 3 <> 0").select(url, F.when(c("l_linenumber") % 4 == 2, c("l_tax") + 1).otherwise(c("l_tax")).alias("value"), F.lit("e").alias("digest")).distinct()
+    return research.redecide(recorded, current, "l_partkey", "url", "exact", "value", "digest", "branch", ["official"])
+
+
+@query("""WITH r AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f, '[' || string_agg('{"id":' || o_orderkey || ',"status":"' || o_orderstatus || '"}', ',' ORDER BY o_orderkey) || ']' AS log FROM orders GROUP BY 1)
+SELECT o_custkey AS k, sha256('{"name":"' || c_name || '","segment":"' || c_mktsegment || '"}') AS input_card_sha256, sha256(log) AS raw_events_sha256, sha256('{"n":' || n || '}') AS derived_result_sha256, CASE WHEN f = 0 THEN 'qa_passed' ELSE 'qa_failed' END AS qa_status FROM r JOIN customer ON c_custkey = o_custkey""")
+def qa_records(spark, sf):
+    """Customers' order counts, derived again without the finished orders: only those without any pass."""
+    c, o = F.col, _t(spark, sf, "orders").withColumn("k", F.col("o_custkey"))
+    cards = _t(spark, sf, "customer").select(c("c_custkey").alias("k"), F.to_json(F.struct(c("c_name").alias("name"), c("c_mktsegment").alias("segment"))).alias("json"))
+    events = o.select("k", "o_orderkey", F.to_json(F.struct(c("o_orderkey").alias("id"), c("o_orderstatus").alias("status"))).alias("json"))
+    count = lambda df: df.groupBy("k").agg(F.to_json(F.struct(F.count(F.lit(1)).alias("n"))).alias("json"))
+    return research.qa_record(cards, events, count(o), count(o.where("o_orderstatus <> 'F'")), "k", "o_orderkey")
+
+
+@query(r"""WITH u AS (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN replace(url, 'http', 'ftp') WHEN page_id % 10 = 1 THEN replace(url, '.example', '.google.example') WHEN page_id % 10 = 2 THEN 'no address' ELSE replace(url, '.html', '.pdf') END AS url FROM pages)
+SELECT page_id, CASE WHEN NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'malformed_candidate_url' WHEN NOT regexp_matches(lower(url), '^https?:') THEN 'non_http_url' WHEN regexp_matches(lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)), 'google\.') THEN 'obvious_search_or_social_domain'
+WHEN regexp_matches(lower(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1)), '\.pdf$') THEN 'non_product_document_or_forum' END AS reason FROM u""")
+def invalid_urls(spark, sf):
+    """Page addresses, some made into other schemes, search hosts, documents or none."""
+    url, place = F.col("url"), F.col("page_id") % 10
+    changed = F.when(place == 0, F.replace(url, F.lit("http"), F.lit("ftp"))).when(place == 1, F.replace(url, F.lit(".example"), F.lit(".google.example"))).when(place == 2, "no address").otherwise(F.replace(url, F.lit(".html"), F.lit(".pdf")))
+    return _t(spark, sf, "pages").select("page_id", discovery.invalid_candidate(changed).alias("reason"))
