@@ -17,11 +17,11 @@ from brindle.functions.text import first_number, identity_tokens, normalize_cand
 from brindle.functions.urls import host, is_http, is_likely_product, path, path_tokens
 from brindle.operators import evidence, folds
 
-#: Result pages. Name, part of the engine's host, patterns of (link, title), the redirect's parameter, the engine's own domain.
+#: Result pages. Name, part of the engine's host, patterns of (link, title) in parts that follow one another, the title between the last two, the redirect's parameter, the engine's own domain.
 RESULT_PAGES = [
-    ("google", "google.", [r"""<a[^>]+href="(https?://[^"?]+(?:\?[^"']*)?)"[^>]*>[\s\S]*?<h3[^>]*>([\s\S]*?)</h3>"""], None, "google.com"),
-    ("bing", "bing.", [r"""<li[^>]+class="b_algo"[\s\S]*?<h2[^>]*>\s*<a[^>]+href="([^"]+)"[^>]*>([\s\S]*?)</a>\s*</h2>"""], "u", "bing.com"),
-    ("other", "", [r"""<a[^>]*class="result__a"[^>]*href="([^"]+)"[^>]*>([\s\S]*?)</a>""", r"""<a[^>]*class=['"]result-link['"][^>]*href="([^"]+)"[^>]*>([\s\S]*?)</a>"""], "uddg", None),
+    ("google", "google.", [(r"""<a[^>]+href="(https?://[^"?]+(?:\?[^"']*)?)"[^>]*>""", "<h3[^>]*>", "</h3>")], None, "google.com"),
+    ("bing", "bing.", [(r"""<li[^>]+class="b_algo\"""", r"""<h2[^>]*>\s*<a[^>]+href="([^"]+)"[^>]*>""", r"</a>\s*</h2>")], "u", "bing.com"),
+    ("other", "", [(r"""<a[^>]*class="result__a"[^>]*href="([^"]+)"[^>]*>""", "</a>"), (r"""<a[^>]*class=['"]result-link['"][^>]*href="([^"]+)"[^>]*>""", "</a>")], "uddg", None),
 ]
 #: Words that name no product in a path, in an index address, and in a title's core.
 PATH_WORDS = ["mg", "per", "pouch", "pouches", "nicotine"]
@@ -115,11 +115,25 @@ def _target(href: str, name: str, redirect: str | None) -> str | None:
         return href if name == "bing" else None
 
 
+def _in_parts(body: str, parts: tuple[str, ...]):
+    """(link, title) of each place where the parts follow one another with anything between. Where a part has no place left there is none for any later start either, so a page is searched once."""
+    at = 0
+    while True:
+        link, before = "", 0
+        for part in parts:
+            m = re.compile(part, re.I).search(body, at)
+            if m is None:
+                return
+            link, title, at = (m[1] if m.re.groups else link), body[before : m.start()], m.end()
+            before = at
+        yield link, title
+
+
 def _results(body: str, engine: str) -> list[dict]:
     name, _, patterns, redirect, own = next(p for p in RESULT_PAGES if p[1] in engine)
     found: dict[str, str] = {}
     for pattern in patterns:
-        for href, inner in re.findall(pattern, body, re.I):
+        for href, inner in _in_parts(body, pattern):
             url = _target(html.unescape(href), name, redirect)
             if url is None or own and (not url.lower().startswith("http") or own in (urlsplit(url).hostname or "")):
                 continue

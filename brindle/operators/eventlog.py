@@ -45,7 +45,8 @@ def verify_chain(df: DataFrame, log: str | None, event: str, payload: str, seque
     """Adds fault (null: good): each event needs its predecessor only, so logs check by window, not by fold.
 
     Without ``log`` the table is one log of any length: the predecessor is joined by its number, so no task holds the log; a number that is missing before an event, or that an earlier event has too,
-    is a ``sequence`` fault there. ``tie`` orders events of one number.
+    is a ``sequence`` fault there. With ``log`` a number must be the event's place, so after a gap all later ones are faults. Either way an event is held against its stored predecessor, whether that is
+    sound or not; a log with any fault is refused as a whole by ``require_chain``. ``tie`` orders events of one number.
     """
     order = [sequence, *([tie] if tie else [])]
     if log:

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from brindle.operators import eventlog
 
-_STRING = r'"(?:\\.|[^"\\])*"'
+_STRING = r'"(?:\\.|[^"\\]++)*+"'
 _NUMBER = r"[-+]?\d*\.?\d+(?:[eE][-+]?\d+)?"
 #: A catalog literal on a line of its own; commas and brackets may stand before or after it.
 CATALOG_ROW = rf"^[\s,\[]*\{{\s*b\s*:\s*({_STRING})\s*,\s*n\s*:\s*({_STRING})\s*,\s*mg\s*:\s*({_NUMBER})\s*,?\s*\}}[\s,;\]]*$"

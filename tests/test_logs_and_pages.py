@@ -187,3 +187,31 @@ def test_landed_pages_round_trip(spark, tmp_path):
     paged.land_pages(df, str(tmp_path / "p"), "source", "id", "item", 4)
     got = paged.items_of(paged.listing(spark, f"file:{tmp_path}/p", page_size=4), "id int, t string")
     assert sorted((r["id"], r["source"], r["page"], r["place"]) for r in got.collect()) == sorted((i, f"s/{i % 2}", i // 2 // 4 + 1, i // 2 % 4 + 1) for i in range(11))
+
+
+def test_long_catalog_literals(spark):
+    """Names of a hundred thousand characters, escapes among them, overflow no stack."""
+    name = 'x\\"y' * 25_000
+    df = spark.createDataFrame([(1, f'  {{ b: "B", n: "{name}", mg: 4.5 }},'), (2, f'{{ b: "B", n: "{name}, mg: 4 }}')], "i int, line string")
+    (row,) = readers.catalog_lines(df, "line", "i").collect()
+    assert (row["line_number"], row["b"], row["mg"]) == (1, "B", 4.5) and row["n"] == 'x"y' * 25_000
+
+
+def test_result_pages_in_parts():
+    from brindle.operators import discovery
+
+    page = '<a href="https://a.example/1">x<h3 class="t">One <b>more</b></h3></a><a href="https://b.example/2"><a href="https://c.example/3"><h3>Two</h3><a href="https://d.example/4">'
+    assert discovery._results(page, "www.google.com") == [{"url": "https://a.example/1", "title": "One more"}, {"url": "https://b.example/2", "title": "Two"}]
+    bing = '<li class="b_algo"><h2><a href="https://a.example/1">One</a></h2><li class="b_algo"><p><h2> <a class="x" href="https://b.example/2">Two</a> </h2>'
+    assert discovery._results(bing, "www.bing.com") == [{"url": "https://a.example/1", "title": "One"}, {"url": "https://b.example/2", "title": "Two"}]
+    assert discovery._results('<a href="https://x.com/"><h3>' * 20_000, "www.google.com") == []
+
+
+def test_decisions_after_a_second_look(spark):
+    from brindle.operators import research
+
+    rows = [("a", "u1", True, 4.0, "d", "official"), ("b", "u2", True, 4.0, "d", "retailer:x"), ("b", "u3", True, 4.0, "d", "retailer:y"), ("c", "u4", True, 4.0, "d", "official"), ("d", "u5", False, 4.0, "d", "official")]
+    recorded = spark.createDataFrame(rows, "id string, url string, exact boolean, mg double, sha string, branch string")
+    current = spark.createDataFrame([("u1", 4.0, "e"), ("u2", 4.0, "d"), ("u4", 6.0, "d"), ("u5", 4.0, "d")], "url string, mg double, sha string")
+    got = {r["id"]: (r["before"], r["after"], r["lost"]) for r in research.redecide(recorded, current, "id", "url", "exact", "mg", "sha", "branch", ["official"]).collect()}
+    assert got == {"a": (True, True, 0), "b": (True, False, 1), "c": (True, False, 1), "d": (False, False, 0)}
