@@ -13,7 +13,7 @@ pytest.importorskip("brindle.llm")
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brindle.llm import centroids, html, pii, queries, secrets, trie
+from brindle.llm import centroids, html, pii, queries, secrets, sharding, trie
 
 # --- 11: conversation prefix trie
 
@@ -308,3 +308,40 @@ def test_secrets_hostile(spark):
     assert time.time() - began < 60 and got[0] == got[1] == 0
     (found,) = secrets.findings(spark.createDataFrame([(1, f"{units[0]} x {key} y")], "doc_id long, text string"), forest).collect()
     assert found["secret"] == key
+
+
+# --- 7: a plain k-d tree
+
+
+def plain_tree(units, axes, shards):
+    spread = {a: max(max(u[a] for u in units) - min(u[a] for u in units), 1e-12) for a in axes}
+    out = {}
+
+    def grow(own, count, first):
+        if count == 1 or not own:
+            out.update({u["id"]: first for u in own})
+            return
+        axis = max(axes, key=lambda a: (max(u[a] for u in own) - min(u[a] for u in own)) / spread[a])
+        own = sorted(own, key=lambda u: (u[axis], u[axes[-1]]))
+        left = (count + 1) // 2
+        goal, so_far, cut = sum(u["_bytes"] for u in own) * left / count, 0, len(own)
+        for i, u in enumerate(own):
+            if so_far + u["_bytes"] >= goal:
+                cut = i + 1 if so_far + u["_bytes"] - goal <= goal - so_far else i
+                break
+            so_far += u["_bytes"]
+        grow(own[:cut], left, first)
+        grow(own[cut:], count - left, first + left)
+
+    grow(units, shards, 0)
+    return out
+
+
+@pytest.mark.parametrize("shards,seed", [(8, 1), (5, 2), (3, 3)])
+def test_tree_brute_force(spark, shards, seed):
+    """Histograms refined over rounds give the cuts of a tree that sorts its units."""
+    r = random.Random(seed)
+    units = [{"id": i, "_bytes": r.choice([1, 5, 9, 300]), "x": float(r.choice([0, 1, 1, 1, 7])), "y": r.random() * 3, "h": r.random()} for i in range(400)]
+    df = spark.createDataFrame([tuple(u.values()) for u in units], "id int, _bytes long, x double, y double, h double").repartition(3)
+    got = {row["id"]: row["shard"] for row in sharding.split(df, ["x", "y", "h"], shards).collect()}
+    assert got == plain_tree(units, ["x", "y", "h"], shards)
