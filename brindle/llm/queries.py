@@ -136,7 +136,7 @@ def _rounds_sql(rounds: int = 10, k: int = 8) -> str:
 
 ORACLES: dict[str, str] = {
     "op11_prefix_trie": """
-        WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+        WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
         o AS (SELECT c, list({'r': r, 'x': x} ORDER BY n) AS o FROM t GROUP BY c),
         hashes AS (SELECT c, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(c::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
             lambda y, b: xor(xor(y, b) >> 1, 3988292384 * (xor(y, b) & 1))), 4294967295) % 9 AS h FROM (SELECT DISTINCT c FROM t)),
