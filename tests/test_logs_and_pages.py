@@ -215,3 +215,13 @@ def test_decisions_after_a_second_look(spark):
     current = spark.createDataFrame([("u1", 4.0, "e"), ("u2", 4.0, "d"), ("u4", 6.0, "d"), ("u5", 4.0, "d")], "url string, mg double, sha string")
     got = {r["id"]: (r["before"], r["after"], r["lost"]) for r in research.redecide(recorded, current, "id", "url", "exact", "mg", "sha", "branch", ["official"]).collect()}
     assert got == {"a": (True, True, 0), "b": (True, False, 1), "c": (True, False, 1), "d": (False, False, 0)}
+
+
+def test_known_sources(spark):
+    from brindle.sources import registry
+
+    addresses = {"https://www.haypp.com/x": "haypp-group", "http://shop.velo.com": "bat-velo", "https://www.accessdata.fda.gov/a": "us-fda", "https://notvelo.com/": None, "none": None, None: None, "https://velo.com.evil.example/": None}
+    df = spark.createDataFrame([(u,) for u in addresses], "url string")
+    got = {r["url"]: (r["source_class"], r["owner_group_id"]) for r in registry.with_source(df, "url").collect()}
+    assert {u: g for u, (_, g) in got.items()} == addresses
+    assert got["http://shop.velo.com"][0] == "official" and got[None][0] == got["none"][0] == "unknown" and registry.known_sources(spark).count() == 14
