@@ -109,21 +109,31 @@ _TYPES = ("<i8", "<i4", "<i4", "<u8", "<u8")
 _HOT_DF = (1 << 31) - 1
 
 
-def _packs(places: list[int], part: np.ndarray, sets: np.ndarray, sizes: np.ndarray, owner: np.ndarray, hashes: np.ndarray, extra: np.ndarray | None = None):
-    """A batch of packed arrays, a row for each part: entries of ``hashes`` belong to set number ``owner`` and go to ``part``."""
+def _packs(places: list[int], part: np.ndarray, sets: np.ndarray, sizes: np.ndarray, owner: np.ndarray, hashes: np.ndarray, extra: np.ndarray | None = None, most: int = 1 << 20):
+    """Batches of packed arrays, a row for each part, about ``most`` entries at a time: entries of ``hashes`` belong to set number ``owner`` and go to ``part``."""
     order = np.lexsort((owner, part))
     part, owner, hashes = part[order], owner[order], hashes[order]
     extra = extra[order] if extra is not None else None
+    del order
     cuts = np.flatnonzero(np.diff(np.append(-1, part)))
     rows: list[tuple] = []
+    room = most
     for i, j in zip(cuts, np.append(cuts[1:], len(part))):
+        if room <= 0:
+            yield _packed_batch(rows)
+            rows, room = [], most
+        room -= j - i
         own = owner[i:j]
         heads = np.flatnonzero(np.diff(np.append(-1, own)))
         who = own[heads]
         rows.append((places[part[i]], sets[who].tobytes(), sizes[who].astype("<i4").tobytes(), np.diff(np.append(heads, j - i)).astype("<i4").tobytes(), hashes[i:j].tobytes(), extra[i:j].tobytes() if extra is not None else b""))
     if rows:
-        cols = list(zip(*rows))
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["place", "sets", "sizes", "counts", "hashes", "extra"])
+        yield _packed_batch(rows)
+
+
+def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows))
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["place", "sets", "sizes", "counts", "hashes", "extra"])
 
 
 def _unpacked(batches) -> tuple[np.ndarray, ...] | None:
@@ -134,8 +144,11 @@ def _unpacked(batches) -> tuple[np.ndarray, ...] | None:
             got[k] += [v.as_py() for v in b.column(k + 1)]
     if not got[0]:
         return None
-    sets, sizes, counts, hashes, extra = (np.frombuffer(b"".join(g), t) for g, t in zip(got, _TYPES))
-    return sets, sizes, np.repeat(np.arange(len(sets)), counts), hashes, extra
+    arrays = []
+    while got:
+        arrays.append(np.frombuffer(b"".join(got.pop(0)), _TYPES[len(arrays)]))
+    sets, sizes, counts, hashes, extra = arrays
+    return sets, sizes, np.repeat(np.arange(len(sets), dtype=np.int32), counts), hashes, extra
 
 
 def _by_hash(h: np.ndarray, n: int) -> np.ndarray:
@@ -244,9 +257,10 @@ def _counter(places: list[int], n: int, hot):
             return
         sets, sizes, owner, hashes, _ = got
         ids, first, code = np.unique(sets, return_index=True, return_inverse=True)
-        code = code[owner]
+        code = code.astype(np.int32)[owner]
         order = np.lexsort((code, hashes))
         h, c = hashes[order], code[order]
+        del got, owner, hashes, code, order  # a partition's entries are most of what a task holds
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
         h, c = h[new], c[new]
