@@ -16,7 +16,11 @@ from brindle.session import shared_folder
 
 
 def _dealt(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    return df.select(*dict.fromkeys([*keys, *order, *columns])).repartition(*keys).sortWithinPartitions(*keys, *order)
+    """Each key's rows in one partition, in order.
+
+    Dealt by a hash of the keys: rows that come from a join by the keys themselves would not be dealt anew, and a join may end up in other partitions than planned (broadcast, split) when it runs.
+    """
+    return df.select(*dict.fromkeys([*keys, *order, *columns])).repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
 
 
 def _schema(df: DataFrame, kept: list[str], outputs: str) -> T.StructType:

@@ -47,6 +47,17 @@ def test_append_goes_on_from_tails(spark):
     assert eventlog.append(df.where("n < 0"), "log", "n", "payload").count() == 0
 
 
+def test_append_behind_a_join_that_changes_as_it_runs(spark):
+    """Planned as a sort-merge join of events and tails, run as a broadcast join whose rows stay where they are."""
+    rows = spark.range(0, 6000, 1, 8).select((F.col("id") % 7).alias("u"), F.col("id").alias("e"), F.col("id").cast("string").alias("p"))
+    first = eventlog.append(rows.where("e < 40"), "u", "e", "p")
+    joins = {"spark.sql.autoBroadcastJoinThreshold": "20k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(spark, joins):
+        second = eventlog.append(rows.where("e >= 40"), "u", "e", "p", eventlog.log_tails(first, "u"))
+        got = {r.e: (r.sequence, r.previous_sha256, r.event_sha256) for r in first.unionByName(second).collect()}
+    assert got == {r.e: (r.sequence, r.previous_sha256, r.event_sha256) for r in eventlog.append(rows, "u", "e", "p").collect()} and len(got) == 6000
+
+
 def test_append_stream_restarts(spark, tmp_path):
     """Two micro-batches, a stop and a third give the chain of one batch, behind the stored ends of some of the logs."""
     rows = [r for r in events(3, 80) if r[0]]
