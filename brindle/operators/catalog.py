@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -160,3 +161,23 @@ def checks(named: list[tuple[str, DataFrame]]) -> DataFrame:
         one = failing.agg(F.count(F.lit(1)).alias("failing")).select(F.lit(name).alias("check_name"), "failing")
         out = one if out is None else out.unionAll(one)
     return out
+
+
+def pairs_in_blocks(left: DataFrame, right: DataFrame, keys: list[str], item: str, block: int = 4096, pairs: int = 1 << 25) -> DataFrame:
+    """The rows of ``left`` with each ``item`` of the rows of ``right`` that have equal keys; a row with a null among its keys has none.
+
+    For groups that are large on both sides: blocks of about ``block`` rows of a group meet pair by pair, so a group spreads over many tasks. A task holds an array of one block's items and makes
+    about ``pairs`` pairs; it makes no other pairs than those it returns.
+    """
+    spark, own = left.sparkSession, [c for c in left.columns if c not in keys]
+    sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l")).join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_r")), keys)
+    total = sizes.agg(F.sum(F.col("_l").cast("double") * F.col("_r"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / pairs))
+    blocks = sizes.select(*keys, F.ceil(F.col("_l") / block).alias("_nl"), F.ceil(F.col("_r") / block).alias("_nr"))
+    place = lambda c, n: F.pmod(F.xxhash64(*c), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    rows = left.join(blocks, keys).withColumn("_x", place(own, F.col("_nl"))).select(*keys, *own, "_x", every(F.col("_nr")).alias("_y"))
+    items = right.select(*keys, item).join(blocks, keys).withColumn("_y", place([item], F.col("_nr"))).groupBy(*keys, "_nl", "_y").agg(F.collect_list(item).alias("_items"))
+    items = items.select(*keys, "_y", "_items", every(F.col("_nl")).alias("_x"))
+    cell = [*keys, "_x", "_y"]
+    return rows.repartition(tasks, *cell).join(items.repartition(tasks, *cell), cell).select(*own, F.explode("_items").alias(item))

@@ -3,6 +3,10 @@
 import collections
 import unicodedata
 
+import duckdb
+from pyspark.sql import functions as F
+
+from brindle.operators import catalog
 from brindle.plans import queries
 
 SF = "/root/testdata/sf0.001"
@@ -24,6 +28,20 @@ def test_structured_match(spark):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_structured_match_of_large_groups(spark, tmp_path):
+    """One name spreads over many tasks, and a part without a name or brand matches as in SQL."""
+    brands, types = ["a", "b", "c", None], ["ECONOMY", "SMALL", None]
+    parts = [(i, None if i % 50 == 0 else "Blue Ring" if i % 10 else "old bolt", brands[i % 4], types[i % 3]) for i in range(600)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    assert sorted(map(tuple, queries.QUERIES["structured_match"](spark, str(tmp_path)).collect())) == sorted(con.sql(queries.ORACLES["structured_match"]).fetchall())
+    one = spark.range(1000).select(F.lit("k").alias("k"), F.col("id").alias("l"))
+    made = catalog.pairs_in_blocks(one, one.withColumnRenamed("l", "r"), ["k"], "r", block=100, pairs=50_000).withColumn("_part", F.spark_partition_id()).groupBy("_part").count().collect()
+    assert sum(r["count"] for r in made) == 1_000_000 and max(r["count"] for r in made) < 300_000
+    assert catalog.pairs_in_blocks(one.where("l < 0"), one.withColumnRenamed("l", "r"), ["k"], "r").count() == 0
+
+
 def test_similar_documents_top3(spark):
     docs = [(r.doc_id, r.source, words(r.text)) for r in rows(spark, "documents", "doc_id", "source", "text")]
     want = set()
