@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from brindle.functions.dates import last_sunday_before
 
@@ -118,18 +121,58 @@ def page_of(df: DataFrame, order: list[Column], page: int, size: int = 14) -> Da
     return df.orderBy(*order).offset((page - 1) * size).limit(size)
 
 
+def _calls(spark: SparkSession, path: str) -> tuple[Any, Callable[[str], Any], dict[int, bool]]:
+    """The store, its paths by name, and the numbers of the calls that a table of users has: is the call finished?"""
+    jvm = spark._jvm
+    place = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+    store = place("rows").getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [x.getPath().getName() for x in store.listStatus(place("rows"))] if store.exists(place("rows")) else []
+    return store, place, {int(n[6:]): store.exists(place(f"named/{n}/_SUCCESS")) for n in names if n.startswith("_call=")}
+
+
+def _write_call(rows: DataFrame, named: DataFrame, path: str) -> None:
+    """The users that a call names are written last: without them it is not there."""
+    store, place, calls = _calls(named.sparkSession, path)
+    n = max(calls, default=0) + 1
+    while not store.createNewFile(place(f"rows/.call-{n}")):  # another caller's
+        n += 1
+    rows.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/rows/_call={n}")
+    named.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/named/_call={n}")
+
+
 def replace_users(snapshots: DataFrame, users: DataFrame, path: str, user: str) -> None:
     """Each of ``users`` gets the rows of ``snapshots`` in place of those stored; one without rows there ends up with none. Files of other users are not touched.
 
-    A user is a partition of the table, overwritten as such. A marker row keeps the partition of a user without rows, so that an empty snapshot replaces too; ``stored_users`` leaves markers out.
+    A call adds its rows and the users it names, with or without rows, and changes no file; more users make no more files. A user's rows are those of the last finished call that names it
+    (``stored_users``); rows of earlier calls stay on disk until ``compact_users``.
     """
-    own = snapshots.join(users.select(user).distinct(), user, "left_semi").withColumn("_marker", F.lit(False))
-    empty = users.select(user).distinct().where(F.col(user).isNotNull()).join(snapshots.select(user), user, "left_anti").withColumn("_marker", F.lit(True))
-    rows = own.unionByName(empty, allowMissingColumns=True).repartition(user)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(user).parquet(path)
+    named = users.select(user).where(F.col(user).isNotNull()).distinct()
+    _write_call(snapshots.join(named, user, "left_semi"), named, path)
+
+
+def _last_calls(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows of each user's last call; the users named in any."""
+    done = [n for n, finished in sorted(_calls(spark, path)[2].items()) if finished]
+    if not done:
+        return spark.createDataFrame([], schema), spark.createDataFrame([], schema)
+    read = lambda kind, reader: reader.option("basePath", f"{path.rstrip('/')}/{kind}").parquet(*[f"{path.rstrip('/')}/{kind}/_call={n}" for n in done])
+    named = read("named", spark.read)
+    user = named.columns[0]
+    last = named.groupBy(user).agg(F.max("_call").cast("long").alias("_call"))
+    rows = read("rows", spark.read.schema(StructType([*schema.fields, StructField("_call", LongType())])))
+    return rows.join(last, [user, "_call"], "left_semi").select(*[f.name for f in schema.fields]), last.select(user)
 
 
 def stored_users(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table that ``replace_users`` keeps; ``schema`` is that of the snapshots."""
-    full = StructType([*schema.fields, StructField("_marker", BooleanType())])
-    return spark.read.schema(full).parquet(path).where(~F.col("_marker")).select(*[f.name for f in schema.fields])
+    return _last_calls(spark, path, schema)[0]
+
+
+def compact_users(spark: SparkSession, path: str, schema: StructType) -> None:
+    """The same table as one call: rows that were replaced go from the disk. Nobody else may read or write it meanwhile; if it fails, the table holds what it held."""
+    store, place, calls = _calls(spark, path)
+    if any(calls.values()):
+        _write_call(*_last_calls(spark, path, schema), path)
+    for n in calls:  # a call's names go first: without them it is not read
+        store.delete(place(f"named/_call={n}"), True)
+        store.delete(place(f"rows/_call={n}"), True)

@@ -33,6 +33,29 @@ def test_user_snapshots(spark, tmp_path):
     assert stored() == []
 
 
+def test_snapshots_of_many_users(spark, tmp_path):
+    """Files grow with calls, not with users; none is touched again until the table is compacted; a call that did not finish is not read."""
+    path, df = str(tmp_path / "t"), spark.range(3000).select((F.col("id") % 300).alias("user"), F.col("id").alias("x"))
+    stored = lambda: sorted(map(tuple, history.stored_users(spark, path, df.schema).collect()))
+    everyone, want = df.select("user"), sorted(map(tuple, df.collect()))
+    assert stored() == []
+    history.replace_users(df, everyone, path, "user")
+    before = files(path)
+    assert stored() == want and len(before) < 20
+    history.replace_users(df.where("user = 7 and x < 1000"), everyone.where("user in (7, 8)").union(spark.sql("select null")), path, "user")
+    want = [r for r in want if r[0] != 8 and (r[0] != 7 or r[1] < 1000)]
+    assert stored() == want and before.items() <= files(path).items()
+    history.replace_users(df.where("user = 9").withColumn("x", F.lit(-1).cast("long")), everyone.where("user = 9"), path, "user")
+    (tmp_path / "t/named/_call=3/_SUCCESS").unlink()
+    assert stored() == want
+    history.replace_users(df.where("false"), everyone.where("user = 1"), path, "user")
+    want = [r for r in want if r[0] != 1]
+    history.compact_users(spark, path, df.schema)
+    assert stored() == want and [p.name for p in (tmp_path / "t/rows").glob("_call=*")] == ["_call=5"]
+    history.replace_users(df.where("user = 8"), everyone.where("user = 8"), path, "user")
+    assert stored() == sorted(want + [tuple(r) for r in df.where("user = 8").collect()])
+
+
 def test_artefacts_in_one_pass(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
