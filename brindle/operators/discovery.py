@@ -277,7 +277,7 @@ def _meeting(rows: DataFrame, records: DataFrame, row: str, record: str, need: s
     rare = ranked.where(room > 0).select(row, F.explode(F.slice("_all", 1, room.cast("int"))).alias("_x")).select(row, F.col("_x._w").alias("_w"))
     if row_facts:
         rare = rare.join(rows.select(row, *row_facts), row)
-    met = rare.join(records.select(record, *(record_facts or []), F.explode(have).alias("_w")), "_w")
+    met = rare.join(records.select(record, *(record_facts or []), F.explode(have).alias("_w")).hint("merge"), "_w")
     return (met.where(also) if also is not None else met).select(row, record).distinct()
 
 
@@ -321,16 +321,24 @@ def _ranked_owners(best: DataFrame, row: str, record: str, k: int) -> DataFrame:
 def exact_records(rows: DataFrame, records: DataFrame, row: str, record: str) -> DataFrame:
     """row, record of titles that name exactly the row's variant (``rows``: row, n, mg; ``records``: record, title, observed).
 
-    A title has all of the row's words, so rows and titles meet on the row's rarest word alone; a row without words meets titles without words.
+    A title has all of the row's words, so rows and titles meet on the row's rarest word alone; a row without words meets titles without words. Equal names and equal titles meet once and are dealt
+    out to their rows and records afterwards. Neither rows nor records are ever broadcast, however small their files are.
     """
-    a = rows.select(row, "n", "mg", F.array_distinct(identity_tokens(F.col("n"))).alias("_need"))
-    b = records.where("title is not null").select(record, "title", "observed", F.array_distinct(identity_tokens(F.col("title"))).alias("_have"))
+    rows = rows.where(F.col(row).isNotNull()).select(row, F.coalesce("n", F.lit("")).alias("n"), "mg").withColumn("_a", _keyed("mg", "n"))
+    records = records.where(F.col(record).isNotNull() & F.col("title").isNotNull()).select(record, "title", "observed").withColumn("_b", _keyed("observed", "title"))
+    a = rows.select("_a", "n", "mg").distinct().withColumn("_need", F.array_distinct(identity_tokens(F.col("n"))))
+    b = records.select("_b", "title", "observed").distinct().withColumn("_have", F.array_distinct(identity_tokens(F.col("title"))))
     empty = F.array(F.lit(""))
     a = a.withColumn("_need", F.when(F.size("_need") == 0, empty).otherwise(F.col("_need")))
     b = b.withColumn("_have", F.concat("_have", empty))
-    pairs = _meeting(a, b, row, record, "_need", "_have", 1.0)
-    full = pairs.join(a, row).join(b, record)
-    return full.where(exact_variant(F.col("n"), F.col("mg"), F.col("title"), F.col("observed"))).select(row, record)
+    pairs = _meeting(a, b, "_a", "_b", "_need", "_have", 1.0).join(a.select("_a", "n", "mg").hint("merge"), "_a").join(b.select("_b", "title", "observed").hint("merge"), "_b")
+    same = pairs.where(exact_variant(F.col("n"), F.col("mg"), F.col("title"), F.col("observed"))).select("_a", "_b")
+    return records.select(record, "_b").hint("merge").join(same.join(rows.select(row, "_a").hint("merge"), "_a"), "_b").select(row, record)
+
+
+def _keyed(number: str, text: str) -> Column:
+    """A number, which may be null, and a text as one text."""
+    return F.concat(F.coalesce(F.col(number).cast("string"), F.lit("")), F.lit("\u0000"), F.col(text))
 
 
 def open_records(rows: DataFrame, records: DataFrame, row: str, record: str, kind: str = "structured_product_json") -> DataFrame:

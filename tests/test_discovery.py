@@ -90,6 +90,19 @@ def test_exact_records_by_the_rule(spark):
     assert got == want and (4, 0) in got and (3, 6) in got
 
 
+def test_exact_records_of_many_copies(spark, tmp_path):
+    """Copies of few titles make a small file of many records: they are not broadcast, and equal titles meet a name once."""
+    names = spark.createDataFrame([("Zyn Citrus", "Zyn Citrus 6mg", 6.0), ("again", "Zyn Citrus 6mg", 6.0), ("Velo", "Velo", None), (None, "Velo", 6.0)], "row string, n string, mg double")
+    title = F.when(F.col("id") % 3 == 0, "Buy Zyn Citrus Medium 6 mg").when(F.col("id") % 3 == 1, "Zyn Citrus 8 mg").otherwise("Velo")
+    spark.range(30_000).select(F.col("id").alias("rec"), title.alias("title"), F.when(F.col("id") % 2 == 0, 8.0).alias("observed")).write.parquet(str(tmp_path / "r"))
+    got = discovery.exact_records(names, spark.read.parquet(str(tmp_path / "r")), "row", "rec")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any("FileScan" in x.split("Exchange hashpartitioning")[0] for x in plan.split("BroadcastExchange")[1:])
+    want = {(n, i) for i in range(30_000) for n in (("Zyn Citrus", "again") if i % 3 == 0 and i % 2 else ("Velo",) if i % 3 == 2 else ())}
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len(want) and set(found) == want
+
+
 def test_sitemap_entries_and_regulator(spark):
     body = "<urlset><url><loc> http://a/1 </loc></url><url><loc>http://a/2</loc><lastmod>2024-01-02</lastmod></url></urlset>"
     df = spark.createDataFrame([(1, body), (2, "<sitemapindex><sitemap><loc>http://a/s</loc></sitemap></sitemapindex>")], "k int, body string")
