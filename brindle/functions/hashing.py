@@ -27,8 +27,9 @@ def fingerprint(*parts: Column) -> Column:
 
 
 def row_id(index: Column, *parts: Column, prefix: str = "input", width: int = 4) -> Column:
-    """``prefix-0001-<fingerprint>`` from a position that counts from 1."""
-    return F.concat(F.lit(prefix + "-"), F.lpad(index.cast("string"), width, "0"), F.lit("-"), fingerprint(*parts))
+    """``prefix-0001-<fingerprint>`` from a position that counts from 1; one of more than ``width`` digits keeps them all."""
+    place = index.cast("string")
+    return F.concat(F.lit(prefix + "-"), F.when(F.length(place) < width, F.lpad(place, width, "0")).otherwise(place), F.lit("-"), fingerprint(*parts))
 
 
 def _plain(value):

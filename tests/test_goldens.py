@@ -110,6 +110,10 @@ def test_row_id(spark):
     assert one(spark, v) == "input-0001-085e88ca93ef03ac9893ea0830450cefc336587739f2f7e327d94de387234a0d"
 
 
+def test_row_id_of_late_rows(spark):
+    assert [one(spark, hashing.row_id(F.lit(n), F.lit("a")))[:-65] for n in (42, 9999, 10000, 123456)] == ["input-0042", "input-9999", "input-10000", "input-123456"]
+
+
 def test_canonical_json(spark):
     assert one(spark, hashing.canonical_json(F.lit('{"b": 1.0, "a": [2, {"d": 1, "c": null}]}'))) == '{"a":[2,{"c":null,"d":1}],"b":1}'
     assert one(spark, hashing.canonical_json(F.lit("{"))) is None

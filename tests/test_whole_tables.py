@@ -42,6 +42,16 @@ def test_structured_match_of_large_groups(spark, tmp_path):
     assert catalog.pairs_in_blocks(one.where("l < 0"), one.withColumnRenamed("l", "r"), ["k"], "r").count() == 0
 
 
+def test_row_fingerprint_of_late_and_odd_parts(spark, tmp_path):
+    keys = [0, 9998, 9999, 10000, 99_998, 99_999, 123_456, 999_998, 999_999, 1_234_567, -1, -5, None]
+    parts = [(k, "n", "b", 5) for k in keys] + [(1, None, "b", 5), (2, "n", None, 5), (3, "n", "b", None), (4, "", "", 0), (5, "n", "b", 10_000_000), (6, "ü", "日本", -2_147_483_648)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_brand string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    got = {tuple(r) for r in queries.QUERIES["row_fingerprint"](spark, str(tmp_path)).collect()}
+    assert got == set(con.sql(queries.ORACLES["row_fingerprint"]).fetchall()) and len(got) == len(parts)
+
+
 def test_similar_documents_top3(spark):
     docs = [(r.doc_id, r.source, words(r.text)) for r in rows(spark, "documents", "doc_id", "source", "text")]
     want = set()
